@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewatch.functions.calendar import week_stamp
@@ -45,9 +45,16 @@ def has_newer(available: DataFrame, wm_year: int, wm_week: int) -> DataFrame:
     )
 
 
-def advance_watermark(batch: DataFrame, loaded_at: dt.datetime | None = None) -> DataFrame:
-    """The watermark row to append after a load: the composite maximum of the batch."""
-    ts = F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
+def advance_watermark(batch: DataFrame, loaded_at: dt.datetime | Column | None = None) -> DataFrame:
+    """The watermark row to append after a load: the composite maximum of the batch.
+
+    Year and week come from the greatest stamp, not from independent maxima
+    (which could combine one row's year with another row's week).
+    """
+    if isinstance(loaded_at, Column):
+        ts = loaded_at
+    else:
+        ts = F.lit(loaded_at).cast("timestamp") if loaded_at is not None else F.current_timestamp()
     top = batch.agg(F.max(week_stamp("year", "week")).alias("stamp"))
     return top.where(F.col("stamp").isNotNull()).select(
         F.floor(F.col("stamp") / 100).cast("long").alias("year"),

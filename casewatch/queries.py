@@ -224,3 +224,234 @@ def q_wow_running(spark, sf):
 @query("mart_wow_region")
 def q_wow(spark, sf):
     return marts.week_over_week(star_of(spark, sf))
+
+
+# ---- ingest -------------------------------------------------------------------
+# Incoming and existing batches are cut from the same raw rows by week stamp,
+# with an overlap (FIXTURES.md): existing = stamp <= 202440, incoming = stamp >= 202430.
+
+import datetime as _dt  # noqa: E402
+
+from casewatch.functions import week_stamp  # noqa: E402
+from casewatch.operators import (  # noqa: E402
+    advance_watermark, has_newer, latest_watermark, watermark_from_raw,
+)
+from casewatch.plans import ingest, kpis, quality  # noqa: E402
+from casewatch.sources.landing import flatten  # noqa: E402
+from casewatch.sources.seeds import disease_list  # noqa: E402
+
+EXISTING_UNTIL, INCOMING_FROM = 202440, 202430
+FILTER_AFTER = (2024, 10)
+BACKFILL_RANGE = (2023, 2025)
+ADVANCE_LOADED_AT = "2026-12-01 00:00:00"
+FUTURE_AS_OF = _dt.date(2024, 6, 15)
+
+
+def existing_rows(spark, sf):
+    return raw(spark, sf).where(week_stamp("year", "week") <= EXISTING_UNTIL)
+
+
+def incoming_rows(spark, sf):
+    return raw(spark, sf).where(week_stamp("year", "week") >= INCOMING_FROM)
+
+
+def watermark_log(spark, sf):
+    """One watermark row per loaded week of the existing rows, stamped with the
+    latest ship date of that week's rows (so load order differs from week order)."""
+    r = raw_from_lineitem(spark, sf, keep_shipdate=True).where(week_stamp("year", "week") <= EXISTING_UNTIL)
+    return r.groupBy(F.col("year").cast("long").alias("year"), F.col("week").cast("long").alias("week")) \
+        .agg(F.max("l_shipdate").alias("loaded_at"))
+
+
+@query("ingest_incremental_filter")
+def q_ingest_filter(spark, sf):
+    return ingest.rows_after(raw(spark, sf), *FILTER_AFTER)
+
+
+@query("ingest_backfill")
+def q_ingest_backfill(spark, sf):
+    return ingest.backfill_rows(raw(spark, sf), existing_rows(spark, sf), *BACKFILL_RANGE)
+
+
+def nested_raw(spark, sf):
+    r = raw(spark, sf)
+    geo = F.when(F.col("geocode_coordinates").isNull(), F.lit(None)).otherwise(
+        F.struct(F.lit("Point").alias("type"), F.col("geocode_coordinates").alias("coordinates")))
+    return r.select(*[c for c in r.columns if c != "geocode_coordinates"], geo.alias("geocode"))
+
+
+@query("ingest_flatten")
+def q_ingest_flatten(spark, sf):
+    return flatten(nested_raw(spark, sf))
+
+
+@query("ingest_batch_dedup")
+def q_ingest_dedup(spark, sf):
+    return ingest.dedup_batch(raw(spark, sf))
+
+
+@query("ingest_new_rows")
+def q_ingest_new_rows(spark, sf):
+    return ingest.new_rows(incoming_rows(spark, sf), existing_rows(spark, sf))
+
+
+@query("watermark_latest")
+def q_watermark_latest(spark, sf):
+    return latest_watermark(watermark_log(spark, sf))
+
+
+@query("watermark_fallback")
+def q_watermark_fallback(spark, sf):
+    return watermark_from_raw(existing_rows(spark, sf))
+
+
+@query("watermark_advance")
+def q_watermark_advance(spark, sf):
+    return advance_watermark(incoming_rows(spark, sf), F.lit(ADVANCE_LOADED_AT).cast("timestamp_ntz"))
+
+
+@query("ingest_gate")
+def q_ingest_gate(spark, sf):
+    y, w = ingest.current_watermark(watermark_log(spark, sf), existing_rows(spark, sf))
+    return has_newer(incoming_rows(spark, sf), y, w)
+
+
+@query("ingest_batch")
+def q_ingest_batch(spark, sf):
+    return ingest.plan_batch(incoming_rows(spark, sf), existing_rows(spark, sf), watermark_log(spark, sf))[3]
+
+
+@query("seed_disease_list")
+def q_seed_disease_list(spark, sf):
+    per = stg(spark, sf).groupBy(F.col("disease_name").alias("__n")).agg(F.count(F.lit(1)).alias("n_staging_rows"))
+    seed = disease_list(spark)
+    return seed.join(per, F.col("disease_name") == F.col("__n"), "left").select(
+        "disease_name", F.coalesce("n_staging_rows", F.lit(0)).alias("n_staging_rows"))
+
+
+@query("seed_us_holidays")
+def q_seed_us_holidays(spark, sf):
+    per = stg(spark, sf).groupBy(F.col("year").alias("__y"), F.col("week").alias("__w")) \
+        .agg(F.count(F.lit(1)).alias("n_staging_rows"))
+    h = us_holidays(spark)
+    return h.join(per, (F.col("year") == F.col("__y")) & (F.col("week") == F.col("__w")), "left").select(
+        "year", "week", "holiday_name", F.coalesce("n_staging_rows", F.lit(0)).alias("n_staging_rows"))
+
+
+# ---- data quality -------------------------------------------------------------
+
+def models_of(spark, sf):
+    s, loc, date, dis = dimensions(spark, sf)
+    return {
+        "stg_nndss_weekly": s, "dim_location": loc, "dim_date": date, "dim_diseases": dis,
+        "fact_disease_cases": fact_disease_cases(s), "disease_list": disease_list(spark),
+    }
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return quality.not_null(fact_disease_cases(stg(spark, sf)), "disease_id")
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    return quality.unique(fact_disease_cases(stg(spark, sf)), "location_id")
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, sf):
+    from casewatch.reference_data import ACCEPTED_FLAGS
+    return quality.accepted_values(stg(spark, sf), "current_week_cases_flag", ACCEPTED_FLAGS)
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark, sf):
+    cleaned = staging.clean_weekly(raw(spark, sf))
+    return quality.relationships(cleaned, "disease_name", disease_list(spark), "disease_name")
+
+
+@query("dq_report")
+def q_dq_report(spark, sf):
+    return quality.dq_report(models_of(spark, sf))
+
+
+@query("dq_case_spike")
+def q_dq_case_spike(spark, sf):
+    return quality.case_spikes(stg(spark, sf))
+
+
+@query("dq_future_weeks")
+def q_dq_future_weeks(spark, sf):
+    return quality.future_weeks(stg(spark, sf), FUTURE_AS_OF)
+
+
+@query("dq_null_cases_no_flag")
+def q_dq_null_cases(spark, sf):
+    return quality.null_cases_no_flag(raw(spark, sf))
+
+
+@query("dq_duplicate_rows")
+def q_dq_duplicate_rows(spark, sf):
+    return quality.duplicate_rows(staging.keep_reportable(staging.clean_weekly(raw(spark, sf))))
+
+
+@query("dq_unmatched_fk")
+def q_dq_unmatched_fk(spark, sf):
+    m = models_of(spark, sf)
+    return quality.unmatched_fk(m["fact_disease_cases"], m)
+
+
+@query("dq_quarantine")
+def q_dq_quarantine(spark, sf):
+    r = raw(spark, sf)
+    return r.withColumn("quarantine_reason", quality.quarantine_reason(r))
+
+
+# ---- dashboard measures -------------------------------------------------------
+
+def population_of(spark, sf):
+    """A population table derived from `customer`: customers map onto the
+    adapter's jurisdictions and years like lineitem rows do; each state-year
+    gets 100,000 people plus 1,000 per mapped customer. Rows for the four
+    non-state jurisdictions are kept; they never meet a case row."""
+    from casewatch.sources.adapter import ADAPTER_STATES, _pick
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    keyed = c.select(F.upper(_pick(ADAPTER_STATES, F.col("c_custkey"))).alias("state_name"),
+                     (F.lit(2022) + F.col("c_custkey") % 5).cast("long").alias("year"))
+    return keyed.groupBy("state_name", "year").agg(
+        (F.lit(100000) + F.count(F.lit(1)) * 1000).cast("long").alias("population"))
+
+
+@query("kpi_overview")
+def q_kpi_overview(spark, sf):
+    return kpis.kpi_overview(star_of(spark, sf))
+
+
+@query("kpi_category")
+def q_kpi_category(spark, sf):
+    return kpis.share_by(star_of(spark, sf), "disease_category")
+
+
+@query("kpi_region")
+def q_kpi_region(spark, sf):
+    return kpis.share_by(star_of(spark, sf), "region_name")
+
+
+@query("kpi_yoy")
+def q_kpi_yoy(spark, sf):
+    return kpis.year_over_year(star_of(spark, sf))
+
+
+@query("kpi_volatility")
+def q_kpi_volatility(spark, sf):
+    return kpis.volatility(star_of(spark, sf))
+
+
+@query("kpi_per_100k")
+def q_kpi_per_100k(spark, sf):
+    return kpis.per_100k(star_of(spark, sf), population_of(spark, sf))
+
+
+@query("kpi_pop")
+def q_kpi_pop(spark, sf):
+    return kpis.period_over_period(star_of(spark, sf), ["region_name", "disease_group"], ["year", "quarter"])

@@ -342,3 +342,185 @@ SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
 
 def oracle_sql() -> dict[str, str]:
     return {key: with_ctes(*extra) + final for key, (extra, final) in SELECTS.items()}
+
+
+# ---------------------------------------------------------------------------
+# Ingest, seeds, quality, measures.
+# ---------------------------------------------------------------------------
+
+from casewatch.plans.quality import DECLARED_CHECKS  # noqa: E402
+from casewatch.reference_data import ACCEPTED_FLAGS, DISEASE_LIST  # noqa: E402
+
+STAMP = 'CAST("year" AS BIGINT) * 100 + CAST(week AS BIGINT)'
+INGEST_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
+    "sort_order", "m1", "m2", "m3", "m4", "m1_flag", "m2_flag", "m3_flag", "m4_flag", "geocode_coordinates"])
+NULL_SAFE_KEY = ' AND '.join(f'e.{c} IS NOT DISTINCT FROM b.{c}' for c in ['states', '"year"', 'week', 'label'])
+
+
+def dedup_sql(src: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY states, \"year\", week, label "
+            f"ORDER BY {INGEST_ORDER}) AS rn FROM {src}) t WHERE rn = 1")
+
+
+def anti_sql(batch: str, existing: str = "existing") -> str:
+    return f"SELECT * FROM ({batch}) b WHERE NOT EXISTS (SELECT 1 FROM {existing} e WHERE {NULL_SAFE_KEY})"
+
+
+def after_sql(src: str, y: str, w: str) -> str:
+    yy, ww = 'CAST("year" AS BIGINT)', "CAST(week AS BIGINT)"
+    return f"SELECT * FROM {src} WHERE {yy} >= {y} AND ({yy} > {y} OR ({yy} = {y} AND {ww} > {w}))"
+
+
+INGEST_CTES = (
+    f"existing AS (SELECT * FROM raw WHERE {STAMP} <= 202440)",
+    f"incoming AS (SELECT * FROM raw WHERE {STAMP} >= 202430)",
+    f"""wm_log AS (SELECT CAST("year" AS BIGINT) AS "year", CAST(week AS BIGINT) AS week,
+      max(l_shipdate) AS loaded_at FROM raw_x WHERE {STAMP} <= 202440 GROUP BY 1, 2)""",
+    """wm_top AS (SELECT "year", week, loaded_at FROM wm_log
+      ORDER BY loaded_at DESC NULLS LAST, "year" * 100 + week DESC NULLS LAST, "year" DESC NULLS LAST,
+        week DESC NULLS LAST LIMIT 1)""",
+)
+
+POP_CTE = """pop AS (SELECT upper(s.v) AS state_name, CAST(2022 + c.c_custkey % 5 AS BIGINT) AS "year",
+    CAST(100000 + COUNT(*) * 1000 AS BIGINT) AS population
+  FROM customer c JOIN s ON c.c_custkey % 55 = s.i GROUP BY 1, 2)"""
+
+DL_CTE = f"disease_list(disease_name) AS (VALUES {values([(n,) for n in DISEASE_LIST])})"
+
+SQL_MODEL = {"stg_nndss_weekly": "stg", "fact_disease_cases": "fact", "dim_location": "dim_location",
+             "dim_date": "dim_date", "dim_diseases": "dim_diseases", "disease_list": "disease_list"}
+
+
+def lit(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    return q(v) if isinstance(v, str) else str(v)
+
+
+def check_sql(c) -> str:
+    head = f"SELECT {q(c.name)} AS test, {q(c.severity)} AS severity, COUNT(*) AS failures"
+    m, col = SQL_MODEL[c.model], c.column
+    if c.kind == "not_null":
+        return f"{head} FROM {m} WHERE {col} IS NULL"
+    if c.kind == "unique":
+        return f"{head} FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1) t"
+    if c.kind == "accepted_values":
+        vals = ", ".join(lit(v) for v in c.values)
+        return f"{head} FROM (SELECT {col} AS v FROM {m} GROUP BY {col}) t WHERE v NOT IN ({vals})"
+    p = SQL_MODEL[c.parent]
+    return (f"{head} FROM {m} c WHERE c.{col} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{c.parent_column} = c.{col})")
+
+
+REPORT_SQL = ("SELECT test, severity, failures, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' "
+              "THEN 'warn' ELSE 'fail' END AS status FROM (\n"
+              + "\nUNION ALL\n".join(check_sql(c) for c in DECLARED_CHECKS) + "\n) r")
+
+STAR_WEEKLY_OUTBREAK = ("CASE WHEN current_week_cases >= previous_52_weeks_max AND previous_52_weeks_max > 0 "
+                        "THEN 1 ELSE 0 END")
+
+SELECTS.update({
+    "ingest_incremental_filter": ((), after_sql("raw", "2024", "10")),
+    "ingest_backfill": (INGEST_CTES, anti_sql(dedup_sql(
+        "(SELECT * FROM raw WHERE CAST(\"year\" AS BIGINT) BETWEEN 2023 AND 2025)"))),
+    "ingest_flatten": ((), """SELECT states, "year", week, label, m1, m2, m3, m4, m1_flag, m2_flag, m3_flag,
+        m4_flag, sort_order, CASE WHEN geocode_coordinates IS NULL THEN NULL ELSE 'Point' END AS geocode_type,
+        geocode_coordinates FROM raw"""),
+    "ingest_batch_dedup": ((), dedup_sql("raw")),
+    "ingest_new_rows": (INGEST_CTES, anti_sql(dedup_sql("incoming"))),
+    "watermark_latest": (INGEST_CTES, "SELECT * FROM wm_top"),
+    "watermark_fallback": (INGEST_CTES, f"""SELECT COALESCE(CAST(floor(max(st) / 100) AS BIGINT), 2022) AS "year",
+        COALESCE(CAST(max(st) % 100 AS BIGINT), 0) AS week FROM (SELECT {STAMP} AS st FROM existing) t"""),
+    "watermark_advance": (INGEST_CTES, f"""SELECT CAST(floor(max(st) / 100) AS BIGINT) AS "year",
+        CAST(max(st) % 100 AS BIGINT) AS week, TIMESTAMP '2026-12-01 00:00:00' AS loaded_at
+        FROM (SELECT {STAMP} AS st FROM incoming) t HAVING max(st) IS NOT NULL"""),
+    "ingest_gate": (INGEST_CTES, f"""SELECT a.available_stamp, w.watermark_stamp,
+        COALESCE(a.available_stamp > w.watermark_stamp, FALSE) AS has_newer
+        FROM (SELECT max({STAMP}) AS available_stamp FROM incoming) a,
+             (SELECT "year" * 100 + week AS watermark_stamp FROM wm_top) w"""),
+    "ingest_batch": (INGEST_CTES, anti_sql(dedup_sql(
+        "(" + after_sql("incoming", '(SELECT "year" FROM wm_top)', "(SELECT week FROM wm_top)") + ")"))),
+    "seed_disease_list": ((DL_CTE,), """SELECT l.disease_name, COALESCE(n.n_staging_rows, 0) AS n_staging_rows
+        FROM disease_list l LEFT JOIN (SELECT disease_name, COUNT(*) AS n_staging_rows FROM stg GROUP BY 1) n
+        ON l.disease_name = n.disease_name"""),
+    "seed_us_holidays": ((), """SELECT CAST(h."year" AS BIGINT) AS "year", CAST(h.week AS BIGINT) AS week,
+        h.holiday_name, COALESCE(n.n_staging_rows, 0) AS n_staging_rows
+        FROM hol h LEFT JOIN (SELECT "year", week, COUNT(*) AS n_staging_rows FROM stg GROUP BY 1, 2) n
+        ON h."year" = n."year" AND h.week = n.week"""),
+    # quality
+    "dq_not_null": ((), "SELECT * FROM fact WHERE disease_id IS NULL"),
+    "dq_unique": ((), """SELECT location_id AS unique_field, COUNT(*) AS n_records FROM fact
+        WHERE location_id IS NOT NULL GROUP BY location_id HAVING COUNT(*) > 1"""),
+    "dq_accepted_values": ((), f"""SELECT * FROM (SELECT current_week_cases_flag AS value_field,
+        COUNT(*) AS n_records FROM stg GROUP BY 1) t
+        WHERE value_field NOT IN ({', '.join(q(v) for v in ACCEPTED_FLAGS)})"""),
+    "dq_relationships": ((DL_CTE,), """SELECT c.disease_name AS from_field FROM cleaned c
+        WHERE c.disease_name IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM disease_list p WHERE p.disease_name = c.disease_name)"""),
+    "dq_report": ((DL_CTE,), REPORT_SQL),
+    "dq_case_spike": ((), """SELECT * FROM stg WHERE current_week_cases IS NOT NULL
+        AND previous_52_weeks_max IS NOT NULL AND previous_52_weeks_max > 0
+        AND current_week_cases >= previous_52_weeks_max"""),
+    "dq_future_weeks": ((), """SELECT * FROM stg WHERE "year" * 100 + week >
+        year(DATE '2024-06-15') * 100 + CAST(strftime(DATE '2024-06-15', '%U') AS BIGINT)"""),
+    "dq_null_cases_no_flag": ((), "SELECT * FROM raw WHERE m1 IS NULL AND m1_flag IS NULL"),
+    "dq_duplicate_rows": ((), """SELECT state_name, "year", week, disease_name, COUNT(*) AS n_records
+        FROM reportable GROUP BY 1, 2, 3, 4 HAVING COUNT(*) > 1"""),
+    "dq_unmatched_fk": ((), """
+        SELECT fact_id, 'location_id' AS fk_column, CAST(location_id AS VARCHAR) AS fk_value FROM fact f
+          WHERE NOT EXISTS (SELECT 1 FROM dim_location d WHERE d.location_id = f.location_id)
+        UNION ALL
+        SELECT fact_id, 'disease_id', CAST(disease_id AS VARCHAR) FROM fact f
+          WHERE NOT EXISTS (SELECT 1 FROM dim_diseases d WHERE d.disease_id = f.disease_id)
+        UNION ALL
+        SELECT fact_id, 'date_id', CAST(date_id AS VARCHAR) FROM fact f
+          WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)"""),
+    "dq_quarantine": ((), """SELECT *, CASE
+        WHEN states IS NULL THEN 'missing_states' WHEN "year" IS NULL THEN 'missing_year'
+        WHEN week IS NULL THEN 'missing_week' WHEN label IS NULL THEN 'missing_label'
+        WHEN TRY_CAST("year" AS BIGINT) IS NULL THEN 'bad_year'
+        WHEN TRY_CAST(week AS BIGINT) IS NULL THEN 'bad_week'
+        WHEN m1 IS NOT NULL AND TRY_CAST(m1 AS DOUBLE) IS NULL THEN 'bad_m1'
+        WHEN m2 IS NOT NULL AND TRY_CAST(m2 AS DOUBLE) IS NULL THEN 'bad_m2'
+        WHEN m3 IS NOT NULL AND TRY_CAST(m3 AS DOUBLE) IS NULL THEN 'bad_m3'
+        WHEN m4 IS NOT NULL AND TRY_CAST(m4 AS DOUBLE) IS NULL THEN 'bad_m4' END AS quarantine_reason
+        FROM raw"""),
+    # measures
+    "kpi_overview": ((), f"""SELECT SUM(current_week_cases) AS total_cases,
+        COUNT(DISTINCT CASE WHEN current_week_cases > 0 THEN state_name END) AS states_reporting,
+        SUM(CASE WHEN disease_name_short IN ('CHANCROID', 'CHLAMYDIA TRACHOMATIS INFECTION', 'GONORRHEA',
+          'SYPHILIS') THEN current_week_cases ELSE 0.0 END) / NULLIF(SUM(current_week_cases), 0)
+          AS sti_burden_rate,
+        COUNT(DISTINCT disease_name_short) AS unique_diseases_tracked,
+        AVG({STAR_WEEKLY_OUTBREAK}) AS outbreak_alert_rate FROM star"""),
+    "kpi_category": ((), """SELECT disease_category, total_cases,
+        total_cases / NULLIF(SUM(total_cases) OVER (), 0) AS case_share
+        FROM (SELECT disease_category, SUM(current_week_cases) AS total_cases FROM star GROUP BY 1) t"""),
+    "kpi_region": ((), """SELECT region_name, total_cases,
+        total_cases / NULLIF(SUM(total_cases) OVER (), 0) AS case_share
+        FROM (SELECT region_name, SUM(current_week_cases) AS total_cases FROM star GROUP BY 1) t"""),
+    "kpi_yoy": ((), """SELECT c.disease_name_short, c."year", c.total_cases, p.total_cases AS previous_year_cases,
+        c.total_cases - p.total_cases AS yoy_change,
+        round((c.total_cases - p.total_cases) / NULLIF(p.total_cases, 0) * 100, 2) AS yoy_pct_change
+        FROM (SELECT disease_name_short, "year", SUM(current_week_cases) AS total_cases FROM star GROUP BY 1, 2) c
+        LEFT JOIN (SELECT disease_name_short, "year", SUM(current_week_cases) AS total_cases FROM star
+          GROUP BY 1, 2) p
+        ON p.disease_name_short IS NOT DISTINCT FROM c.disease_name_short AND p."year" = c."year" - 1"""),
+    "kpi_volatility": ((), """SELECT disease_category, COUNT(*) AS n_weeks,
+        round(AVG(weekly_cases), 6) AS mean_weekly_cases,
+        round(stddev_samp(weekly_cases), 6) AS stddev_weekly_cases,
+        round(stddev_samp(weekly_cases) / NULLIF(AVG(weekly_cases), 0), 6) AS coefficient_of_variation
+        FROM (SELECT disease_category, "year", week, SUM(current_week_cases) AS weekly_cases FROM star
+          GROUP BY 1, 2, 3) t GROUP BY 1"""),
+    "kpi_per_100k": ((POP_CTE,), """SELECT c.disease_name_short, c."year", c.total_cases, p.population,
+        c.total_cases * 100000 / CAST(p.population AS DOUBLE) AS cases_per_100k
+        FROM (SELECT disease_name_short, "year", SUM(current_week_cases) AS total_cases FROM star GROUP BY 1, 2) c
+        LEFT JOIN (SELECT "year", CAST(SUM(population) AS BIGINT) AS population FROM pop GROUP BY 1) p
+        ON c."year" = p."year" """),
+    "kpi_pop": ((), """SELECT *, total_cases - previous_total AS change,
+        COALESCE(round((total_cases - previous_total) / NULLIF(previous_total, 0) * 100, 2), 0.0) AS pct_change
+        FROM (SELECT *, COALESCE(lag(total_cases) OVER (PARTITION BY region_name, disease_group
+            ORDER BY "year" ASC NULLS FIRST, quarter ASC NULLS FIRST), 0.0) AS previous_total
+          FROM (SELECT region_name, disease_group, "year", quarter, SUM(current_week_cases) AS total_cases
+            FROM star GROUP BY 1, 2, 3, 4) a) t"""),
+})
