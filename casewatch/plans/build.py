@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from casewatch.plans.dims import LOCATION_BOUND, dim_date, dim_diseases, dim_location
+from casewatch.plans.dims import dim_date, dim_diseases, dim_location, dimension_bounds
 from casewatch.plans.facts import fact_disease_cases
 from casewatch.plans.marts import season_ranking, star, top_diseases, week_over_week
-from casewatch.plans.staging import stage_weekly
+from casewatch.plans.staging import dedup_grain, reportable
 from casewatch.reference_data import US_HOLIDAYS
 from casewatch.session import scratch_path
 from casewatch.sources.seeds import us_holidays
@@ -29,7 +29,6 @@ def build_models(raw: DataFrame, holidays: DataFrame | None = None, materialize:
     holiday_rows = len(US_HOLIDAYS) if holidays is None else None
     holidays = us_holidays(spark) if holidays is None else holidays
     m: dict[str, DataFrame] = {}
-    bounds: dict[str, int] = {}
 
     def keep(name, df, kind="dims"):
         if materialize:
@@ -38,14 +37,18 @@ def build_models(raw: DataFrame, holidays: DataFrame | None = None, materialize:
         m[name] = df
         return df
 
-    stg = keep("stg_nndss_weekly", stage_weekly(raw), "staging")
-    loc = keep("dim_location", dim_location(stg))
-    date = keep("dim_date", dim_date(stg, holidays, holiday_rows))
-    dis = keep("dim_diseases", dim_diseases(stg))
+    rows = reportable(raw)
+    stg = keep("stg_nndss_weekly", dedup_grain(rows), "staging")
+    # Written staging is cheap to re-read; lazily, the pre-dedup rows give the
+    # same distinct grain values without the dedup's sort-based shuffle.
+    grain = stg if materialize else rows
+    loc = keep("dim_location", dim_location(grain))
+    date = keep("dim_date", dim_date(grain, holidays, holiday_rows))
+    dis = keep("dim_diseases", dim_diseases(grain))
     if materialize:
         bounds = {k: m[k].count() for k in ("dim_location", "dim_date", "dim_diseases")}
     else:
-        bounds = {"dim_location": LOCATION_BOUND}
+        bounds = dimension_bounds(rows)
     fact = keep("fact_disease_cases", fact_disease_cases(stg), "facts")
     s = star(fact, loc, dis, date, bounds)
     m["star"] = s

@@ -52,5 +52,17 @@ def dedup_grain(df: DataFrame) -> DataFrame:
     return dedup_first(df, GRAIN, [F.col(c).asc_nulls_first() for c in STAGING_ORDER])
 
 
+def reportable(raw: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION) -> DataFrame:
+    """Staging before the dedup: cleaned rows that survive the filters.
+
+    The dedup keeps exactly one row of every grain group, so the set of
+    distinct values of any grain column (state, division, year, week,
+    disease) is the same here as in staging. Dimensions and their size
+    bounds can be built from these rows: a projection of a few columns plus
+    a partial aggregate, without the sort-based shuffle of the dedup.
+    """
+    return keep_reportable(clean_weekly(raw, divisions))
+
+
 def stage_weekly(raw: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION) -> DataFrame:
-    return dedup_grain(keep_reportable(clean_weekly(raw, divisions)))
+    return dedup_grain(reportable(raw, divisions))

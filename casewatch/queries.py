@@ -45,14 +45,19 @@ def stg(spark, sf):
     return staging.stage_weekly(raw(spark, sf))
 
 
+def grain_rows(spark, sf):
+    """Rows with the same distinct grain values as staging, without its dedup."""
+    return staging.reportable(raw(spark, sf))
+
+
 def dimensions(spark, sf):
-    s = stg(spark, sf)
-    return s, dim_location(s), dim_date(s, us_holidays(spark), len(US_HOLIDAYS)), dim_diseases(s)
+    g = grain_rows(spark, sf)
+    return stg(spark, sf), dim_location(g), dim_date(g, us_holidays(spark), len(US_HOLIDAYS)), dim_diseases(g)
 
 
 def star_of(spark, sf):
     s, loc, date, dis = dimensions(spark, sf)
-    return star(fact_disease_cases(s), loc, dis, date, {"dim_location": dims.LOCATION_BOUND})
+    return star(fact_disease_cases(s), loc, dis, date, dims.dimension_bounds(grain_rows(spark, sf)))
 
 
 # ---- staging ----------------------------------------------------------------
@@ -113,11 +118,11 @@ def q_surrogate_key(spark, sf):
 
 @query("dim_location")
 def q_dim_location(spark, sf):
-    return dim_location(stg(spark, sf))
+    return dim_location(grain_rows(spark, sf))
 
 
 def _spine(spark, sf):
-    return stg(spark, sf).select("year", "week").distinct()
+    return grain_rows(spark, sf).select("year", "week").distinct()
 
 
 @query("dim_date_labels")
@@ -138,11 +143,11 @@ def q_dim_date_holidays(spark, sf):
 
 @query("dim_date")
 def q_dim_date(spark, sf):
-    return dim_date(stg(spark, sf), us_holidays(spark), len(US_HOLIDAYS))
+    return dim_date(grain_rows(spark, sf), us_holidays(spark), len(US_HOLIDAYS))
 
 
 def _names(spark, sf):
-    return stg(spark, sf).select("disease_name").distinct()
+    return grain_rows(spark, sf).select("disease_name").distinct()
 
 
 def _attr_query(name, col_fn):
@@ -165,7 +170,7 @@ REGISTRY["disease_name_short"] = _attr_query("disease_name_short", short_name)
 
 @query("dim_diseases")
 def q_dim_diseases(spark, sf):
-    return dim_diseases(stg(spark, sf))
+    return dim_diseases(grain_rows(spark, sf))
 
 
 # ---- fact and marts -----------------------------------------------------------

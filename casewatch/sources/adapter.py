@@ -69,7 +69,19 @@ def raw_records(li: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the session has cores.
+
+    The shared test tables are single-row-group files, so their scan is one
+    task and the per-row work after it (masking, normalising) would run in
+    one thread. A table stored as many files already has enough splits and is
+    left alone (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_from_lineitem(spark: SparkSession, sf_dir: str, keep_shipdate: bool = False) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
     raw = raw_records(li)
     return raw if keep_shipdate else raw.select(*RAW_COLUMNS)
