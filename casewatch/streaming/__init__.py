@@ -1 +1,5 @@
 """Structured Streaming entry points."""
+
+from casewatch.streaming.landing_stream import append_new, start_landing_stream
+
+__all__ = ["append_new", "start_landing_stream"]
