@@ -50,6 +50,11 @@ def rows_between_years(raw: DataFrame, start_year: int = BACKFILL_YEARS[0],
     return raw.where(_int("year").between(start_year, end_year))
 
 
+def ordered_extract(raw: DataFrame) -> DataFrame:
+    """Rows ordered by (year, week) as integers, for presentation only (a global sort)."""
+    return raw.orderBy(_int("year").asc_nulls_first(), _int("week").asc_nulls_first())
+
+
 # A total order for "first row per key" when no landing position is known.
 CONTENT_ORDER = ["sort_order", "m1", "m2", "m3", "m4", "m1_flag", "m2_flag", "m3_flag", "m4_flag"]
 

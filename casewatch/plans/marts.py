@@ -179,3 +179,17 @@ def week_over_week(s: DataFrame, by: str = "reference") -> DataFrame:
         "wow_change", "wow_pct_change", "flagged_current_week_count",
         F.round("running_cumulative_cases", 0).cast("long").alias("running_cumulative_cases_year"),
     )
+
+
+# ---- presentation order ------------------------------------------------------------
+# A stored table has no order; apply these when reading a mart for display.
+PRESENTATION_ORDER = {
+    "agg_top5_diseases_per_state_year_quarter": ["state_name", "year", "quarter", "disease_rank_in_state"],
+    "agg_week_over_week_change_by_region_week_year": ["region_name", "disease_name_short", "year", "week"],
+    "dim_date": ["year", "week"],
+}
+
+
+def ordered(df: DataFrame, model: str) -> DataFrame:
+    """The model's rows in its presentation order (ascending, nulls first)."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in PRESENTATION_ORDER[model]])

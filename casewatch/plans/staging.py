@@ -42,6 +42,12 @@ def clean_weekly(raw: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION)
     )
 
 
+def with_region(df: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION,
+                state_col: str = "state_name") -> DataFrame:
+    """Add `region_name` (the Census division) for a normalised state column; null when unknown."""
+    return df.withColumn("region_name", lookup(state_col, divisions))
+
+
 def keep_reportable(df: DataFrame) -> DataFrame:
     """Rows with a known division and a disease that is not a ', TOTAL' line (null names go too)."""
     return df.where(F.col("region_name").isNotNull() & ~F.col("disease_name").like(TOTAL_SUFFIX_LIKE))
