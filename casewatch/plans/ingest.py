@@ -155,22 +155,27 @@ def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
                  multi_line: bool = True) -> IngestResult:
     """Run one incremental load from landed files into the raw table.
 
-    The new rows are first written once to a fresh folder under the shared
-    checkpoint dir: the anti-join runs once, its result is counted from
-    Parquet metadata, and the append copies stored rows (a retried append
-    task re-reads files, never recomputes the join).
+    The landed files are parsed once: the rows after the watermark are
+    written to a fresh folder under the shared checkpoint dir, and the gate,
+    the landing copy, the dedup + anti-join and the watermark advance all read
+    that stored copy. The gate ("newest stamp available > watermark") is the
+    same as "some row is after the watermark". The new rows are written once
+    more before the append, so the anti-join runs once and a retried append
+    task re-reads files instead of recomputing the join.
     """
     wm = ensure_watermark(spark, wm_path)
     existing = spark.read.schema(schemas.RAW).parquet(raw_path) if table_exists(spark, raw_path) else None
+    before = current_watermark(wm, existing)
     incoming = flatten(read_landed(spark, landing, multi_line=multi_line, with_position=True))
-    ran, before, fetched, to_append = plan_batch(incoming, existing, wm)
-    adv = advance_watermark(fetched, loaded_at).first() if ran else None
-    if adv is None:
+    fetched = write_table(rows_after(incoming, *before), scratch_path(spark, "ingest-fetched"))
+    adv = advance_watermark(fetched, loaded_at).first()
+    if adv is None:  # nothing newer than the watermark
         return IngestResult(False, before, 0, 0, None)
     if land_base:
         day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
         land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
-    staged = write_table(to_append.select(*schemas.RAW_COLUMNS), scratch_path(spark, "ingest"))
+    to_append = new_rows(fetched, existing).select(*schemas.RAW_COLUMNS)
+    staged = write_table(to_append, scratch_path(spark, "ingest-new"))
     n_new = staged.count()
     if n_new:
         append_raw(staged, raw_path)

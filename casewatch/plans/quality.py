@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from casewatch import reference_data as R
 from casewatch.functions import sunday_week_of, week_stamp
+from casewatch.operators import bounded_broadcast
 from casewatch.schemas import GRAIN
 
 # ---- generic tests -----------------------------------------------------------
@@ -37,9 +38,15 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
             .where(~F.col("value_field").isin(list(values))))
 
 
+def parent_keys(parent: DataFrame, pcol: str, alias: str) -> DataFrame:
+    """Distinct parent keys, marked for broadcast when their number is within the bound,
+    so the large child side is filtered map-side instead of being shuffled."""
+    return bounded_broadcast(parent.select(F.col(pcol).alias(alias)).distinct())
+
+
 def relationships(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
     """Non-null child values with no parent row (one row per failing child row)."""
-    keys = parent.select(F.col(pcol).alias("__to")).distinct()
+    keys = parent_keys(parent, pcol, "__to")
     kids = child.where(F.col(col).isNotNull()).select(F.col(col).alias("from_field"))
     return kids.join(keys, F.col("from_field") == F.col("__to"), "left_anti")
 
@@ -77,7 +84,7 @@ def unmatched_fk(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows whose key is null or has no dimension row, tagged with the failing key."""
     parts = []
     for col, dim in FK_SPECS:
-        keys = dims[dim].select(F.col(col).alias("__k")).distinct()
+        keys = parent_keys(dims[dim], col, "__k")
         miss = fact.join(keys, F.col(col) == F.col("__k"), "left_anti")
         parts.append(miss.select("fact_id", F.lit(col).alias("fk_column"),
                                  F.col(col).cast("string").alias("fk_value")))
