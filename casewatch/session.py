@@ -28,6 +28,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Session settings for large runs. They are SQL settings that can be changed at
+# runtime; `apply_scale_conf` sets only those the cluster has not set already.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """Set the large-run defaults where the session has no value yet; return what was set."""
+    applied = {}
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        if spark.conf.get(k, None) is None or (overrides and k in overrides):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
