@@ -66,8 +66,13 @@ def reportable(raw: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION) ->
     disease) is the same here as in staging. Dimensions and their size
     bounds can be built from these rows: a projection of a few columns plus
     a partial aggregate, without the sort-based shuffle of the dedup.
+
+    The null checks on the raw columns are implied by the filters (a null
+    state has no division, a null label no disease name); written out they
+    reach the Parquet reader as pushed filters.
     """
-    return keep_reportable(clean_weekly(raw, divisions))
+    present = raw.where(F.col("states").isNotNull() & F.col("label").isNotNull())
+    return keep_reportable(clean_weekly(present, divisions))
 
 
 def stage_weekly(raw: DataFrame, divisions: Mapping[str, str] = STATE_DIVISION) -> DataFrame:

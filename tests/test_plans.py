@@ -53,3 +53,22 @@ def test_materialised_build_equals_lazy_build(spark, sf_small):
     stored = build.build_models(raw, materialize=True, root=scratch_path(spark, "test-build"))
     for k in ("agg_top5_diseases_per_state_year_quarter", "agg_week_over_week_change_by_region_week_year"):
         assert lazy[k].exceptAll(stored[k]).count() == 0 and stored[k].exceptAll(lazy[k]).count() == 0
+
+
+def _scan_lines(df):
+    return [l for l in plan(df).split("\n") if "FileScan" in l]
+
+
+def test_raw_table_pruning(spark, sf_small):
+    import tempfile
+    from casewatch import schemas
+    from casewatch.plans import dims, ingest, staging
+    from casewatch.sources.tables import append_raw
+    d = tempfile.mkdtemp(prefix="casewatch-prune-")
+    append_raw(raw_from_lineitem(spark, sf_small), f"{d}/raw")
+    raw = spark.read.schema(schemas.RAW).parquet(f"{d}/raw")
+    scan = _scan_lines(ingest.rows_after(raw, 2024, 10))[0]
+    assert "PartitionFilters: [isnotnull(year" in scan and ">= 2024" in scan  # year partitions skipped
+    scan = _scan_lines(dims.dim_location(staging.reportable(raw)))[0]
+    assert "ReadSchema: struct<states:string,label:string>" in scan  # two columns read
+    assert "IsNotNull(states)" in scan and "IsNotNull(label)" in scan  # pushed to the reader
