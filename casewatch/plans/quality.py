@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from casewatch import reference_data as R
 from casewatch.functions import sunday_week_of, week_stamp
 from casewatch.operators import bounded_broadcast
+from casewatch.operators.joins import MAX_BROADCAST_ROWS
 from casewatch.schemas import GRAIN
 
 # ---- generic tests -----------------------------------------------------------
@@ -199,48 +200,72 @@ def _rows(pairs: list[tuple[Check, Column]]) -> list[Column]:
                      n.cast("long").alias("failures")) for c, n in pairs]
 
 
-def _column_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null and accepted_values checks of one model in one aggregation pass.
+def _model_pass(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
+    """Every column check of one model in a single scan and aggregation.
 
-    accepted_values counts distinct failing values (one test row per value).
+    not_null counts null rows; accepted_values counts distinct failing values
+    (one test row per value); a relationship check whose parent keys are
+    small enough to broadcast left-joins those distinct keys (no row can
+    multiply) and counts non-null child keys without a match.
     """
     pairs = []
-    for c in checks:
+    for i, c in enumerate(checks):
         col = F.col(c.column)
         if c.kind == "not_null":
             pairs.append((c, F.count_if(col.isNull())))
-        else:
+        elif c.kind == "accepted_values":
             pairs.append((c, F.count_distinct(F.when(~col.isin(list(c.values)), col))))
+        else:
+            key, hit = f"__rk{i}", f"__rh{i}"
+            keys = F.broadcast(parents[c.name].select(F.col(c.parent_column).alias(key))
+                               .withColumn(hit, F.lit(True)))
+            df = df.join(keys, col == F.col(key), "left")
+            pairs.append((c, F.count_if(col.isNotNull() & F.col(hit).isNull())))
     one = df.agg(*[n.alias(f"__n{i}") for i, (_, n) in enumerate(pairs)])
     rows = _rows([(c, F.col(f"__n{i}")) for i, (c, _) in enumerate(pairs)])
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _count_of(check: Check, failing: DataFrame) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
+def _count_of(check: Check, failing: DataFrame, column: str) -> DataFrame:
+    return failing.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("failures")).select(
         F.lit(check.name).alias("test"), F.lit(check.severity).alias("severity"), "failures")
 
 
+def _small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:
     """One row per check: (test, severity, failures, status).
 
-    Column checks of a model share one scan; unique and relationship checks
-    are a grouped count and an anti-join each. The report is one DataFrame,
-    evaluated in one job.
+    Each model is scanned once for its not_null, accepted_values and
+    small-parent relationship checks; a unique check is a grouped count
+    (partial aggregation first). A relationship to a parent too large to
+    broadcast pre-aggregates the child keys, so a hot key becomes one row,
+    before the anti-join. The report is one DataFrame, one row per check.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    parents: dict[str, DataFrame] = {}
     for c in checks:
         if c.kind in ("not_null", "accepted_values"):
             by_model.setdefault(c.model, []).append(c)
         elif c.kind == "unique":
-            parts.append(_count_of(c, unique(models[c.model], c.column)))
+            parts.append(_count_of(c, unique(models[c.model], c.column).select(F.lit(1).alias("n")), "n"))
         elif c.kind == "relationships":
-            parts.append(_count_of(c, relationships(models[c.model], c.column, models[c.parent], c.parent_column)))
+            parent = models[c.parent].select(c.parent_column).distinct()
+            if _small(parent):
+                parents[c.name] = parent
+                by_model.setdefault(c.model, []).append(c)
+            else:
+                child = (models[c.model].where(F.col(c.column).isNotNull())
+                         .groupBy(F.col(c.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
+                missing = child.join(parent, F.col("__v") == F.col(c.parent_column), "left_anti")
+                parts.append(_count_of(c, missing, "n"))
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
     for model, cs in by_model.items():
-        parts.append(_column_pass(models[model], cs))
+        parts.append(_model_pass(models[model], cs, parents))
     report = reduce(DataFrame.unionByName, parts)
     sev = F.col("severity")
     status = F.when(F.col("failures") == 0, "pass").when(sev == "warn", "warn").otherwise("fail")

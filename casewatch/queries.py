@@ -346,11 +346,13 @@ def q_seed_us_holidays(spark, sf):
 # ---- data quality -------------------------------------------------------------
 
 def models_of(spark, sf):
-    s, loc, date, dis = dimensions(spark, sf)
-    return {
-        "stg_nndss_weekly": s, "dim_location": loc, "dim_date": date, "dim_diseases": dis,
-        "fact_disease_cases": fact_disease_cases(s), "disease_list": disease_list(spark),
-    }
+    """Staging, dims and fact written once under the checkpoint folder, as a
+    scheduled build leaves them; checks that read several models then scan
+    stored tables instead of recomputing staging for each of them."""
+    from casewatch.plans.build import build_models
+    m = build_models(raw(spark, sf), materialize=True)
+    keep = ("stg_nndss_weekly", "dim_location", "dim_date", "dim_diseases", "fact_disease_cases")
+    return {**{k: m[k] for k in keep}, "disease_list": disease_list(spark)}
 
 
 @query("dq_not_null")
