@@ -12,8 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hashlib
+import os
+import threading
+
+from pyspark.sql import types as T
+
 from casewatch.reference_data import DISEASE_LIST, STATE_DIVISION
-from casewatch.schemas import RAW_COLUMNS
+from casewatch.schemas import RAW, RAW_COLUMNS
+from casewatch.session import checkpoint_root
+from casewatch.sources.tables import table_exists
 
 # 50 states + DC in alphabetical order, title case, then four jurisdictions
 # that have no division and must be dropped by staging.
@@ -73,15 +81,42 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan that yields fewer splits than the session has cores.
 
     The shared test tables are single-row-group files, so their scan is one
-    task and the per-row work after it (masking, normalising) would run in
-    one thread. A table stored as many files already has enough splits and is
-    left alone (no shuffle).
+    task. A table stored as many files already has enough splits and is left
+    alone (no shuffle).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+# Bump when the derivation changes, so stored copies are rebuilt.
+ADAPTER_VERSION = "1"
+
+
+_WRITE_LOCK = threading.Lock()
+_WRITTEN: set[str] = set()
+
+
+def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """One stored copy per input folder and process (no two writers share a path)."""
+    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{ADAPTER_VERSION}|{os.getpid()}".encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark).rstrip('/')}/casewatch/raw-{key}"
+
+
 def raw_from_lineitem(spark: SparkSession, sf_dir: str, keep_shipdate: bool = False) -> DataFrame:
-    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
-    raw = raw_records(li)
-    return raw if keep_shipdate else raw.select(*RAW_COLUMNS)
+    """Raw weekly records derived from the test tables, stored like a production raw table.
+
+    The derivation is written once per input folder (and process) as Parquet
+    partitioned by year under the shared checkpoint folder (a finished write
+    leaves a _SUCCESS marker; anything else is rewritten) and read back with
+    the declared schema. Readers then scan a multi-file, year-partitioned table:
+    parallel splits, partition pruning and pushed filters, as in production.
+    """
+    path = raw_table_path(spark, sf_dir)
+    with _WRITE_LOCK:
+        if path not in _WRITTEN and not table_exists(spark, f"{path}/_SUCCESS", marker=True):
+            li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+            raw_records(li).write.mode("overwrite").partitionBy("year").parquet(path)
+        _WRITTEN.add(path)
+    cols = RAW_COLUMNS + (["l_shipdate"] if keep_shipdate else [])
+    schema = T.StructType(list(RAW.fields) + [T.StructField("l_shipdate", T.TimestampNTZType(), True)])
+    return spark.read.schema(schema).parquet(path).select(*cols)

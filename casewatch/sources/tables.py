@@ -15,8 +15,19 @@ NAMESPACES = {
 }
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a readable Parquet table is at `path` (an empty table counts)."""
+def table_exists(spark: SparkSession, path: str, marker: bool = False) -> bool:
+    """True when a readable Parquet table is at `path` (an empty table counts).
+
+    With marker=True, `path` names a marker file (e.g. a finished job's
+    _SUCCESS) and only its presence is tested, through the Hadoop file
+    system Spark itself uses.
+    """
+    if marker:
+        try:
+            spark.read.text(path).schema  # noqa: B018 - lists the path without reading it
+            return True
+        except AnalysisException:
+            return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolving the schema lists the folder
         return True
