@@ -33,12 +33,14 @@ LOCATION_BOUND = len(STATE_DIVISION)
 def dimension_bounds(stg: DataFrame) -> dict[str, int]:
     """Row-count upper bounds of the three dimensions of `stg`, from one aggregate.
 
-    dim_location is bounded by the state lookup; dim_date by the distinct
-    (year, week) pairs and dim_diseases by the distinct names (+1 each for a
-    possible all-null key). One pass instead of counting each dimension.
+    dim_location is bounded by the state lookup; dim_date has one row per
+    distinct (year, week) pair (a struct, so pairs with a null part count
+    too) and dim_diseases at most one per distinct name. One pass instead of
+    counting each dimension.
     """
-    r = stg.agg(F.count_distinct("year", "week").alias("d"), F.count_distinct("disease_name").alias("n")).first()
-    return {"dim_location": LOCATION_BOUND, "dim_date": int(r["d"]) + 1, "dim_diseases": int(r["n"]) + 1}
+    r = stg.agg(F.count_distinct(F.struct("year", "week")).alias("d"),
+                F.count_distinct("disease_name").alias("n")).first()
+    return {"dim_location": LOCATION_BOUND, "dim_date": int(r["d"]), "dim_diseases": int(r["n"])}
 
 
 # ---- location ---------------------------------------------------------------
