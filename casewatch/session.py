@@ -57,16 +57,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (a test) is a fresh folder
     under the system temp dir set as the checkpoint dir.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         import tempfile
         root = tempfile.mkdtemp(prefix="casewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else fallback
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the checkpoint root for a written table."""
     return os.path.join(checkpoint_root(spark), "casewatch", f"{name}-{uuid.uuid4().hex[:12]}")

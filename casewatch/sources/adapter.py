@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from casewatch.reference_data import DISEASE_LIST, STATE_DIVISION
 from casewatch.schemas import RAW, RAW_COLUMNS
-from casewatch.session import checkpoint_root
+from casewatch.session import checkpoint_root, default_parallelism
 from casewatch.sources.tables import table_exists
 
 # 50 states + DC in alphabetical order, title case, then four jurisdictions
@@ -84,8 +84,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     task. A table stored as many files already has enough splits and is left
     alone (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    cores = default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): spread unconditionally
+        splits = 0
+    return df.repartition(cores, key) if splits < cores else df
 
 
 # Bump when the derivation changes, so stored copies are rebuilt.
