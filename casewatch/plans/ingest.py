@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +148,7 @@ class IngestResult:
     fetched_rows: int
     appended_rows: int
     watermark_after: tuple[int, int] | None
+    touched_years: list[int] = field(default_factory=list)  # feed to refresh_models(years=...)
 
 
 def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
@@ -177,8 +178,11 @@ def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
     to_append = new_rows(fetched, existing).select(*schemas.RAW_COLUMNS)
     staged = write_table(to_append, scratch_path(spark, "ingest-new"))
     n_new = staged.count()
+    years: list[int] = []
     if n_new:
         append_raw(staged, raw_path)
+        # one row per calendar year present in the batch
+        years = sorted(int(r[0]) for r in staged.select(_int("year")).distinct().collect() if r[0] is not None)
     spark.createDataFrame([(adv["year"], adv["week"], adv["loaded_at"])], schemas.WATERMARK) \
         .write.mode("append").parquet(wm_path)
-    return IngestResult(True, before, fetched.count(), n_new, (adv["year"], adv["week"]))
+    return IngestResult(True, before, fetched.count(), n_new, (adv["year"], adv["week"]), years)

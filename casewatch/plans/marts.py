@@ -170,7 +170,12 @@ def wow_running(df: DataFrame, by: str = "reference") -> DataFrame:
 
 
 def week_over_week(s: DataFrame, by: str = "reference") -> DataFrame:
-    out = wow_running(wow_lag(wow_preagg(s), by), by)
+    return wow_finish(wow_preagg(s), by)
+
+
+def wow_finish(pre: DataFrame, by: str = "reference") -> DataFrame:
+    """The week-over-week mart from its pre-aggregate (LAG, change, running total)."""
+    out = wow_running(wow_lag(pre, by), by)
     return out.select(
         "census_division", "region_name", "year", "quarter", "season", "week", "week_label", "mmwr_period",
         "is_holiday_week", "holiday_name", "disease_name_short", "disease_status", "disease_group",

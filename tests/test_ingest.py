@@ -96,7 +96,7 @@ def test_ingest_is_idempotent(spark):
     # overlap: an older week (below the watermark) and a newer one
     land(landing, "day2.json", [rec("Ohio", "2024", "1", "Mumps"), rec("Utah", "2024", "11", "Mumps")])
     r3 = ingest.ingest_batch(spark, landing, raw_path, wm_path, dt.datetime(2024, 3, 3))
-    assert r3.ran and r3.appended_rows == 1 and r3.watermark_after == (2024, 11)
+    assert r3.ran and r3.appended_rows == 1 and r3.watermark_after == (2024, 11) and r3.touched_years == [2024]
     assert spark.read.schema(schemas.RAW).parquet(raw_path).count() == 4
 
 
