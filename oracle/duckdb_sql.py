@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from casewatch.functions.patterns import modifier_regex
 from casewatch.functions.text import ASCII_WS_CLASS, UNICODE_WS
+from casewatch.plans.quality import DECLARED_CHECKS
 from casewatch.reference_data import (
+    ACCEPTED_FLAGS, DISEASE_LIST,
     DISEASE_CATEGORY_RULES, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
     DISEASE_GROUP_PREFIX_RULES, DISEASE_SEVERITY_RULES, DISEASE_STATUS_RULES, DISEASE_SUBTYPE_RULES,
     DIVISION_REGION, SHORT_NAME_STRIP_RULES, STATE_ABBREVIATION, STATE_DIVISION, SURROGATE_NULL,
@@ -348,8 +350,6 @@ def oracle_sql() -> dict[str, str]:
 # Ingest, seeds, quality, measures.
 # ---------------------------------------------------------------------------
 
-from casewatch.plans.quality import DECLARED_CHECKS  # noqa: E402
-from casewatch.reference_data import ACCEPTED_FLAGS, DISEASE_LIST  # noqa: E402
 
 STAMP = 'CAST("year" AS BIGINT) * 100 + CAST(week AS BIGINT)'
 INGEST_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
