@@ -82,13 +82,21 @@ FK_SPECS = [("location_id", "dim_location"), ("disease_id", "dim_diseases"), ("d
 
 
 def unmatched_fk(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows whose key is null or has no dimension row, tagged with the failing key."""
+    """Fact rows whose key is null or has no dimension row, tagged with the failing key.
+
+    Skew-safe: the failing key values are found among the distinct child
+    keys (partial aggregation first, so a key held by a third of the rows
+    is one row), then the fact rows holding them are picked out, broadcasting
+    that set when it fits the bound. Null keys are a map-only filter.
+    """
     parts = []
     for col, dim in FK_SPECS:
-        keys = parent_keys(dims[dim], col, "__k")
-        miss = fact.join(keys, F.col(col) == F.col("__k"), "left_anti")
-        parts.append(miss.select("fact_id", F.lit(col).alias("fk_column"),
-                                 F.col(col).cast("string").alias("fk_value")))
+        child_keys = fact.where(F.col(col).isNotNull()).select(F.col(col).alias("__v")).distinct()
+        missing = child_keys.join(parent_keys(dims[dim], col, "__k"), F.col("__v") == F.col("__k"), "left_anti")
+        hit = fact.join(bounded_broadcast(missing), F.col(col) == F.col("__v"), "left_semi")
+        for rows in (fact.where(F.col(col).isNull()), hit):
+            parts.append(rows.select("fact_id", F.lit(col).alias("fk_column"),
+                                     F.col(col).cast("string").alias("fk_value")))
     return reduce(DataFrame.unionByName, parts)
 
 
