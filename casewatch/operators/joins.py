@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension row is a few hundred bytes at most, so this stays well under
-# the default broadcast size limits.
-MAX_BROADCAST_ROWS = 200_000
+# A dimension row is a few hundred bytes at most, so a broadcast stays in the
+# tens of megabytes even when sent to a thousand executors. Real dimensions are
+# far smaller (51 states, ~130 diseases, 53 weeks a year).
+MAX_BROADCAST_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,

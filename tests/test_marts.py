@@ -78,3 +78,26 @@ def test_top5_keeps_ties_and_max_rank(spark, sf_small):
     top = marts.top_diseases(Q.star_of(spark, sf_small))
     assert top.agg(F.max("disease_rank_in_state")).first()[0] <= 5
     assert top.where(F.col("quarter").isNull()).count() > 0  # week 53 forms its own partition
+
+
+def test_hot_key_with_a_third_of_rows_dedups_to_one(spark, sf_small):
+    from pyspark.sql import functions as F
+    from casewatch.plans import staging
+    raw = Q.raw(spark, sf_small)
+    n = raw.count()
+    hot = raw.where((F.col("states") == "Ohio") & ~F.col("label").contains("Total")).first().asDict()
+    copies = spark.range(n // 2).select(*[
+        (F.concat(F.lit(hot["sort_order"]), F.lit("#"), F.col("id").cast("string")) if c == "sort_order"
+         else F.lit(hot[c]).cast(raw.schema[c].dataType)).alias(c)
+        for c in raw.columns])
+    skewed = raw.unionByName(copies)  # one grain key now holds a third of all rows
+    got = staging.stage_weekly(skewed)
+    want = staging.stage_weekly(raw)
+    assert got.count() == want.count()
+    k = staging.clean_weekly(copies.limit(1)).first()
+    key = (F.col("state_name") == k.state_name) & (F.col("disease_name") == k.disease_name) & \
+          (F.col("year") == k.year) & (F.col("week") == k.week)
+    assert got.where(key).count() == 1
+    # the first row by masked sort order wins, whichever copy that is
+    assert got.where(key).first().sort_order_masked == \
+        staging.reportable(skewed).where(key).agg(F.min("sort_order_masked")).first()[0]
