@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch import schemas
+from casewatch.functions import week_stamp
 from casewatch.operators import (
     advance_watermark, anti_join_new, dedup_first, has_newer, latest_watermark, watermark_from_raw,
 )
@@ -71,13 +72,33 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
     return dedup_first(df, keys, batch_order(df))
 
 
-def restrict_to_batch_years(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Existing rows that can share a key with the batch: only its years.
+# Above this many distinct weeks in one batch, fall back to a year range.
+MAX_BATCH_WEEKS = 10_000
+
 
-    Year is part of the key, so rows of other years can never match; with a
-    year-partitioned table this is partition pruning. One tiny aggregate
-    (min, max, any null) comes to the driver.
+def restrict_to_batch_weeks(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """Existing rows that can share a key with the batch: only its (year, week) pairs.
+
+    Year and week are both part of the natural key, so rows of other weeks can
+    never match. On a raw table partitioned by year and week this is partition
+    pruning: a weekly load reads one or two weeks of existing keys, not a
+    year. The distinct stamps of the batch are bounded by the calendar (53 a
+    year); only they reach the driver. Null year or week parts are kept
+    null-safe.
     """
+    stamps = batch.select(week_stamp("year", "week").alias("s")).distinct().limit(MAX_BATCH_WEEKS + 1).collect()
+    values = [r["s"] for r in stamps]
+    if len(values) > MAX_BATCH_WEEKS:
+        return restrict_to_batch_years(existing, batch)
+    known = [v for v in values if v is not None]
+    cond = week_stamp("year", "week").isin(known) if known else F.lit(False)
+    if len(known) < len(values):
+        cond = cond | F.col("year").isNull() | F.col("week").isNull()
+    return existing.where(cond)
+
+
+def restrict_to_batch_years(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """Existing rows of the batch's year range (the coarse form of restrict_to_batch_weeks)."""
     r = batch.agg(F.min(_int("year")).alias("lo"), F.max(_int("year")).alias("hi"),
                   F.max(F.col("year").isNull().cast("int")).alias("nulls")).first()
     if r is None or (r["lo"] is None and not r["nulls"]):
@@ -96,7 +117,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str
     if existing is None:
         return batch
     if restrict:
-        existing = restrict_to_batch_years(existing, incoming)
+        existing = restrict_to_batch_weeks(existing, incoming)
     return anti_join_new(batch, existing, keys)
 
 

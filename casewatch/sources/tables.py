@@ -46,8 +46,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def append_raw(df: DataFrame, path: str) -> None:
-    """Insert-only append to the raw table, partitioned by year for pruning."""
-    df.write.mode("append").partitionBy("year").parquet(path)
+    """Insert-only append to the raw table, partitioned by year and week.
+
+    Year partitions serve the model refresh; (year, week) partitions let the
+    anti-join of a weekly load read only the weeks present in the batch.
+    """
+    df.write.mode("append").partitionBy("year", "week").parquet(path)
 
 
 def materialise(models: dict[str, tuple[str, DataFrame]], root: str | None = None,

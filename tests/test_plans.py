@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from casewatch import queries as Q
 from casewatch.plans import build, facts, marts, quality
 from casewatch.session import scratch_path
@@ -69,6 +71,9 @@ def test_raw_table_pruning(spark, sf_small):
     raw = spark.read.schema(schemas.RAW).parquet(f"{d}/raw")
     scan = _scan_lines(ingest.rows_after(raw, 2024, 10))[0]
     assert "PartitionFilters: [isnotnull(year" in scan and ">= 2024" in scan  # year partitions skipped
+    batch = raw.where((F.col("year") == "2024") & (F.col("week").isin("41", "42")))
+    scan = _scan_lines(ingest.restrict_to_batch_weeks(raw, batch))[0]
+    assert "PartitionFilters" in scan and "202441" in scan and "202442" in scan  # only the batch's weeks
     scan = _scan_lines(dims.dim_location(staging.reportable(raw)))[0]
     assert "ReadSchema: struct<states:string,label:string>" in scan  # two columns read
     assert "IsNotNull(states)" in scan and "IsNotNull(label)" in scan  # pushed to the reader
