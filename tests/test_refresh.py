@@ -26,3 +26,36 @@ def test_refresh_of_touched_years_equals_full_build(spark, sf_small):
     for k in ("stg_nndss_weekly", "dim_location", "dim_date", "dim_diseases", "fact_disease_cases",
               MART_TOP5, MART_SEASON, MART_WOW):
         assert same(got[k].select(*want[k].columns), want[k]), k
+
+
+def test_weekly_flow_ingest_then_refresh_touched_years(spark):
+    import datetime as dt
+    import json
+    import os
+    import tempfile
+
+    from casewatch import schemas
+    from casewatch.plans.ingest import ingest_batch
+
+    root = tempfile.mkdtemp(prefix="casewatch-flow-")
+    landing, raw_path, wm, store = f"{root}/landing", f"{root}/raw", f"{root}/wm", f"{root}/models"
+    os.makedirs(landing)
+
+    def rec(states, year, week, label, m1, sort_order):
+        return {"states": states, "year": year, "week": week, "label": label, "m1": m1, "m2": "3", "m3": "9",
+                "m4": "1", "m1_flag": None, "m2_flag": None, "m3_flag": None, "m4_flag": None,
+                "sort_order": sort_order, "geocode": {"type": "Point", "coordinates": [-90.0, 40.0]}}
+
+    day1 = [rec("Ohio", "2023", "52", "Mumps", "4", "a"), rec("Ohio", "2024", "1", "Mumps", "7", "b"),
+            rec("Iowa", "2024", "2", "Rabies, human", "2", "c")]
+    day2 = [rec("Ohio", "2024", "3", "Mumps", "9", "d"), rec("Iowa", "2024", "3", "Mumps", "1", "e")]
+    for name, batch in (("day1.json", day1), ("day2.json", day2)):
+        with open(f"{landing}/{name}", "w") as fh:
+            json.dump(batch, fh)
+        r = ingest_batch(spark, landing, raw_path, wm, dt.datetime(2024, 2, 1))
+        raw = spark.read.schema(schemas.RAW).parquet(raw_path)
+        got = refresh_models(raw, store, years=r.touched_years)
+        want = build_models(raw)
+        for k in ("stg_nndss_weekly", "dim_date", MART_TOP5, MART_SEASON, MART_WOW):
+            assert same(got[k].select(*want[k].columns), want[k]), (name, k)
+    assert r.touched_years == [2024]
