@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from casewatch.plans.dims import dim_date, dim_diseases, dim_location
 from casewatch.plans.facts import fact_disease_cases
-from casewatch.plans.marts import season_ranking, star, top_diseases, wow_finish, wow_preagg
+from casewatch.plans.marts import (
+    SEASON_COLUMNS, TOP5_COLUMNS, WOW_COLUMNS, season_ranking, star, top_diseases, wow_finish, wow_preagg,
+)
 from casewatch.plans.staging import stage_weekly
 from casewatch.reference_data import US_HOLIDAYS
 from casewatch.schemas import STAGING_COLUMNS
@@ -76,9 +78,7 @@ def refresh_models(raw: DataFrame, store: str, years: Sequence[int] | None = Non
     s = star(fact, loc, dis, date, bounds)
     touched = s.where(_in_years(scope))
 
-    top5_cols = top_diseases(touched).columns
     _write_years(top_diseases(touched), f"{root}/marts/{MART_TOP5}", full)
-    season_cols = season_ranking(touched).columns
     _write_years(season_ranking(touched), f"{root}/marts/{MART_SEASON}", full)
 
     pre = wow_preagg(touched)
@@ -87,10 +87,20 @@ def refresh_models(raw: DataFrame, store: str, years: Sequence[int] | None = Non
     wow = wow_finish(pre_all)
     _write_years(wow.where(_in_years(scope)), f"{root}/marts/{MART_WOW}", full)
 
+    return open_models(spark, store)
+
+
+def open_models(spark, store: str) -> dict[str, DataFrame]:
+    """DataFrames reading a model store written by `refresh_models` (in any session)."""
+    root = store.rstrip("/")
+    stg = _read_years(spark, f"{root}/staging", STAGING_COLUMNS)
     return {
-        "stg_nndss_weekly": stg, "dim_location": loc, "dim_date": date, "dim_diseases": dis,
-        "fact_disease_cases": fact,
-        MART_TOP5: _read_years(spark, f"{root}/marts/{MART_TOP5}", top5_cols),
-        MART_SEASON: _read_years(spark, f"{root}/marts/{MART_SEASON}", season_cols),
-        MART_WOW: _read_years(spark, f"{root}/marts/{MART_WOW}", wow.columns),
+        "stg_nndss_weekly": stg,
+        "dim_location": spark.read.parquet(f"{root}/dims/dim_location"),
+        "dim_date": spark.read.parquet(f"{root}/dims/dim_date"),
+        "dim_diseases": spark.read.parquet(f"{root}/dims/dim_diseases"),
+        "fact_disease_cases": fact_disease_cases(stg),
+        MART_TOP5: _read_years(spark, f"{root}/marts/{MART_TOP5}", TOP5_COLUMNS),
+        MART_SEASON: _read_years(spark, f"{root}/marts/{MART_SEASON}", SEASON_COLUMNS),
+        MART_WOW: _read_years(spark, f"{root}/marts/{MART_WOW}", WOW_COLUMNS),
     }

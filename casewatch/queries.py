@@ -18,20 +18,20 @@ from pyspark.sql import functions as F
 from casewatch.functions import lookup, match_first, norm_disease, short_name, surrogate_key, week_stamp
 from casewatch.operators import advance_watermark, has_newer, latest_watermark, watermark_from_raw
 from casewatch.plans import dims, ingest, kpis, marts, quality, staging
-from casewatch.plans.refresh import refresh_models
-from casewatch.session import checkpoint_root
 from casewatch.plans.dims import dim_date, dim_diseases, dim_location
 from casewatch.plans.facts import fact_disease_cases
 from casewatch.plans.marts import star
+from casewatch.plans.refresh import open_models, refresh_models
 from casewatch.reference_data import (
-    DISEASE_CATEGORY_RULES, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
+    ACCEPTED_FLAGS, DISEASE_CATEGORY_RULES, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
     DISEASE_GROUP_PREFIX_RULES, DISEASE_SEVERITY_RULES, DISEASE_STATUS_RULES, DISEASE_SUBTYPE_RULES,
     STATE_DIVISION, US_HOLIDAYS,
 )
-from casewatch.reference_data import ACCEPTED_FLAGS
-from casewatch.sources.adapter import ADAPTER_STATES, _pick, raw_from_lineitem
+from casewatch.session import checkpoint_root
+from casewatch.sources.adapter import ADAPTER_STATES, pick, raw_from_lineitem
 from casewatch.sources.landing import flatten
 from casewatch.sources.seeds import disease_list, us_holidays
+from casewatch.sources.tables import table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -77,15 +77,20 @@ def stored_models(spark, sf):
     of the stored staging.
     """
     key = hashlib.sha1(f"{sf.rstrip('/')}|{os.getpid()}".encode()).hexdigest()[:16]
+    store = f"{checkpoint_root(spark).rstrip('/')}/casewatch/models-{key}"
+    cache_key = f"{key}|{spark.conf.get('spark.app.id', '')}"  # DataFrames belong to one session
     with _STORE_LOCK:
-        if key not in _STORES:
-            store = f"{checkpoint_root(spark).rstrip('/')}/casewatch/models-{key}"
-            m = refresh_models(raw(spark, sf), store)
-            _STORES[key] = {
+        if cache_key not in _STORES:
+            if table_exists(spark, f"{store}/_complete/_SUCCESS", marker=True):
+                m = open_models(spark, store)
+            else:
+                m = refresh_models(raw(spark, sf), store)
+                spark.range(1).write.mode("overwrite").parquet(f"{store}/_complete")
+            _STORES[cache_key] = {
                 "models": m,
                 "bounds": {k: m[k].count() for k in ("dim_location", "dim_date", "dim_diseases")},
             }
-        return _STORES[key]
+        return _STORES[cache_key]
 
 
 def star_of(spark, sf):
@@ -443,7 +448,7 @@ def population_of(spark, sf):
     gets 100,000 people plus 1,000 per mapped customer. Rows for the four
     non-state jurisdictions are kept; they never meet a case row."""
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    keyed = c.select(F.upper(_pick(ADAPTER_STATES, F.col("c_custkey"))).alias("state_name"),
+    keyed = c.select(F.upper(pick(ADAPTER_STATES, F.col("c_custkey"))).alias("state_name"),
                      (F.lit(2022) + F.col("c_custkey") % 5).cast("long").alias("year"))
     return keyed.groupBy("state_name", "year").agg(
         (F.lit(100000) + F.count(F.lit(1)) * 1000).cast("long").alias("population"))

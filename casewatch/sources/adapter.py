@@ -37,7 +37,8 @@ ADAPTER_LABELS: list[str] = DISEASE_LIST + [
 ]
 
 
-def _pick(values: list[str], key: Column) -> Column:
+def pick(values: list[str], key: Column) -> Column:
+    """The value at position key % len(values) of a literal list (a projection, no join)."""
     arr = F.array(*[F.lit(v) for v in values])
     return F.element_at(arr, (key % len(values) + 1).cast("int"))
 
@@ -57,10 +58,10 @@ def raw_records(li: DataFrame) -> DataFrame:
         )
     )
     return li.select(
-        _pick(ADAPTER_STATES, F.col("l_orderkey")).alias("states"),
+        pick(ADAPTER_STATES, F.col("l_orderkey")).alias("states"),
         _s(F.lit(2022) + F.year("l_shipdate") % 5).alias("year"),
         _s((F.lit(1) + F.floor((F.dayofyear("l_shipdate") - 1) / 7)).cast("long")).alias("week"),
-        _pick(ADAPTER_LABELS, F.col("l_partkey")).alias("label"),
+        pick(ADAPTER_LABELS, F.col("l_partkey")).alias("label"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string")).otherwise(_s(qty)).alias("m1"),
         _s(price % 60).alias("m2"),
         _s(qty * F.col("l_linenumber")).alias("m3"),
