@@ -59,3 +59,26 @@ def test_weekly_flow_ingest_then_refresh_touched_years(spark):
         for k in ("stg_nndss_weekly", "dim_date", MART_TOP5, MART_SEASON, MART_WOW):
             assert same(got[k].select(*want[k].columns), want[k]), (name, k)
     assert r.touched_years == [2024]
+
+
+def test_weekly_job(spark):
+    import json
+    import os
+    import tempfile
+
+    import pytest
+
+    from casewatch.jobs import weekly_run
+
+    root = tempfile.mkdtemp(prefix="casewatch-job-")
+    landing = f"{root}/landing"
+    os.makedirs(landing)
+    batch = [{"states": "Ohio", "year": "2024", "week": "5", "label": "Mumps", "m1": "2", "m1_flag": "-",
+              "sort_order": "x", "geocode": None}]
+    with open(f"{landing}/a.json", "w") as fh:
+        json.dump(batch, fh)
+    # the '-' flag is outside the accepted flags: an error-severity test fails and the job raises
+    with pytest.raises(AssertionError):
+        weekly_run(spark, landing, f"{root}/raw", f"{root}/wm", f"{root}/store")
+    out = weekly_run(spark, landing, f"{root}/raw", f"{root}/wm", f"{root}/store", raise_on_error=False)
+    assert out.report is None and out.ingest.appended_rows == 0  # nothing new: store kept
