@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casewatch.functions import date_id, surrogate_key, trim_ws
 from casewatch.operators import bounded_broadcast
-from casewatch.plans.dims import LOCATION_BOUND, has_disease_row
+from casewatch.plans.dims import has_disease_row
 from casewatch.schemas import FLAGS, MEASURES
 
 FACT_COLUMNS = [
@@ -62,4 +62,4 @@ def fact_disease_cases(stg: DataFrame, loc: DataFrame | None = None, dis: DataFr
     return out.select(_fact_key(), "location_id", "disease_id", "date_id", *_measures_and_flags())
 
 
-__all__ = ["FACT_COLUMNS", "LOCATION_BOUND", "fact_disease_cases"]
+__all__ = ["FACT_COLUMNS", "fact_disease_cases"]
