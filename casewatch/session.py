@@ -10,7 +10,12 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "casewatch") -> SparkSession:
-    """A local session with AQE on and the UI off (tests, bench)."""
+    """A local session with AQE on and the UI off (tests, bench).
+
+    Its catalog warehouse is a fresh temp folder (local runs only).
+    """
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="casewatch-warehouse-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -22,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -59,7 +59,8 @@ def materialise(models: dict[str, tuple[str, DataFrame]], root: str | None = Non
     """Materialise {name: (kind, df)}: staging as a temp view, the rest as tables.
 
     Tables go to `{root}/{namespace}/{name}` as Parquet, or, with
-    use_catalog=True, to `{namespace}.{name}` in the session catalog.
+    use_catalog=True, to `{namespace}.{name}` in the session catalog (the
+    namespace is created at `{root}/{namespace}` when a root is given).
     Returns DataFrames that read the materialised data.
     """
     out: dict[str, DataFrame] = {}
@@ -70,8 +71,9 @@ def materialise(models: dict[str, tuple[str, DataFrame]], root: str | None = Non
             out[name] = df
         elif use_catalog:
             spark = df.sparkSession
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
-            df.write.mode("overwrite").saveAsTable(f"{ns}.{name}")
+            where = f" LOCATION '{root.rstrip('/')}/{ns}'" if root else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}{where}")
+            df.write.mode("overwrite").format("parquet").saveAsTable(f"{ns}.{name}")
             out[name] = spark.table(f"{ns}.{name}")
         else:
             if root is None:

@@ -44,3 +44,15 @@ def test_materialise_namespaces(spark, sf_small):
     assert os.path.isdir(f"{root}/cdc_dims/dim_location") and os.path.isdir(f"{root}/cdc_marts")
     assert spark.table("stg_nndss_weekly").count() == 5524  # staging is a view
     assert out["fact_disease_cases"].count() == 5524
+
+
+def test_materialise_into_catalog_namespaces(spark, sf_small):
+    m = build_models(raw_from_lineitem(spark, sf_small))
+    root = tempfile.mkdtemp(prefix="casewatch-cat-")
+    out = materialise({"dim_location": ("dims", m["dim_location"]),
+                       "agg_top5_diseases_per_state_year_quarter":
+                           ("marts", m["agg_top5_diseases_per_state_year_quarter"])},
+                      root=root, use_catalog=True)
+    assert spark.table("cdc_dims.dim_location").count() == 51
+    assert out["agg_top5_diseases_per_state_year_quarter"].count() == 4271
+    assert os.path.isdir(f"{root}/cdc_dims")
