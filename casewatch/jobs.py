@@ -17,6 +17,7 @@ from casewatch import schemas
 from casewatch.plans import quality
 from casewatch.plans.ingest import IngestResult, ingest_batch
 from casewatch.plans.refresh import refresh_models
+from casewatch.session import apply_scale_conf
 from casewatch.sources.seeds import disease_list
 from casewatch.sources.tables import table_exists
 
@@ -64,6 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--warn-only", action="store_true", help="report failing error-severity tests, do not fail")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("casewatch-weekly").getOrCreate()
+    apply_scale_conf(spark)  # AQE, skew joins, partition sizes: only where the cluster left them unset
     out = weekly_run(spark, args.landing, args.raw, args.watermark, args.store,
                      land_base=args.land_copy, raise_on_error=not args.warn_only)
     print(f"ingest: {out.ingest}")
