@@ -243,7 +243,8 @@ def _small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:
+def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS,
+              parent_rows: dict[str, int] | None = None) -> DataFrame:
     """One row per check: (test, severity, failures, status).
 
     Each model is scanned once for its not_null, accepted_values and
@@ -251,6 +252,8 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
     (partial aggregation first). A relationship to a parent too large to
     broadcast pre-aggregates the child keys, so a hot key becomes one row,
     before the anti-join. The report is one DataFrame, one row per check.
+    `parent_rows` gives known row counts of parent models (e.g. counts taken
+    when dimensions were written); a parent without one is counted.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
@@ -262,7 +265,8 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
             parts.append(_count_of(c, unique(models[c.model], c.column).select(F.lit(1).alias("n")), "n"))
         elif c.kind == "relationships":
             parent = models[c.parent].select(c.parent_column).distinct()
-            if _small(parent):
+            known = (parent_rows or {}).get(c.parent)
+            if (known is not None and known <= MAX_BROADCAST_ROWS) or (known is None and _small(parent)):
                 parents[c.name] = parent
                 by_model.setdefault(c.model, []).append(c)
             else:

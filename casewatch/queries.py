@@ -23,7 +23,7 @@ from casewatch.plans.facts import fact_disease_cases
 from casewatch.plans.marts import star
 from casewatch.plans.refresh import open_models, refresh_models
 from casewatch.reference_data import (
-    ACCEPTED_FLAGS, DISEASE_CATEGORY_RULES, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
+    ACCEPTED_FLAGS, DISEASE_CATEGORY_RULES, DISEASE_LIST, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
     DISEASE_GROUP_PREFIX_RULES, DISEASE_SEVERITY_RULES, DISEASE_STATUS_RULES, DISEASE_SUBTYPE_RULES,
     STATE_DIVISION, US_HOLIDAYS,
 )
@@ -405,7 +405,8 @@ def q_dq_relationships(spark, sf):
 
 @query("dq_report")
 def q_dq_report(spark, sf):
-    return quality.dq_report(models_of(spark, sf))
+    bounds = {**stored_models(spark, sf)["bounds"], "disease_list": len(DISEASE_LIST)}
+    return quality.dq_report(models_of(spark, sf), parent_rows=bounds)
 
 
 @query("dq_case_spike")
