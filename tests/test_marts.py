@@ -101,3 +101,26 @@ def test_hot_key_with_a_third_of_rows_dedups_to_one(spark, sf_small):
     # the first row by masked sort order wins, whichever copy that is
     assert got.where(key).first().sort_order_masked == \
         staging.reportable(skewed).where(key).agg(F.min("sort_order_masked")).first()[0]
+
+
+def test_presentation_orders(spark):
+    from casewatch.plans import ingest
+    raw = spark.createDataFrame([("2024", "10"), ("2024", "9"), ("2023", "52")], "year string, week string")
+    assert [(r.year, r.week) for r in ingest.ordered_extract(raw).collect()] == [
+        ("2023", "52"), ("2024", "9"), ("2024", "10")]  # integers, not text
+    dd = spark.createDataFrame([(2024, 2), (2023, 53), (2024, 1)], "year long, week long")
+    assert [(r.year, r.week) for r in marts.ordered(dd, "dim_date").collect()] == [(2023, 53), (2024, 1), (2024, 2)]
+
+
+def test_scale_conf_only_fills_gaps(spark):
+    from casewatch.session import SCALE_CONF, apply_scale_conf
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    applied = apply_scale_conf(spark, overrides={"spark.sql.shuffle.partitions": "8"})
+    try:
+        assert "spark.sql.adaptive.enabled" not in applied  # already set by the session
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert set(applied) <= set(SCALE_CONF)
+    finally:  # leave the shared test session as it was
+        for k in applied:
+            if k != "spark.sql.shuffle.partitions":
+                spark.conf.unset(k)
