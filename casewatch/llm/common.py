@@ -59,33 +59,29 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return whole.join(keys.select(*KEY), KEY, "left_semi").select("row.*")
 
 
-def ranked(df: DataFrame, order: list[str], name: str, total: str | None = None) -> DataFrame:
-    """`df` written in the order of `order`, with `rank` (from 0, over all rows).
+def ranked(df: DataFrame, order: list[str], name: str, totals: dict[str, str] | None = None) -> DataFrame:
+    """`df`, written in the order of `order`, with `rank` (from 0, over all rows) and, for each
+    {prefix: column} of `totals`, `<prefix>_before`: the column's sum over all earlier rows.
 
-    With `total`, a column of numbers, also `before`: its sum over all earlier rows.
-    Rows are range-partitioned, so no task sees more than its share; only one row
-    per partition goes through the small offsets table. `order` must be a total order
-    (end it with the row key).
+    Rows are range-partitioned, so no task sees more than its share; one row per partition
+    goes through the offsets table. `order` must be a total order (end it with the row key).
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    totals = totals or {}
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = written(
         df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        .withColumn("mid", F.monotonically_increasing_id()),
-        name,
-    )
-    placed = placed.withColumn("part", F.shiftright("mid", 33)).withColumn("local", F.col("mid").bitwiseAND((1 << 33) - 1))
-    amount = F.col(total) if total else F.lit(0)
-    sums = placed.groupBy("part").agg(F.count("*").alias("n"), F.sum(amount).alias("s"))
+        .withColumn("mid", F.monotonically_increasing_id()), name,
+    ).withColumn("part", F.shiftright("mid", 33)).withColumn("local", F.col("mid").bitwiseAND((1 << 33) - 1))
+    sums = placed.groupBy("part").agg(F.count("*").alias("n"), *[F.sum(c).alias(f"s_{p}") for p, c in totals.items()])
+    # As many rows as the table has partitions: bounded by the setting, not by the data.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the table: bounded by the partition count, not by the data.
     offsets = sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
-                          F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s0"))
+                          *[F.coalesce(F.sum(f"s_{p}").over(earlier), F.lit(0)).alias(f"s0_{p}") for p in totals])
+    inside = Window.partitionBy("part").orderBy("local").rowsBetween(Window.unboundedPreceding, -1)
     out = placed.join(F.broadcast(offsets), "part").withColumn("rank", F.col("n0") + F.col("local"))
-    if total:
-        inside = Window.partitionBy("part").orderBy("local").rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn("before", F.col("s0") + F.coalesce(F.sum(total).over(inside), F.lit(0)))
-    return out.drop("part", "local", "mid", "n0", "s0")
+    for p, c in totals.items():
+        out = out.withColumn(f"{p}_before", F.col(f"s0_{p}") + F.coalesce(F.sum(c).over(inside), F.lit(0)))
+    return out.drop("part", "local", "mid", "n0", *[f"s0_{p}" for p in totals])
 
 
 def components(edges: DataFrame) -> DataFrame:

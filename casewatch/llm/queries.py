@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casewatch.llm.exact_dedup import exact_dedup
+from casewatch.llm.packing import pack_documents
 from casewatch.llm.simhash import simhash_groups
+from casewatch.llm.tokens import token_histogram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +47,13 @@ FROM t WINDOW g AS (PARTITION BY body)
 @_query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@_query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_histogram(_table(spark, sf_dir, "documents"))
+
+
+@_query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents")).drop("kf", "kr")
