@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casewatch.llm.exact_dedup import exact_dedup
 from casewatch.llm.packing import pack_documents
+from casewatch.llm.pii import find_pii
+from casewatch.llm.secret_scan import find_secrets
 from casewatch.llm.simhash import simhash_groups
 from casewatch.llm.tokens import token_histogram
 
@@ -57,3 +59,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents")).drop("kf", "kr")
+
+
+@_query("op2_pii_spans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(_table(spark, sf_dir, "documents")).drop("kf", "kr")
+
+
+@_query("op3_secret_spans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents")).drop("kf", "kr")
