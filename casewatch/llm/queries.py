@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casewatch.llm.exact_dedup import exact_dedup
+from casewatch.llm.line_rules import quality_rules
 from casewatch.llm.packing import pack_documents
 from casewatch.llm.pii import find_pii
 from casewatch.llm.secret_scan import find_secrets
@@ -69,3 +70,53 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_secret_spans")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents")).drop("kf", "kr")
+
+
+@_query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents")).drop("kf", "kr")
+
+
+ORACLE["op10_quality_rules"] = r"""
+WITH doc AS (
+  SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+), word AS (
+  SELECT doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM doc
+), win AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS pos, w FROM word WHERE len(w) >= 6
+), win_text AS (
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 4], ' ') AS five FROM win
+), rep AS (
+  SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, five) AS c FROM win_text) WHERE c > 1
+), rep_words AS (
+  SELECT doc_id, count(DISTINCT pos + k) AS n FROM rep, (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id
+), line AS (
+  SELECT doc_id, source, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM doc)
+), full_line AS (
+  SELECT doc_id, source, line, len(lw) AS size,
+         translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM line WHERE len(lw) > 0
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_line GROUP BY doc_id
+), host AS (
+  SELECT source, count(*) AS host_docs FROM doc GROUP BY source
+), common AS (
+  SELECT l.source, norm FROM full_line l JOIN host h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, norm, host_docs
+  HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.1 * host_docs
+), lost AS (
+  SELECT doc_id, sum(size) AS lost, count(DISTINCT l.norm) AS n
+  FROM full_line l JOIN common c ON l.norm = c.norm AND l.source IS NOT DISTINCT FROM c.source GROUP BY doc_id
+), counted AS (
+  SELECT w.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         len(w) - coalesce(lost, 0) AS words_left, coalesce(l.n, 0) AS n_common_lines
+  FROM word w LEFT JOIN dup d USING (doc_id) LEFT JOIN rep_words r USING (doc_id) LEFT JOIN lost l USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(words_left AS BIGINT) AS words_left, n_common_lines,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 10 AND words_left >= 0.5 * n_words AS kept
+FROM counted
+"""
