@@ -10,6 +10,7 @@ from casewatch.llm.exact_dedup import exact_dedup
 from casewatch.llm.line_rules import quality_rules
 from casewatch.llm.packing import pack_documents
 from casewatch.llm.pii import find_pii
+from casewatch.llm.quality_classifier import quality_posteriors
 from casewatch.llm.secret_scan import find_secrets
 from casewatch.llm.simhash import simhash_groups
 from casewatch.llm.tokens import token_histogram
@@ -120,3 +121,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 10 AND words_left >= 0.5 * n_words AS kept
 FROM counted
 """
+
+
+@_query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_posteriors(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("kf", "kr")
