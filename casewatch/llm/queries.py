@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casewatch.llm.exact_dedup import exact_dedup
 from casewatch.llm.line_rules import quality_rules
+from casewatch.llm.mixing import mix
 from casewatch.llm.packing import pack_documents
 from casewatch.llm.pii import find_pii
 from casewatch.llm.quality_classifier import quality_posteriors
@@ -126,3 +127,8 @@ FROM counted
 @_query("op1_quality_classifier")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_posteriors(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("kf", "kr")
+
+
+@_query("op4_mix_sources")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
