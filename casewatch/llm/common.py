@@ -53,10 +53,18 @@ def file_backed(docs: DataFrame) -> DataFrame:
         return written(docs, "rows")
 
 
-def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of `docs` (all its columns, whatever they are called) whose key is in `keys`."""
-    whole = keyed(docs, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return whole.join(keys.select(*KEY), KEY, "left_semi").select("row.*")
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """kf, kr, row: every row of `docs` as one struct, so no column name can clash."""
+    names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return keyed(docs, F.struct(*map(F.col, names)).alias("row"))
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of `docs`, with all its columns, whose key isn't in `keys`.
+
+    The keys are written first: a short list is broadcast by its measured size, a long one is joined by shuffle.
+    """
+    return whole_rows(docs).join(written(keys.select(*KEY), name), KEY, "left_anti").select("row.*")
 
 
 def ranked(df: DataFrame, order: list[str], name: str, totals: dict[str, str] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casewatch.llm.exact_dedup import exact_dedup
+from casewatch.llm.license_scan import find_licences
+from casewatch.llm.license_scan import oracle as licence_oracle
 from casewatch.llm.line_rules import quality_rules
 from casewatch.llm.mixing import mix
 from casewatch.llm.packing import pack_documents
@@ -132,3 +134,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_mix_sources")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@_query("op7_license_sentences")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(_table(spark, sf_dir, "documents")).drop("kf", "kr")
+
+
+ORACLE["op7_license_sentences"] = licence_oracle()
