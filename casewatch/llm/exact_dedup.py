@@ -81,7 +81,7 @@ def block_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits: int
     first reduces each task's equal blocks to one). The names travel back over the blocks'
     64-bit hashes; where distinct blocks share a hash, over the blocks themselves.
     """
-    texts = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    texts = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(texts.mapInArrow(
         _digests(block_bytes, hash_bits), "kf long, kr long, doc_id long, sha string, hashes array<long>"), "digests")
     contents = texts.select("text").mapInArrow(_contents(block_bytes, hash_bits, False), "h long, block binary")

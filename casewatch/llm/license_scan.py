@@ -147,7 +147,7 @@ def find_licences(docs: DataFrame) -> DataFrame:
     Reads `doc_id` and `text`; other columns are ignored. A null or empty text has none; repeated rows are
     scanned once each; an empty table gives an empty result.
     """
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = rows.select("kf", "kr", "doc_id", sentence_ids(F.col("text")).alias("ids"))
     ruled = ids.withColumn("r", licences(F.col("ids")))
     return ruled.select(

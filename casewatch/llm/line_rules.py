@@ -79,13 +79,13 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["kf", "kr", "doc_id", "host", *_COUNTS, "hashes", "sizes"])
 
 
-def _host(docs: DataFrame, host: str):
+def _host(host: str):
     """The host, where null is a host of its own that no name equals."""
-    return F.coalesce(F.concat(F.lit("h:"), docs[host].cast("string")), F.lit("")).alias("host")
+    return F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("")).alias("host")
 
 
 def _measured(docs: DataFrame, host: str) -> DataFrame:
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), _host(docs, host), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), _host(host), F.col("text").cast("string").alias("text"))
     schema = "kf long, kr long, doc_id long, host string, " + ", ".join(f"{c} long" for c in _COUNTS)
     return written(rows.mapInArrow(_measure, f"{schema}, hashes array<long>, sizes array<long>"), "measured")
 
@@ -142,5 +142,5 @@ def without_common_lines(docs: DataFrame, host: str = "source", max_share: float
                 out.append(text)
             yield pa.RecordBatch.from_arrays([b.column("kf"), b.column("kr"), b.column("doc_id"), pa.array(out, pa.string())],
                                              names=["kf", "kr", "doc_id", "text"])
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.join(cut, KEY, "left").mapInArrow(run, "kf long, kr long, doc_id long, text string")

@@ -123,8 +123,8 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[float, ...] = WE
     ignored. A null or empty text has size 0 and is never rounded up; rows without a source are one source, the last; rows
     that repeat an id are separate documents; an empty table gives an empty result.
     """
-    rows = written(keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"),
-                         n_words(docs["text"].cast("string")).alias("size")), "sizes")
+    rows = written(keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
+                         n_words(F.col("text").cast("string")).alias("size")), "sizes")
     sizes = written(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "source-sizes")
     goals = written(targets(sizes, weights, share, max_copies), "targets")
     most = goals.agg(F.max("n")).first()[0] or 0

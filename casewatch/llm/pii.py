@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from casewatch.llm.common import keyed
 from casewatch.llm.spans import Mapped, Span, added, digest, joined
@@ -193,7 +194,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     A null text counts as empty: no spans. Repeated rows are scanned once each; an empty
     table gives an empty result.
     """
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     return rows.mapInArrow(_scan, f"kf long, kr long, doc_id long, {counts}, base_sha256 string, spans string, n_added long")
 
@@ -213,5 +214,5 @@ def masked(docs: DataFrame, mask: str = "[{}]") -> DataFrame:
                 out.append(None if text is None else Mapped(text, edits).text)
             yield pa.RecordBatch.from_arrays([b.column("kf"), b.column("kr"), b.column("doc_id"), pa.array(out, pa.string())],
                                              names=["kf", "kr", "doc_id", "text"])
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "kf long, kr long, doc_id long, text string")

@@ -108,7 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
                 [b.column("doc_id"), b.column("good"), pa.array([shape(t) for t in texts], pa.list_(pa.float64())),
                  pa.array([sorted(terms(t)) for t in texts], pa.list_(pa.string()))], names=["doc_id", "good", "shape", "terms"])
 
-    text = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most `max_labelled` rows of 12 bytes: proven small.
     rows = written(text.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "good").mapInArrow(
         describe, "doc_id long, good int, shape array<double>, terms array<string>"), "described")
@@ -172,8 +172,8 @@ def quality_posteriors(docs: DataFrame, labels: DataFrame, host: str = "source",
     a site of its own; repeated rows are rated once each. Without labelled rows of both
     classes the evidence is 0.5 and every row is kept. An empty table gives an empty result.
     """
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs[host].cast("string").alias("host"),
-                 docs[path].cast("string").alias("path"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"),
+                 F.col(path).cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     model = fit(docs, labels, max_labelled)
     scored = written(rows.mapInArrow(
         _scores(model or Model()), "kf long, kr long, doc_id long, host string, path string, z double"), "scores")

@@ -25,6 +25,7 @@ from urllib.parse import unquote_to_bytes
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from casewatch.llm.common import keyed
 from casewatch.llm.spans import Mapped, Span, added, digest, joined
@@ -209,6 +210,6 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     Reads `doc_id` and `text`; other columns are ignored. A null text counts as empty: no
     spans. Repeated rows are scanned once each; an empty table gives an empty result.
     """
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     return rows.mapInArrow(_scan, f"kf long, kr long, doc_id long, {counts}, base_sha256 string, spans string, n_added long, n_layers long, n_closed long")

@@ -258,7 +258,7 @@ def simhash_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE
     the first by key if several rows repeat it. An empty table gives an empty result.
     """
     rows = written(
-        keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+        keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_fingerprints(words), "kf long, kr long, doc_id long, fp long"), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "kf", "kr")).alias("first")
     fps = written(rows.groupBy("fp").agg(first), "distinct-fp")
