@@ -204,7 +204,7 @@ def _verified(mask: np.ndarray, part: np.ndarray, fps: np.ndarray, distance: int
         i = i[i + step < last[i]]
         if not len(i):
             break
-        near = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= distance]
+        near = i[np.bitwise_count((fps[i] ^ fps[i + step]).view(np.uint64)) <= distance]
         _unite(root, near, near + step)
     to = np.flatnonzero(root != np.arange(n))
     return pa.RecordBatch.from_arrays([pa.array(fps[to]), pa.array(fps[root[to]])], names=["u", "v"])
