@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     quality are left out; of repeated labels of an id the worst counts.
     """
     toxic = F.coalesce(labels["toxic"].cast("int"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
-    known = labels.select(labels["doc_id"].cast("long").alias("doc_id"),
+    known = labels.filter(labels["quality"].isNotNull()).select(labels["doc_id"].cast("long").alias("doc_id"),
                           ((labels["quality"].cast("int") == 1) & (toxic == 0)).cast("int").alias("good"))
     known = known.dropna().groupBy("doc_id").agg(F.min("good").alias("good"))
     sample = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")

@@ -72,5 +72,5 @@ def test_odd_rows(spark):
 
 def test_lines_are_removed(spark):
     got = {r.doc_id: r.text for r in without_common_lines(docs(spark, made()), max_share=0.2, min_docs=5).collect()}
-    assert all("newsletter" not in t for t in got.values()) and any("# * | $" in t for t in got.values())
+    assert all("newsletter" not in t for t in got.values()) and sum(t != "" for t in got.values()) > 200
     assert {r.doc_id: r.text for r in without_common_lines(docs(spark, ODD)).collect()}[1] is None
