@@ -7,14 +7,17 @@ Order of work for one batch (`ingest_batch`):
   key -> drop keys already stored (null-safe anti-join) -> append ->
   append the advanced watermark.
 Rows are written before the watermark; a crash between the two writes is
-healed on the next run, because the anti-join skips the rows already stored.
-The driver only ever handles the one-row watermark and a two-value year range.
+healed on the next run, because the anti-join skips the rows already stored,
+and the years recorded before the append (`on_years`) tell the caller what
+its models still miss. Records that cannot be parsed or compared are stored
+as rejects, with their reason and file, before anything else.
+The driver only ever handles the one-row watermark, counts, and the years and weeks of a batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,13 +29,15 @@ from casewatch.operators import (
     advance_watermark, anti_join_new, dedup_first, has_newer, latest_watermark, watermark_from_raw,
 )
 from casewatch.reference_data import BACKFILL_YEARS, DEFAULT_START, NATURAL_KEY
-from casewatch.sources.landing import POSITION_COLUMNS, flatten, land_raw, read_landed
-from casewatch.session import scratch_path
+from casewatch.plans import quality
+from casewatch.session import drop_scratch, scratch_path
+from casewatch.sources.landing import CORRUPT_COLUMN, POSITION_COLUMNS, flatten, land_raw, read_landed
 from casewatch.sources.tables import append_raw, table_exists, write_table
 
 
 def _int(c: str) -> Column:
-    return F.col(c).cast("long")
+    """A number, or null where there is none: one bad value must not stop a load."""
+    return F.col(c).try_cast("long")
 
 
 def rows_after(raw: DataFrame, year: int, week: int) -> DataFrame:
@@ -47,8 +52,11 @@ def rows_after(raw: DataFrame, year: int, week: int) -> DataFrame:
 
 def rows_between_years(raw: DataFrame, start_year: int = BACKFILL_YEARS[0],
                        end_year: int = BACKFILL_YEARS[1]) -> DataFrame:
-    """Backfill range: every week of the inclusive year range, in one pass."""
-    return raw.where(_int("year").between(start_year, end_year))
+    """Backfill range: weeks 1-53 of every year of the inclusive range, in one pass."""
+    return raw.where(_int("year").between(start_year, end_year) & _int("week").between(*BACKFILL_WEEKS))
+
+
+BACKFILL_WEEKS = (1, 53)
 
 
 def ordered_extract(raw: DataFrame) -> DataFrame:
@@ -170,40 +178,88 @@ class IngestResult:
     appended_rows: int
     watermark_after: tuple[int, int] | None
     touched_years: list[int] = field(default_factory=list)  # feed to refresh_models(years=...)
+    rejected_rows: int = 0                                  # new rejects stored by this call
+
+
+REJECT_COLUMNS = ["reject_id", "reason", "landed_file", "record", "rejected_at"]
+
+
+def load_reason() -> Column:
+    """Why a landed row cannot be loaded, or null when it can."""
+    checks = quality.quarantine_reason(None, quality.LOAD_CHECKS)
+    return F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed_json").otherwise(checks)
+
+
+def store_rejects(bad: DataFrame, path: str, at: dt.datetime | None) -> int:
+    """Append the rejects not stored yet (a landing folder is read again every week); return their number."""
+    spark = bad.sparkSession
+    record = F.coalesce(F.col(CORRUPT_COLUMN), F.to_json(F.struct(*schemas.RAW_COLUMNS)))
+    rows = bad.select(F.md5(F.concat_ws("|", "_landed_file", record)).alias("reject_id"), F.col("load_reason").alias("reason"),
+                      F.col("_landed_file").alias("landed_file"), record.alias("record"),
+                      (F.lit(at).cast("timestamp") if at else F.current_timestamp()).alias("rejected_at")).dropDuplicates(["reject_id"])
+    if table_exists(spark, path):
+        rows = rows.join(spark.read.parquet(path).select("reject_id"), "reject_id", "left_anti")
+    new = write_table(rows.select(*REJECT_COLUMNS), scratch_path(spark, "ingest-rejects"))
+    n = new.count()
+    if n:
+        new.write.mode("append").parquet(path)
+    return n
+
+
+def write_watermark(spark: SparkSession, row, path: str) -> None:
+    spark.createDataFrame([(row["year"], row["week"], row["loaded_at"])], schemas.WATERMARK).write.mode("append").parquet(path)
+
+
+def append_new_rows(rows: DataFrame, raw_path: str, on_years: Callable[[list[int]], None] | None = None) -> tuple[int, list[int]]:
+    """Write `rows` once, announce their years, append them; return their number and years."""
+    staged = write_table(rows.select(*schemas.RAW_COLUMNS), scratch_path(rows.sparkSession, "ingest-new"))
+    n = staged.count()
+    # one row per calendar year present in the batch
+    years = sorted(int(r[0]) for r in staged.select(_int("year")).distinct().collect() if r[0] is not None) if n else []
+    if n:
+        if on_years:
+            on_years(years)
+        append_raw(staged, raw_path)
+    return n, years
 
 
 def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
                  loaded_at: dt.datetime | None = None, land_base: str | None = None,
-                 multi_line: bool = True) -> IngestResult:
-    """Run one incremental load from landed files into the raw table.
+                 multi_line: bool | None = None, rejects_path: str | None = None,
+                 on_years: Callable[[list[int]], None] | None = None,
+                 backfill: tuple[int, int] | None = None) -> IngestResult:
+    """Run one load from landed files into the raw table.
 
-    The landed files are parsed once: the rows after the watermark are
+    The landed files are parsed once: the rejects and the rows after the
+    watermark (with `backfill`, the rows of those years, weeks 1-53) are
     written to a fresh folder under the shared checkpoint dir, and the gate,
     the landing copy, the dedup + anti-join and the watermark advance all read
     that stored copy. The gate ("newest stamp available > watermark") is the
     same as "some row is after the watermark". The new rows are written once
     more before the append, so the anti-join runs once and a retried append
-    task re-reads files instead of recomputing the join.
+    task re-reads files instead of recomputing the join. Both copies are
+    deleted at the end. `on_years` is called with the years of the new rows
+    before they are appended. A backfill moves the watermark forward only.
     """
     wm = ensure_watermark(spark, wm_path)
     existing = spark.read.schema(schemas.RAW).parquet(raw_path) if table_exists(spark, raw_path) else None
     before = current_watermark(wm, existing)
-    incoming = flatten(read_landed(spark, landing, multi_line=multi_line, with_position=True))
-    fetched = write_table(rows_after(incoming, *before), scratch_path(spark, "ingest-fetched"))
+    landed = read_landed(spark, landing, multi_line=multi_line, with_position=True, malformed="column")
+    tagged = flatten(landed).withColumn("load_reason", load_reason())
+    wanted = rows_between_years(tagged, *backfill) if backfill else rows_after(tagged, *before)
+    path = scratch_path(spark, "ingest-fetched")
+    kept = write_table(wanted.where(F.col("load_reason").isNull()).union(tagged.where(F.col("load_reason").isNotNull())), path)
+    rejected = store_rejects(kept.where(F.col("load_reason").isNotNull()), rejects_path or f"{raw_path.rstrip('/')}-rejects", loaded_at)
+    fetched = kept.where(F.col("load_reason").isNull()).drop("load_reason", CORRUPT_COLUMN)
     adv = advance_watermark(fetched, loaded_at).first()
-    if adv is None:  # nothing newer than the watermark
-        return IngestResult(False, before, 0, 0, None)
-    if land_base:
-        day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
-        land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
-    to_append = new_rows(fetched, existing).select(*schemas.RAW_COLUMNS)
-    staged = write_table(to_append, scratch_path(spark, "ingest-new"))
-    n_new = staged.count()
-    years: list[int] = []
-    if n_new:
-        append_raw(staged, raw_path)
-        # one row per calendar year present in the batch
-        years = sorted(int(r[0]) for r in staged.select(_int("year")).distinct().collect() if r[0] is not None)
-    spark.createDataFrame([(adv["year"], adv["week"], adv["loaded_at"])], schemas.WATERMARK) \
-        .write.mode("append").parquet(wm_path)
-    return IngestResult(True, before, fetched.count(), n_new, (adv["year"], adv["week"]), years)
+    result = IngestResult(False, before, 0, 0, None, rejected_rows=rejected)
+    if adv is not None:
+        if land_base:
+            day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
+            land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
+        n_new, years = append_new_rows(new_rows(fetched, existing), raw_path, on_years)
+        if (adv["year"], adv["week"]) > before:
+            write_watermark(spark, adv, wm_path)
+        result = IngestResult(True, before, fetched.count(), n_new, max((adv["year"], adv["week"]), before), years, rejected)
+    drop_scratch(spark, "ingest-fetched", "ingest-new", "ingest-rejects")
+    return result

@@ -34,13 +34,12 @@ def kpi_overview(s: DataFrame) -> DataFrame:
 def share_by(s: DataFrame, column: str) -> DataFrame:
     """Cases and share of all cases per value of `column` (K6, K7).
 
-    The grand total is a one-row aggregate read as a scalar, so no window
-    gathers all groups into one task, whatever the cardinality of `column`.
+    The grand total is a lazy scalar subquery over the groups (their exchange
+    is reused, so the star is read once); no window gathers all groups into one task.
     """
     per = s.groupBy(column).agg(F.sum(CASES).alias("total_cases"))
-    total = s.agg(F.sum(CASES)).first()[0]
-    share = F.try_divide(F.col("total_cases"), F.lit(total).cast("double")) if total is not None else F.lit(None)
-    return per.withColumn("case_share", share.cast("double"))
+    total = per.agg(F.sum("total_cases").cast("double")).scalar()
+    return per.select(column, "total_cases", F.try_divide(F.col("total_cases"), total).cast("double").alias("case_share"))
 
 
 def year_over_year(s: DataFrame, by: str = "disease_name_short") -> DataFrame:

@@ -84,20 +84,18 @@ FK_SPECS = [("location_id", "dim_location"), ("disease_id", "dim_diseases"), ("d
 def unmatched_fk(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows whose key is null or has no dimension row, tagged with the failing key.
 
-    Skew-safe: the failing key values are found among the distinct child
-    keys (partial aggregation first, so a key held by a third of the rows
-    is one row), then the fact rows holding them are picked out, broadcasting
-    that set when it fits the bound. Null keys are a map-only filter.
+    One pass of the fact: each dimension's distinct keys are left-joined (no
+    row can multiply; Spark broadcasts them by their size or splits a skewed
+    key), and only failing keys are exploded into rows.
     """
-    parts = []
-    for col, dim in FK_SPECS:
-        child_keys = fact.where(F.col(col).isNotNull()).select(F.col(col).alias("__v")).distinct()
-        missing = child_keys.join(parent_keys(dims[dim], col, "__k"), F.col("__v") == F.col("__k"), "left_anti")
-        hit = fact.join(bounded_broadcast(missing), F.col(col) == F.col("__v"), "left_semi")
-        for rows in (fact.where(F.col(col).isNull()), hit):
-            parts.append(rows.select("fact_id", F.lit(col).alias("fk_column"),
-                                     F.col(col).cast("string").alias("fk_value")))
-    return reduce(DataFrame.unionByName, parts)
+    df, failing = fact, []
+    for i, (col, dim) in enumerate(FK_SPECS):
+        key, hit = f"__k{i}", f"__h{i}"
+        keys = dims[dim].select(F.col(col).alias(key)).distinct().withColumn(hit, F.lit(True))
+        df = df.join(keys, F.col(col) == F.col(key), "left")
+        failing.append(F.when(F.col(hit).isNull(), F.struct(F.lit(col).alias("fk_column"), F.col(col).cast("string").alias("fk_value"))))
+    bad = F.filter(F.array(*failing), lambda x: x.isNotNull())
+    return df.where(F.size(bad) > 0).select("fact_id", F.explode(bad).alias("__f")).select("fact_id", "__f.fk_column", "__f.fk_value")
 
 
 QUARANTINE_CHECKS: list[tuple[str, str]] = [
@@ -105,10 +103,14 @@ QUARANTINE_CHECKS: list[tuple[str, str]] = [
 ]
 
 
-def quarantine_reason(raw: DataFrame) -> Column:
+#: Without a state or a label a row is loaded and dropped by staging; without its week it cannot be loaded.
+LOAD_CHECKS = [c for c in QUARANTINE_CHECKS if c[0] in ("year", "week")]
+
+
+def quarantine_reason(raw: DataFrame, missing: Sequence[tuple[str, str]] = tuple(QUARANTINE_CHECKS)) -> Column:
     """First reason a raw row cannot be staged safely, or null when it can."""
     out = None
-    for col, reason in QUARANTINE_CHECKS:
+    for col, reason in missing:
         cond = F.col(col).isNull()
         out = F.when(cond, reason) if out is None else out.when(cond, reason)
     for col in ("year", "week"):
@@ -284,6 +286,27 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
     return report.withColumn("status", status)
 
 
+# (test, severity): the singular tests that run beside the declared ones.
+SINGULAR_CHECKS = {"case_count_spike": "warn", "future_week_rows": "error", "null_cases_no_flag": "warn",
+                   "duplicate_staging_rows": "error"}
+
+
+def singular_report(stg: DataFrame, raw: DataFrame, as_of: dt.date) -> DataFrame:
+    """The singular tests as rows of the report (test, severity, failures, status).
+
+    Row conditions are counted in one pass of their table; duplicates are grouped, partial counts first.
+    """
+    def one(test: str, failing: DataFrame) -> DataFrame:
+        severity = SINGULAR_CHECKS[test]
+        n = failing.agg(F.count(F.lit(1)).alias("failures"))
+        status = F.when(F.col("failures") == 0, "pass").otherwise("warn" if severity == "warn" else "fail")
+        return n.select(F.lit(test).alias("test"), F.lit(severity).alias("severity"), "failures", status.alias("status"))
+
+    return reduce(DataFrame.unionByName, [
+        one("case_count_spike", case_spikes(stg)), one("future_week_rows", future_weeks(stg, as_of)),
+        one("null_cases_no_flag", null_cases_no_flag(raw)), one("duplicate_staging_rows", duplicate_rows(stg))])
+
+
 def raise_on_errors(report: DataFrame) -> None:
     """Raise when any error-severity check failed (warnings are reported only)."""
     failed = [r["test"] for r in report.where(F.col("status") == "fail").select("test").collect()]

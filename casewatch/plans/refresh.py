@@ -9,16 +9,26 @@ projection of staging and is computed on read, never stored twice. The top-5
 and season marts rank within a state and year, so they are rebuilt for the
 touched years only. The week-over-week LAG crosses year ends (the previous
 row may lie in any earlier year), so its small per-year pre-aggregate is
-stored; the windows then run over all years of that pre-aggregate and only
-the touched years are written.
+stored; the windows then run over all years of that pre-aggregate, and the
+earliest touched year and all later ones are written, since a later year's
+first rows take their previous value from a touched one.
+
+A store holds versions: every refresh writes its partitions under a new
+`v/<version>` folder and publishes, last of all, a manifest that says which
+version each partition of each table is read from. A reader or a crash sees
+the store before the refresh or after it, never a mix; a store without a
+manifest is not built yet, and the next refresh builds it whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewatch.plans.dims import dim_date, dim_diseases, dim_location
 from casewatch.plans.facts import fact_disease_cases
@@ -28,79 +38,147 @@ from casewatch.plans.marts import (
 from casewatch.plans.staging import stage_weekly
 from casewatch.reference_data import US_HOLIDAYS
 from casewatch.schemas import STAGING_COLUMNS
+from casewatch.sources import files
 from casewatch.sources.seeds import us_holidays
-from casewatch.sources.tables import table_exists, write_table
+from casewatch.sources.tables import write_table
 
 MART_TOP5 = "agg_top5_diseases_per_state_year_quarter"
 MART_SEASON = "agg_top_disease_per_season_year"
 MART_WOW = "agg_week_over_week_change_by_region_week_year"
 
 
-def _write_years(df: DataFrame, path: str, full: bool) -> None:
-    """Write partitioned by year: everything (full) or only the years present in `df`."""
-    mode = "static" if full else "dynamic"
-    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("year").parquet(path)
-
-
-def _read_years(spark, path: str, columns: Sequence[str]) -> DataFrame:
-    """Read a year-partitioned table back with `year` as a long, in the model's column order."""
-    df = spark.read.parquet(path)
-    return df.withColumn("year", F.col("year").cast("long")).select(*columns)
+MANIFEST = "table string, part string, version string, schema string"
+#: (table, partition folder or "") -> (version, schema of the table)
+Manifest = dict[tuple[str, str], tuple[str, str]]
+
+
+def read_manifest(spark, store: str) -> Manifest | None:
+    """The newest finished manifest; None for a store that was never built to the end."""
+    folder = f"{store.rstrip('/')}/manifest"
+    done = [n for n in files.children(spark, folder) if files.exists(spark, f"{folder}/{n}/_SUCCESS")]
+    if not done:
+        return None
+    rows = spark.read.schema(MANIFEST).parquet(f"{folder}/{max(done)}").collect()  # one row per table and year
+    return {(r["table"], r["part"]): (r["version"], r["schema"]) for r in rows}
+
+
+def _publish(spark, store: str, manifest: Manifest) -> None:
+    root, folder = store.rstrip("/"), f"{store.rstrip('/')}/manifest"
+    last = max([int(n) for n in files.children(spark, folder) if n.isdigit()], default=0)
+    rows = [(t, p, v, sch) for (t, p), (v, sch) in sorted(manifest.items())]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{folder}/{last + 1:08d}")
+    # Versions that neither this manifest nor the one before reads are gone for every reader.
+    kept = {v for v, _ in manifest.values()}
+    if last and files.exists(spark, f"{folder}/{last:08d}/_SUCCESS"):
+        kept |= {r["version"] for r in spark.read.schema(MANIFEST).parquet(f"{folder}/{last:08d}").collect()}
+    for v in files.children(spark, f"{root}/v"):
+        if v not in kept:
+            files.delete(spark, f"{root}/v/{v}")
+
+
+class _Refresh:
+    """Tables written under one new version, and the manifest that will name them."""
+
+    def __init__(self, spark, store: str, previous: Manifest | None):
+        self.spark, self.root, self.version = spark, store.rstrip("/"), uuid.uuid4().hex[:12]
+        self.manifest: Manifest = dict(previous or {})
+
+    def years(self, df: DataFrame, table: str, replaces: Callable[[int], bool] | None) -> DataFrame:
+        """Write `df` by year; it takes the place of the years that `replaces` names (None: all)."""
+        path = f"{self.root}/v/{self.version}/{table}"
+        df.write.partitionBy("year").parquet(path)
+        for t, part in list(self.manifest):
+            if t == table and (replaces is None or part[5:].isdigit() and replaces(int(part[5:]))):
+                del self.manifest[t, part]
+        schema = df.schema.json()
+        for part in [n for n in files.children(self.spark, path) if n.startswith("year=")] or [""]:
+            self.manifest[table, part] = (self.version, schema)
+        return _read_years(self.spark, self.root, self.manifest, table, df.columns)
+
+    def whole(self, df: DataFrame, table: str) -> DataFrame:
+        self.manifest[table, ""] = (self.version, df.schema.json())
+        return write_table(df, f"{self.root}/v/{self.version}/{table}")
+
+
+def _read_years(spark, root: str, manifest: Manifest, table: str, columns: Sequence[str]) -> DataFrame:
+    """A year-partitioned table of the manifest, with `year` as a long, in the model's column order."""
+    by_version: dict[str, list[str]] = {}
+    schema = None
+    for (t, part), (version, sch) in sorted(manifest.items()):
+        if t == table:
+            schema = sch
+            if part:
+                by_version.setdefault(version, []).append(part)
+    typed = T.StructType.fromJson(json.loads(schema))
+    out = None
+    for version, parts in by_version.items():  # at most one version per year
+        base = f"{root.rstrip('/')}/v/{version}/{table}"
+        df = spark.read.schema(typed).option("basePath", base).parquet(*[f"{base}/{p}" for p in parts])
+        out = df if out is None else out.unionByName(df)
+    if out is None:  # a table without rows
+        out = spark.createDataFrame([], typed)
+    return out.withColumn("year", F.col("year").cast("long")).select(*columns)
 
 
 def _in_years(years: Sequence[int] | None) -> "F.Column":
-    return F.lit(True) if years is None else F.col("year").cast("long").isin([int(y) for y in years])
+    return F.lit(True) if years is None else F.col("year").try_cast("long").isin([int(y) for y in years])
 
 
 def refresh_models(raw: DataFrame, store: str, years: Sequence[int] | None = None,
-                   holidays: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Rebuild the stored models under `store` for `years` (None: all years, a full build).
+                   holidays: DataFrame | None = None, season_years: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+    """Rebuild the stored models under `store` for `years` (None, or a store not built yet: all years).
 
+    `season_years` bounds the season mart (default: the source's 2022-2026).
     Returns DataFrames reading the stored models (the fact as a projection of
     the stored staging).
     """
     spark = raw.sparkSession
-    full = years is None or not table_exists(spark, f"{store}/staging")
-    scope = None if full else years
-    root = store.rstrip("/")
-
-    _write_years(stage_weekly(raw.where(_in_years(scope))), f"{root}/staging", full)
-    stg = _read_years(spark, f"{root}/staging", STAGING_COLUMNS)
+    previous = None if years is None else read_manifest(spark, store)
+    scope = None if previous is None else sorted({int(y) for y in years})
+    touches = None if scope is None else set(scope).__contains__
+    new = _Refresh(spark, store, previous)
 
+    stg = new.years(stage_weekly(raw.where(_in_years(scope))), "staging", touches)
     holiday_rows = len(US_HOLIDAYS) if holidays is None else None
     holidays = us_holidays(spark) if holidays is None else holidays
-    loc = write_table(dim_location(stg), f"{root}/dims/dim_location")
-    date = write_table(dim_date(stg, holidays, holiday_rows), f"{root}/dims/dim_date")
-    dis = write_table(dim_diseases(stg), f"{root}/dims/dim_diseases")
+    loc = new.whole(dim_location(stg), "dims/dim_location")
+    date = new.whole(dim_date(stg, holidays, holiday_rows), "dims/dim_date")
+    dis = new.whole(dim_diseases(stg), "dims/dim_diseases")
     bounds = {"dim_location": loc.count(), "dim_date": date.count(), "dim_diseases": dis.count()}
 
-    fact = fact_disease_cases(stg)
-    s = star(fact, loc, dis, date, bounds)
-    touched = s.where(_in_years(scope))
-
-    _write_years(top_diseases(touched), f"{root}/marts/{MART_TOP5}", full)
-    _write_years(season_ranking(touched), f"{root}/marts/{MART_SEASON}", full)
-
-    pre = wow_preagg(touched)
-    _write_years(pre, f"{root}/work/wow_preagg", full)
-    pre_all = _read_years(spark, f"{root}/work/wow_preagg", pre.columns)
-    wow = wow_finish(pre_all)
-    _write_years(wow.where(_in_years(scope)), f"{root}/marts/{MART_WOW}", full)
-
+    touched = star(fact_disease_cases(stg), loc, dis, date, bounds).where(_in_years(scope))
+    new.years(top_diseases(touched), f"marts/{MART_TOP5}", touches)
+    season = season_ranking(touched) if season_years is None else season_ranking(touched, *season_years)
+    new.years(season, f"marts/{MART_SEASON}", touches)
+
+    pre = new.years(wow_preagg(touched), "work/wow_preagg", touches)
+    wow = wow_finish(pre)
+    if scope:
+        wow = wow.where(F.col("year") >= scope[0])
+    new.years(wow, f"marts/{MART_WOW}", None if scope is None else lambda y: bool(scope) and y >= scope[0])
+    _publish(spark, store, new.manifest)
     return open_models(spark, store)
 
 
 def open_models(spark, store: str) -> dict[str, DataFrame]:
     """DataFrames reading a model store written by `refresh_models` (in any session)."""
+    manifest = read_manifest(spark, store)
+    if manifest is None:
+        raise ValueError(f"no finished model store at {store}")
     root = store.rstrip("/")
-    stg = _read_years(spark, f"{root}/staging", STAGING_COLUMNS)
+
+    def whole(table: str) -> DataFrame:
+        version, schema = manifest[table, ""]
+        return spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{root}/v/{version}/{table}")
+
+    stg = _read_years(spark, root, manifest, "staging", STAGING_COLUMNS)
     return {
         "stg_nndss_weekly": stg,
-        "dim_location": spark.read.parquet(f"{root}/dims/dim_location"),
-        "dim_date": spark.read.parquet(f"{root}/dims/dim_date"),
-        "dim_diseases": spark.read.parquet(f"{root}/dims/dim_diseases"),
+        "dim_location": whole("dims/dim_location"),
+        "dim_date": whole("dims/dim_date"),
+        "dim_diseases": whole("dims/dim_diseases"),
         "fact_disease_cases": fact_disease_cases(stg),
-        MART_TOP5: _read_years(spark, f"{root}/marts/{MART_TOP5}", TOP5_COLUMNS),
-        MART_SEASON: _read_years(spark, f"{root}/marts/{MART_SEASON}", SEASON_COLUMNS),
-        MART_WOW: _read_years(spark, f"{root}/marts/{MART_WOW}", WOW_COLUMNS),
+        MART_TOP5: _read_years(spark, root, manifest, f"marts/{MART_TOP5}", TOP5_COLUMNS),
+        MART_SEASON: _read_years(spark, root, manifest, f"marts/{MART_SEASON}", SEASON_COLUMNS),
+        MART_WOW: _read_years(spark, root, manifest, f"marts/{MART_WOW}", WOW_COLUMNS),
     }

@@ -60,14 +60,18 @@ def apply_scale_conf(spark: SparkSession, overrides: dict[str, str] | None = Non
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Read from the session; only when it is unset (a test) is a fresh folder
-    under the system temp dir set as the checkpoint dir.
+    Read from the session. Where it is unset, a local session (a test) gets a
+    fresh folder under the system temp dir; on a cluster that folder would be
+    another one on every machine, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
         root = tempfile.mkdtemp(prefix="casewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -89,6 +93,24 @@ def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
     return sc.defaultParallelism if sc is not None else fallback
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the checkpoint root for a written table."""
-    return os.path.join(checkpoint_root(spark), "casewatch", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_root(spark), "casewatch", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(name, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *names: str) -> None:
+    """Delete this process's scratch tables of these names, once nothing reads them."""
+    from casewatch.sources.files import delete
+    for name in names:
+        for path in _SCRATCH.pop(name, []):
+            delete(spark, path)
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "")

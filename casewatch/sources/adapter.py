@@ -13,15 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import types as T
 
 from casewatch.reference_data import DISEASE_LIST, STATE_DIVISION
 from casewatch.schemas import RAW, RAW_COLUMNS
-from casewatch.session import checkpoint_root, default_parallelism
-from casewatch.sources.tables import table_exists
+from casewatch.session import application_id, checkpoint_root, default_parallelism
+from casewatch.sources.files import exists, fingerprint
 
 # 50 states + DC in alphabetical order, title case, then four jurisdictions
 # that have no division and must be dropped by staging.
@@ -98,19 +97,24 @@ ADAPTER_VERSION = "1"
 
 
 _WRITE_LOCK = threading.Lock()
-_WRITTEN: set[str] = set()
+
+
+def input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names what a stored copy was made from: this application, and the input's files with their
+    sizes and times. Another application, or a rewritten input, gets another copy."""
+    found = fingerprint(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return hashlib.sha1(f"{found}|{ADAPTER_VERSION}|{application_id(spark)}".encode()).hexdigest()[:16]
 
 
 def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
-    """One stored copy per input folder and process (no two writers share a path)."""
-    key = hashlib.sha1(f"{sf_dir.rstrip('/')}|{ADAPTER_VERSION}|{os.getpid()}".encode()).hexdigest()[:16]
-    return f"{checkpoint_root(spark).rstrip('/')}/casewatch/raw-{key}"
+    """One stored copy per input and application (no two drivers share a path)."""
+    return f"{checkpoint_root(spark).rstrip('/')}/casewatch/raw-{input_key(spark, sf_dir)}"
 
 
 def raw_from_lineitem(spark: SparkSession, sf_dir: str, keep_shipdate: bool = False) -> DataFrame:
     """Raw weekly records derived from the test tables, stored like a production raw table.
 
-    The derivation is written once per input folder (and process) as Parquet
+    The derivation is written once per input and application as Parquet
     partitioned by year under the shared checkpoint folder (a finished write
     leaves a _SUCCESS marker; anything else is rewritten) and read back with
     the declared schema. Readers then scan a multi-file, year-partitioned table:
@@ -118,10 +122,9 @@ def raw_from_lineitem(spark: SparkSession, sf_dir: str, keep_shipdate: bool = Fa
     """
     path = raw_table_path(spark, sf_dir)
     with _WRITE_LOCK:
-        if path not in _WRITTEN and not table_exists(spark, f"{path}/_SUCCESS", marker=True):
+        if not exists(spark, f"{path}/_SUCCESS"):
             li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
             raw_records(li).write.mode("overwrite").partitionBy("year").parquet(path)
-        _WRITTEN.add(path)
     cols = RAW_COLUMNS + (["l_shipdate"] if keep_shipdate else [])
     schema = T.StructType(list(RAW.fields) + [T.StructField("l_shipdate", T.TimestampNTZType(), True)])
     return spark.read.schema(schema).parquet(path).select(*cols)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Namespace of each model kind; names are used verbatim inside it.
 NAMESPACES = {
@@ -45,13 +46,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return df.sparkSession.read.parquet(path)
 
 
-def append_raw(df: DataFrame, path: str) -> None:
+def append_raw(df: DataFrame, path: str, files_per_week: int = 4) -> None:
     """Insert-only append to the raw table, partitioned by year and week.
 
     Year partitions serve the model refresh; (year, week) partitions let the
-    anti-join of a weekly load read only the weeks present in the batch.
+    anti-join of a weekly load read only the weeks present in the batch. Rows
+    are dealt by week and a salt first, so a week gets at most `files_per_week`
+    files however many tasks the batch has.
     """
-    df.write.mode("append").partitionBy("year", "week").parquet(path)
+    salt = F.pmod(F.xxhash64("states", "label"), F.lit(files_per_week))
+    df.repartition("year", "week", salt).write.mode("append").partitionBy("year", "week").parquet(path)
 
 
 def materialise(models: dict[str, tuple[str, DataFrame]], root: str | None = None,

@@ -9,13 +9,16 @@ how a weekly scheduled run uses it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casewatch import schemas
 from casewatch.plans.ingest import new_rows
-from casewatch.session import scratch_path
-from casewatch.sources.landing import flatten
+from casewatch.session import drop_scratch, scratch_path
+from casewatch.sources.landing import POSITION_COLUMNS, flatten
 from casewatch.sources.tables import append_raw, table_exists, write_table
 
 
@@ -23,11 +26,15 @@ def append_new(batch: DataFrame, raw_path: str) -> int:
     """Append the rows of `batch` whose natural key is not stored yet; return their number."""
     spark = batch.sparkSession
     existing = spark.read.schema(schemas.RAW).parquet(raw_path) if table_exists(spark, raw_path) else None
-    rows = new_rows(flatten(batch).select(*schemas.RAW_COLUMNS), existing)
-    staged = write_table(rows, scratch_path(spark, "stream-batch"))
+    flat = flatten(batch)
+    # Position columns, as in the batch load, make "first" mean first in the files.
+    rows = new_rows(flat.select(*schemas.RAW_COLUMNS, *[c for c in POSITION_COLUMNS if c in flat.columns]), existing)
+    name = f"stream-batch-{uuid.uuid4().hex[:8]}"
+    staged = write_table(rows.select(*schemas.RAW_COLUMNS), scratch_path(spark, name))
     n = staged.count()
     if n:
         append_raw(staged, raw_path)
+    drop_scratch(spark, name)
     return n
 
 
@@ -37,8 +44,12 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, raw_path: str, c
     """Start the stream; the caller waits with `awaitTermination()` or `processAllAvailable()`."""
     checkpoint = checkpoint or scratch_path(spark, "landing-stream")
     source = (spark.readStream.schema(schemas.LANDED).option("multiLine", multi_line)
-              .option("maxFilesPerTrigger", 64).json(landing_dir))
-    writer = (source.writeStream.foreachBatch(lambda df, _id: append_new(df, raw_path))
+              .option("maxFilesPerTrigger", 64).json(landing_dir)
+              .select("*", F.col("_metadata.file_path").alias("_landed_file"), F.col("_metadata.file_block_start").alias("_landed_offset")))
+    def append(df: DataFrame, _id: int) -> None:
+        append_new(df.withColumn("_landed_seq", F.monotonically_increasing_id()), raw_path)
+
+    writer = (source.writeStream.foreachBatch(append)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

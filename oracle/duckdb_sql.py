@@ -412,9 +412,20 @@ def check_sql(c) -> str:
             f"AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{c.parent_column} = c.{col})")
 
 
+# The singular tests by their own conditions; future weeks as of 2024-06-15 (Sunday weeks).
+SINGULAR_SQL = [
+    """SELECT 'case_count_spike', 'warn', COUNT(*) FROM stg WHERE previous_52_weeks_max > 0
+        AND current_week_cases >= previous_52_weeks_max""",
+    """SELECT 'future_week_rows', 'error', COUNT(*) FROM stg WHERE "year" * 100 + week >
+        2024 * 100 + CAST(strftime(DATE '2024-06-15', '%U') AS BIGINT)""",
+    "SELECT 'null_cases_no_flag', 'warn', COUNT(*) FROM raw WHERE m1 IS NULL AND m1_flag IS NULL",
+    """SELECT 'duplicate_staging_rows', 'error', COUNT(*) FROM (SELECT 1 FROM stg
+        GROUP BY state_name, "year", week, disease_name HAVING COUNT(*) > 1) d""",
+]
+
 REPORT_SQL = ("SELECT test, severity, failures, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' "
               "THEN 'warn' ELSE 'fail' END AS status FROM (\n"
-              + "\nUNION ALL\n".join(check_sql(c) for c in DECLARED_CHECKS) + "\n) r")
+              + "\nUNION ALL\n".join([*(check_sql(c) for c in DECLARED_CHECKS), *SINGULAR_SQL]) + "\n) r")
 
 STAR_WEEKLY_OUTBREAK = ("CASE WHEN current_week_cases >= previous_52_weeks_max AND previous_52_weeks_max > 0 "
                         "THEN 1 ELSE 0 END")
@@ -485,6 +496,8 @@ SELECTS.update({
         WHEN m3 IS NOT NULL AND TRY_CAST(m3 AS DOUBLE) IS NULL THEN 'bad_m3'
         WHEN m4 IS NOT NULL AND TRY_CAST(m4 AS DOUBLE) IS NULL THEN 'bad_m4' END AS quarantine_reason
         FROM raw"""),
+    "quarantine_accepted": ((), """SELECT * FROM raw WHERE m2 IS DISTINCT FROM '7'
+        AND m2 IS DISTINCT FROM '8' AND states IS NOT NULL AND label IS NOT NULL"""),
     # measures
     "kpi_overview": ((), f"""SELECT SUM(current_week_cases) AS total_cases,
         COUNT(DISTINCT CASE WHEN current_week_cases > 0 THEN state_name END) AS states_reporting,
@@ -524,3 +537,7 @@ SELECTS.update({
           FROM (SELECT region_name, disease_group, "year", quarter, SUM(current_week_cases) AS total_cases
             FROM star GROUP BY 1, 2, 3, 4) a) t"""),
 })
+
+# The surveyed name of the whole ingest; a refreshed mart equals the mart of a full build.
+SELECTS["ingest_pipeline"] = SELECTS["ingest_batch"]
+SELECTS["refresh_wow"] = SELECTS["mart_wow_region"]

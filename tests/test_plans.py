@@ -41,9 +41,10 @@ def test_wow_running_total_reuses_lag_window_layout(spark, sf_small):
     assert "Exchange" not in window_part[first:second]
 
 
-def test_report_has_the_60_declared_checks(spark, sf_small):
+def test_report_has_the_declared_and_the_singular_checks(spark, sf_small):
     rows = {r.test: r for r in Q.q_dq_report(spark, sf_small).collect()}
-    assert len(rows) == 60 == len(quality.DECLARED_CHECKS)
+    assert len(quality.DECLARED_CHECKS) == 60 and len(rows) == 60 + len(quality.SINGULAR_CHECKS)
+    assert rows["future_week_rows"].status == "fail" and rows["case_count_spike"].status == "warn"
     assert rows["accepted_values_stg_nndss_weekly_current_week_cases_flag"].status == "fail"  # '-' flag
     assert rows["not_null_fact_disease_cases_disease_id"].status == "warn"  # ASSOCIATED names
     assert rows["unique_fact_disease_cases_fact_id"].failures == 0

@@ -61,24 +61,28 @@ def test_weekly_flow_ingest_then_refresh_touched_years(spark):
     assert r.touched_years == [2024]
 
 
-def test_weekly_job(spark):
-    import json
-    import os
-    import tempfile
+def test_late_rows_of_a_middle_year(spark):
+    """Later years take their first previous value from the late rows; the weeks have gaps."""
+    from casewatch import schemas
 
-    import pytest
+    def rows(*found):
+        return spark.createDataFrame(
+            [("Ohio", str(y), str(w), "Mumps", str(n), "3", "9", "1", None, None, None, None, f"{y}-{w}", None) for y, w, n in found], schemas.RAW)
+
+    first = [(2023, 50, 9), (2024, 10, 4), (2025, 5, 4), (2026, 1, 7)]
+    late = [(2024, 30, 50), (2024, 12, 1)]
+    store = scratch_path(spark, "test-late")
+    refresh_models(rows(*first), store)
+    got = refresh_models(rows(*first, *late), store, years=[2024])
+    want = build_models(rows(*first, *late))
+    for k in (MART_TOP5, MART_SEASON, MART_WOW):
+        assert same(got[k].select(*want[k].columns), want[k]), k
+    r = got[MART_WOW].where("year = 2025").first()
+    assert (r.actual_previous_week_cases, r.wow_change) == (50, -46)
 
-    from casewatch.jobs import weekly_run
 
-    root = tempfile.mkdtemp(prefix="casewatch-job-")
-    landing = f"{root}/landing"
-    os.makedirs(landing)
-    batch = [{"states": "Ohio", "year": "2024", "week": "5", "label": "Mumps", "m1": "2", "m1_flag": "-",
-              "sort_order": "x", "geocode": None}]
-    with open(f"{landing}/a.json", "w") as fh:
-        json.dump(batch, fh)
-    # the '-' flag is outside the accepted flags: an error-severity test fails and the job raises
-    with pytest.raises(AssertionError):
-        weekly_run(spark, landing, f"{root}/raw", f"{root}/wm", f"{root}/store")
-    out = weekly_run(spark, landing, f"{root}/raw", f"{root}/wm", f"{root}/store", raise_on_error=False)
-    assert out.report is None and out.ingest.appended_rows == 0  # nothing new: store kept
+def test_season_years_are_an_argument(spark):
+    from casewatch import schemas
+    raw = spark.createDataFrame([("Ohio", "2031", "5", "Mumps", "4", "3", "9", "1", None, None, None, None, "a", None)], schemas.RAW)
+    assert refresh_models(raw, scratch_path(spark, "test-season"))[MART_SEASON].count() == 0
+    assert refresh_models(raw, scratch_path(spark, "test-season"), season_years=(2022, 2031))[MART_SEASON].count() == 1
