@@ -88,9 +88,9 @@ def token_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     # Partial aggregation: a length that a third of the documents share is one row per task.
     hist = lengths.groupBy("length").agg(F.count("*").alias("n_docs")).withColumn("tokens", F.col("length") * F.col("n_docs"))
     docs_before = ranked(hist, ["length"], "lengths", {"docs": "n_docs", "tokens": "tokens"})
-    totals = docs_before.agg(F.sum("n_docs").alias("all_docs"))
+    all_docs = docs_before.agg(F.sum("n_docs").alias("all_docs")).scalar()
     upto = F.col("docs_before") + F.col("n_docs")
-    return docs_before.join(F.broadcast(totals)).select(  # one row of totals
+    return docs_before.withColumn("all_docs", all_docs).select(
         "length", "n_docs", upto.alias("docs_upto"), (F.col("tokens_before") + F.col("tokens")).alias("tokens_upto"),
         (F.col("all_docs") - upto).alias("docs_over"),
         (F.col("tokens_before") + F.col("tokens") + F.col("length") * (F.col("all_docs") - upto)).alias("truncated_total"),
@@ -98,12 +98,12 @@ def token_histogram(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
 
 def at_limit(histogram: DataFrame, limit: int) -> DataFrame:
-    """One row for any context limit: documents, tokens, documents over the limit, and tokens left when cut at it.
-    All zero for an empty table."""
+    """One row for any context limit: documents of at most `limit` tokens and their tokens, documents
+    over it, and the tokens left of all when cut at it. All zero for an empty table."""
     within = F.col("length") <= limit
     return histogram.agg(
-        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"),
-        F.coalesce(F.sum(F.col("n_docs") * F.col("length")), F.lit(0)).alias("tokens"),
+        F.coalesce(F.sum(F.when(within, F.col("n_docs"))), F.lit(0)).alias("n_docs"),
+        F.coalesce(F.sum(F.when(within, F.col("n_docs") * F.col("length"))), F.lit(0)).alias("tokens"),
         F.coalesce(F.sum(F.when(~within, F.col("n_docs"))), F.lit(0)).alias("docs_over"),
         F.coalesce(F.sum(F.col("n_docs") * F.least("length", F.lit(limit))), F.lit(0)).alias("truncated_total"))
 
