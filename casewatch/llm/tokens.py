@@ -5,6 +5,7 @@ The tokenizer's file is named by a path that the executors can open; it is never
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from casewatch.llm.common import keyed, ranked
 
 #: Pieces of text whose ids a worker keeps at once.
-CACHED_PIECES = 200_000
+CACHED_PIECES = 500_000
 GROUP_BYTES = 1 << 20
+_WORDS_AT_ONCE = 200
+#: A word and signs after it (no apostrophe, which may be part of a word, and no start of a special token).
+_WORD_AND_SIGNS = re.compile(rb"([a-zA-Z\x80-\xff]+)([!-&(-/:;=-@\[-`{-~]*)")
 
 
 def default_tokenizer() -> str:
@@ -30,35 +34,68 @@ def default_tokenizer() -> str:
 class PieceEncoder:
     """Ids (little-endian unsigned 32-bit) of texts, encoded by pieces between ASCII white space.
 
-    For tokenizers that drop white space and never look across it (word_bpe_49k), which
-    makes the ids of a text the ids of its pieces in a row. Pieces repeat, so each worker
-    keeps the ids of those it has met, up to a bound.
+    For tokenizers that drop white space, never look across it and ignore case (word_bpe_49k),
+    which makes the ids of a text the ids of its pieces in a row. Pieces repeat, so each worker
+    keeps the ids of those it has met, up to a bound; a word with signs after it is the word's ids
+    and the signs'.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {b"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends_word[i] = token.endswith("</w>")
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Words of Latin letters only: many at once, told apart by the tokens that end a word."""
+        groups = [words[i:i + _WORDS_AT_ONCE] for i in range(0, len(words), _WORDS_AT_ONCE)]
+        for group, ids in zip(groups, self._ids([b" ".join(g).decode() for g in groups]), strict=True):
+            parts = np.split(ids, np.flatnonzero(self.ends_word[ids]) + 1)[:-1]
+            if len(parts) != len(group):
+                parts = self._ids([w.decode() for w in group])
+            self.known.update(zip(group, (x.tobytes() for x in parts), strict=True))
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        if len(self.known) > CACHED_PIECES:
+            self.known = {b"": b""}
+        split, whole = {}, []
+        for p in pieces.difference(self.known):
+            if (m := _WORD_AND_SIGNS.fullmatch(p)) and _latin(m[1].decode()):
+                split[p] = m.groups()
+            else:
+                whole.append(p)
+        self._learn_words(list({w for w, _ in split.values()}.difference(self.known)))
+        whole += {s for _, s in split.values()}.difference(self.known)
+        self.known.update(zip(whole, (x.tobytes() for x in self._ids([p.decode() for p in whole])), strict=True))
+        for p, (word, signs) in split.items():
+            self.known[p] = self.known[word] + self.known[signs]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text, in order; unknown pieces of about GROUP_BYTES of text are encoded at once."""
+        """The ids of each text, in order; unknown pieces of about GROUP_BYTES of text are learnt at once."""
         at = 0
         while at < len(texts):
             split, total = [], 0
             while at < len(texts) and total < GROUP_BYTES:
-                split.append(texts[at].split())
-                total += len(texts[at])
+                text = texts[at]
+                split.append((text if b"<|" in text else text.lower()).split())
+                total += len(text)
                 at += 1
-            pieces = {p for x in split for p in x}
-            if len(self.known) > CACHED_PIECES:
-                self.known.clear()
-            new = list(pieces.difference(self.known))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
+            self._learn(set().union(*split))
             for x in split:
                 yield b"".join(map(self.known.__getitem__, x))
 
 
+def _latin(word: str) -> bool:
+    """Letters that are one letter in lower case too, and that no later sign combines with."""
+    return word.isascii() or max(word) < "\u0250" and word.lower().isalpha()
+
+
 @cache
 def encoder(path: str) -> PieceEncoder:
     """One per Python worker."""
@@ -135,6 +172,6 @@ def _pieces(path: str, size: int, end: int):
 
 def token_pieces(docs: DataFrame, size: int, end: int = 1, tokenizer: str | None = None) -> DataFrame:
     """Every text's ids, then `end`, cut into pieces of at most `size`: kf, kr, doc_id, piece, start, length, ids_crc32."""
-    rows = keyed(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_pieces(tokenizer or default_tokenizer(), size, end),
                            "kf long, kr long, doc_id long, piece int, start long, length long, ids_crc32 long")
