@@ -211,10 +211,9 @@ def _rows(pairs: list[tuple[Check, Column]]) -> list[Column]:
 
 
 def _model_pass(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
-    """Every column check of one model in a single scan and aggregation.
+    """The not_null and relationship checks of one model in a single scan and aggregation.
 
-    not_null counts null rows; accepted_values counts distinct failing values
-    (one test row per value); a relationship check whose parent keys are
+    not_null counts null rows; a relationship check whose parent keys are
     small enough to broadcast left-joins those distinct keys (no row can
     multiply) and counts non-null child keys without a match.
     """
@@ -223,8 +222,6 @@ def _model_pass(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame
         col = F.col(c.column)
         if c.kind == "not_null":
             pairs.append((c, F.count_if(col.isNull())))
-        elif c.kind == "accepted_values":
-            pairs.append((c, F.count_distinct(F.when(~col.isin(list(c.values)), col))))
         else:
             key, hit = f"__rk{i}", f"__rh{i}"
             keys = F.broadcast(parents[c.name].select(F.col(c.parent_column).alias(key))
@@ -236,6 +233,21 @@ def _model_pass(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _values_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All accepted_values checks of one model: distinct failing values, one test row per value.
+
+    Each row emits its failing (check, value) pairs only, so clean rows emit nothing.
+    """
+    failing = F.array(*[
+        F.when(~F.col(c.column).isin(list(c.values)), F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")))
+        for i, c in enumerate(checks)])
+    found = (df.select(F.explode(F.filter(failing, lambda x: x.isNotNull())).alias("x")).select("x.i", "x.v").distinct()
+             .groupBy("i").agg(F.count(F.lit(1)).alias("n")))
+    per_check = found.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("m"))  # one entry per check
+    rows = _rows([(c, F.coalesce(F.col("m")[i], F.lit(0))) for i, c in enumerate(checks)])
+    return per_check.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def _count_of(check: Check, failing: DataFrame, column: str) -> DataFrame:
     return failing.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("failures")).select(
         F.lit(check.name).alias("test"), F.lit(check.severity).alias("severity"), "failures")
@@ -249,9 +261,9 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
               parent_rows: dict[str, int] | None = None) -> DataFrame:
     """One row per check: (test, severity, failures, status).
 
-    Each model is scanned once for its not_null, accepted_values and
-    small-parent relationship checks; a unique check is a grouped count
-    (partial aggregation first). A relationship to a parent too large to
+    Each model is scanned once for its not_null and small-parent relationship
+    checks and once for its accepted_values checks; a unique check is a grouped
+    count (partial aggregation first). A relationship to a parent too large to
     broadcast pre-aggregates the child keys, so a hot key becomes one row,
     before the anti-join. The report is one DataFrame, one row per check.
     `parent_rows` gives known row counts of parent models (e.g. counts taken
@@ -259,10 +271,13 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    values: dict[str, list[Check]] = {}
     parents: dict[str, DataFrame] = {}
     for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
+        if c.kind == "not_null":
             by_model.setdefault(c.model, []).append(c)
+        elif c.kind == "accepted_values":
+            values.setdefault(c.model, []).append(c)
         elif c.kind == "unique":
             parts.append(_count_of(c, unique(models[c.model], c.column).select(F.lit(1).alias("n")), "n"))
         elif c.kind == "relationships":
@@ -280,6 +295,8 @@ def dq_report(models: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_C
             raise ValueError(f"unknown check kind {c.kind!r}")
     for model, cs in by_model.items():
         parts.append(_model_pass(models[model], cs, parents))
+    for model, cs in values.items():
+        parts.append(_values_pass(models[model], cs))
     report = reduce(DataFrame.unionByName, parts)
     sev = F.col("severity")
     status = F.when(F.col("failures") == 0, "pass").when(sev == "warn", "warn").otherwise("fail")
