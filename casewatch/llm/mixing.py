@@ -44,12 +44,12 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     weighed = order.withColumn("weight", weight).withColumn("most", max_copies * F.col("source_size"))
     everything = weighed.agg(F.sum("source_size")).first()[0] or 0
-    level, capped = 0.0, 0
+    level, capped = 0.0, -1
     while True:  # one row per round; the level only rises, and with it the number of full sources
         full = F.col("weight") * level > F.col("most")
         r = weighed.agg(F.count_if(full).alias("n"), F.coalesce(F.sum(F.when(full, F.col("most"))), F.lit(0.0)).alias("given"),
                         F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)).alias("weight")).first()
-        if level and r["n"] == capped or not r["weight"]:
+        if r["n"] == capped or not r["weight"]:
             break
         capped, level = r["n"], (share * everything - r["given"]) / r["weight"]
     return weighed.select("source", "source_size", "n", F.least(F.col("weight") * level, F.col("most")).alias("target"))
