@@ -62,9 +62,10 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 def without_rows(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """The rows of `docs`, with all its columns, whose key isn't in `keys`.
 
-    The keys are written first: a short list is broadcast by its measured size, a long one is joined by shuffle.
+    Always a merge join on the row's key, few keys or many: the keys grow with the
+    documents, keys are unique (no skew), and the plan is the same at every size.
     """
-    return whole_rows(docs).join(written(keys.select(*KEY), name), KEY, "left_anti").select("row.*")
+    return whole_rows(docs).join(written(keys.select(*KEY), name).hint("merge"), KEY, "left_anti").select("row.*")
 
 
 def ranked(df: DataFrame, order: list[str], name: str, totals: dict[str, str] | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = file_backed(docs)
     copies = written(mix(docs).filter("copies > 0").select(*KEY, "copies"), "copies")
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return whole_rows(docs).join(copies, KEY).select("row", times.alias("copy")).select("row.*")
+    return whole_rows(docs).join(copies.hint("merge"), KEY).select("row", times.alias("copy")).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
