@@ -3,14 +3,14 @@
 A text is scanned as it stands (the base). Then its encoded parts are unwrapped (percent
 codes, Unicode and HTML escapes, base64, compressed bytes), each result is scanned and
 unwrapped in turn, until nothing new comes up; a layer whose content was seen before is not
-opened again, so chains that lead back to themselves end. Every find maps to the source
-characters that held it.
+opened again, so chains that lead back to themselves end. What base64 or compression gives is
+bytes, scanned as they are and without NULs (UTF-16), whether or not they read as text. Every
+find maps to the source characters that held it.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
@@ -58,83 +58,220 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-
 _ONE_ESCAPE = re.compile(r"\\[uUx]\{?([0-9A-Fa-f]+)\}?")
 _BASE64 = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
 _ENDS_LINE = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}={0,2}")
-
-
-def _percent(m: re.Match) -> str | None:
+_RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+#: A line of nothing but one run.
+_SOLE = re.compile(r"\n[ \t]*+([A-Za-z0-9+/_-]++={0,2})[ \t\r]*+(?=\n|\Z)")
+#: What may be bytes in percent codes or escapes: signs that need no code stand for themselves.
+_RAW_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()/+-])++")
+_RAW_ESCAPE = re.compile(r"[^\s\\]{0,4}(?:\\(?:x|u00)[0-9A-Fa-f]{2})[^\n]*+")
+_RAW_ONE = re.compile(r"\\(?:(?:x|u00)([0-9A-Fa-f]{2})|([nrt0abfv\\'\"]))")
+_RAW_SIGNS = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "a": "\a", "b": "\b", "f": "\f", "v": "\v"}
+
+
+def _percent(m: re.Match) -> str:
+    data = unquote_to_bytes(m[0])
     try:
-        return unquote_to_bytes(m[0]).decode()
+        return data.decode()
     except UnicodeDecodeError:
-        return None
+        return data.decode("latin-1")
 
 
-def _escapes(m: re.Match) -> str | None:
+def _escapes(m: re.Match) -> str:
     def one(e: re.Match) -> str:
         n = int(e[1], 16)
         return chr(n) if n < 0x110000 else e[0]
-    try:  # pairs of surrogates become one character
-        return html.unescape(_ONE_ESCAPE.sub(one, m[0])).encode("utf-16", "surrogatepass").decode("utf-16")
-    except UnicodeDecodeError:
-        return None
+    # Pairs of surrogates become one character.
+    return html.unescape(_ONE_ESCAPE.sub(one, m[0])).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def _raw(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Runs of percent codes or escapes that may hold compressed bytes, and their bytes."""
+    if "%" in text and _PERCENT.search(text):
+        for m in _RAW_PERCENT.finditer(text):
+            if "%" in m[0] and _MAGIC.search(data := unquote_to_bytes(m[0])):
+                yield m.start(), m.end(), data
+    if "\\x" in text or "\\u00" in text:
+        for m in _RAW_ESCAPE.finditer(text):
+            plain = _RAW_ONE.sub(lambda e: chr(int(e[1], 16)) if e[1] else _RAW_SIGNS.get(e[2], e[2]), m[0])
+            if _MAGIC.search(data := plain.encode("latin-1", "replace")):
+                yield m.start(), m.end(), data
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Runs wrapped over lines of one width, indented or not, and a last line that may be shorter; the first may have text before it."""
+    block: list[re.Match] = []
+
+    def of_width() -> Iterator[tuple[int, int]]:
+        first = end = block[0].start()
+        while end and text[end - 1] in " \t\r":
+            end -= 1
+        at = end
+        while at and text[at - 1] in _RUN:
+            at -= 1
+        width = len(block[0][1].rstrip("="))
+        if at < end and end - at >= width:
+            first = at
+        else:
+            first = block[0].start(1)
+        last = None
+        for m in block:
+            n = len(m[1].rstrip("="))
+            if last is not None and (n > width or last < width):
+                yield first, stop
+                first, width = m.start(1), n
+            last, stop = n, m.end(1)
+        yield first, stop
+    for m in _SOLE.finditer(text):
+        if block and m.start() != block[-1].end():
+            yield from of_width()
+            block = []
+        block.append(m)
+    if block:
+        yield from of_width()
+
+
+def _coded(text: str) -> Iterator[tuple[int, int]]:
+    """Places of what may be base64."""
+    at = [m.span() for m in _BASE64.finditer(text)]
+    if "\n" in text:
+        at += [m.span() for m in _ENDS_LINE.finditer(text)]
+        at += [(a, b) for a, b in _wrapped(text) if b - a >= 16 and "\n" in text[a:b]]
+    return iter(dict.fromkeys(at))
+
+
+_ZLIB = b"|".join(re.escape(bytes((c, f))) for c in range(8, 0x79, 16) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32)
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + _ZLIB)
+_MAKERS: dict[bytes, tuple[Callable, int]] = {
+    b"\x1f\x8b": (lambda: zlib.decompressobj(31), 1 << 16), b"BZ": (bz2.BZ2Decompressor, 1 << 16), b"\xfd7": (lzma.LZMADecompressor, 1 << 16),
+    # Has no limit of what one call gives, so it gets little at a time.
+    b"\x28\xb5": (lambda: zstandard.ZstdDecompressor(max_window_size=2 * LAYER_BYTES).decompressobj(), 1 << 9)}
+_ERRORS = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
+_CHUNK = 1 << 20
+
+
+class _Large(Exception):
+    pass
+
+
+class _Layer:
+    """The bytes of one layer."""
+
+    def __init__(self):
+        self.bytes = bytearray()
+
+    def write(self, data: bytes) -> None:
+        self.bytes += data
+        if len(self.bytes) > LAYER_BYTES:
+            raise _Large
+
+    def done(self) -> bytes:
+        return bytes(self.bytes)
+
+
+def _pieces(d, step: int, view: memoryview, pos: int) -> Iterator[tuple[bytes, int]]:
+    """What one member or frame at `pos` opens to, piece by piece, and how far it was read."""
+    limited = step > 1 << 9
+    while not d.eof and pos < len(view):
+        piece = view[pos:pos + step]
+        pos += len(piece)
+        yield (d.decompress(piece, _CHUNK) if limited else d.decompress(piece)), pos
+        while limited and not d.eof and (d.unconsumed_tail if hasattr(d, "unconsumed_tail") else not d.needs_input):
+            yield d.decompress(getattr(d, "unconsumed_tail", b""), _CHUNK), pos
+    if hasattr(d, "flush") and limited and not d.eof:
+        yield d.flush(), pos
 
 
 def _opened(data: bytes) -> Iterator[bytes | None]:
-    """What `data` is a compressed form of; None for one that opens to more than the limit."""
-    makers: list[Callable] = []
-    if data[:2] == b"\x1f\x8b":
-        makers.append(lambda: zlib.decompressobj(31))
-    elif len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0:
-        makers.append(zlib.decompressobj)
-    elif data[:3] == b"BZh":
-        makers.append(bz2.BZ2Decompressor)
-    elif data[:6] == b"\xfd7zXZ\x00":
-        makers.append(lzma.LZMADecompressor)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+    """What `data` holds in compressed form, with all members or frames that follow one another; None for what is over the limit."""
+    view, at = memoryview(data), 0
+    while m := _MAGIC.search(data, at):
+        make, step = _MAKERS.get(m[0][:2], (zlib.decompressobj, 1 << 16))
+        out, pos, at = _Layer(), m.start(), m.start() + 1
         try:
-            with zstandard.ZstdDecompressor(max_window_size=LAYER_BYTES).stream_reader(data) as r:
-                out = r.read(LAYER_BYTES + 1)
-            yield out if len(out) <= LAYER_BYTES else None
-        except zstandard.ZstdError:
-            pass
-    for make in makers:
-        try:
-            out = make().decompress(data, LAYER_BYTES + 1)
-            yield out if len(out) <= LAYER_BYTES else None
-        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            while True:
+                d = make()
+                for piece, pos in _pieces(d, step, view, pos):
+                    out.write(piece)
+                if not d.eof:
+                    break
+                at = pos = pos - len(d.unused_data)
+                while m[0][:2] == b"\xfd7" and data[pos:pos + 4] == b"\0\0\0\0":
+                    pos += 4
+                if not (after := _MAGIC.match(data, pos)) or after[0][:2] != m[0][:2] and (after[0][:2] in _MAKERS or m[0][:2] in _MAKERS):
+                    break
+        except _Large:
+            yield None
+            continue
+        except _ERRORS:  # what came out before it is kept
             pass
+        if inner := out.done():
+            yield inner
 
 
-def _as_text(data: bytes) -> str | None:
+def _readable(data: bytes) -> bool:
     """UTF-8 or UTF-16 with a mark, and hardly any control characters."""
     try:
         text = data.decode("utf-16" if data[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE) else "utf-8")
     except UnicodeDecodeError:
-        return None
+        return False
     odd = sum(c < " " and c not in "\t\n\r" or c == "\x7f" for c in text)
-    return text if 20 * odd <= len(text) else None
+    return 20 * odd <= len(text)
 
 
-def _inside(run: str) -> tuple[str | None, bool]:
-    """The text that a base64 run holds, through any compression, and whether a layer was too large to open."""
-    body = run.rstrip("=").translate(str.maketrans("-_", "+/", "\r\n"))
-    if len(body) % 4 == 1:
-        return None, False
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None, False
-    seen = set()
-    while data:
-        if (text := _as_text(data)) is not None:
-            return text, False
-        h = hashlib.sha256(data).digest()
-        if h in seen:
-            return None, False
+_UNWRAP = str.maketrans("-_", "+/", " \t\r\n=")
+
+
+def _phases(run: str) -> Iterator[bytes]:
+    """The bytes of a base64 run from each of its first four characters: whatever stands before the code, one of them is in step."""
+    body = run.translate(_UNWRAP)
+    for k in range(4):
+        n = len(body) - k
+        n -= n % 4 == 1
+        if n >= 2:
+            yield base64.b64decode(body[k:k + n] + "=" * (-n % 4))
+
+
+_END = object()
+#: A layer without any of these holds nothing.
+_HOPE = re.compile(r"(?ai)passw|secret|token|api|akia|[0-9a-f]{24}|[%\\&\0]|[a-z0-9+/_-]{16}|\n")
+
+
+def _below(inside: Iterator[bytes | None]) -> tuple[set[int], int, int]:
+    """Kinds of secrets in layers of bytes and all layers in them, layers opened, layers left closed."""
+    kinds, layers, closed, seen = set(), 0, 0, set()
+    work = deque([inside])
+    while work:
+        if (now := next(work[0], _END)) is _END:
+            work.popleft()
+            continue
+        if now is None:
+            closed += 1
+            continue
+        text = now.decode("latin-1")  # the patterns are ASCII
+        hope, readable = _HOPE.search(text), _readable(now)
+        if not hope and not readable and not _MAGIC.search(now):
+            continue
+        if (h := hashlib.sha256(now).digest()) in seen:
+            continue
         seen.add(h)
-        nxt = next(_opened(data), b"")
-        if nxt is None:
-            return None, True
-        data = nxt
-    return None, False
+        own = {s.kind for s in secrets(text)} if hope else set()
+        kinds |= own
+        layers += bool(own) or readable
+        if "\0" in text:  # UTF-16
+            work.append(iter([now.replace(b"\0", b"")]))
+        if "%" in text and (plain := unquote_to_bytes(now)) != now:
+            work.append(iter([plain]))
+        if ("\\" in text or "&" in text) and (plain := _ESCAPE.sub(lambda m: _latin(_escapes(m)), text)) != text:
+            work.append(iter([plain.encode("latin-1")]))
+        work.append(_opened(now))
+        if hope:
+            work.extend(_phases(text[a:b]) for a, b in _coded(text))
+    return kinds, layers, closed
+
+
+def _latin(text: str) -> str:
+    """Text as the Latin-1 reading of its bytes; characters up to U+00FF stand for bytes."""
+    return text if all(c <= "\xff" for c in text) else text.encode(errors="replace").decode("latin-1")
 
 
 def _edits(text: str, pattern: re.Pattern, decode: Callable[[re.Match], str | None]) -> list[tuple[int, int, str]]:
@@ -159,14 +296,12 @@ def scan(text: str) -> tuple[list[Span], list[Span], int, int]:
         if edits:
             m = Mapped(now, edits)
             children.append((m.text, m.source_span, m.edited))
-        runs = list(_BASE64.finditer(now))
-        if "\n" in now:
-            runs += _ENDS_LINE.finditer(now)
-        for m in runs:
-            inner, large = _inside(m[0])
-            closed += large
-            if inner:
-                children.append((inner, lambda a, b, at=m.span(): at, lambda a, b: True))
+        inside = [(a, b, _phases(now[a:b])) for a, b in _coded(now)] + [(a, b, _opened(data)) for a, b, data in _raw(now)]
+        for a, b, inner in inside:
+            kinds, n, shut = _below(inner)
+            layers, closed = layers + n, closed + shut
+            at = back(a, b)
+            more += [Span(at[0], k, at[1]) for k in sorted(kinds)]
         if children:
             above = above | {_digest(now)}
         for child, up, edited in children:
@@ -206,7 +341,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """Spans of secrets in every whole text and all its decoded layers, one row per document, in one pass without a shuffle.
 
     Columns: kf, kr, doc_id, n_assign, n_access, n_hex (base spans), base_sha256, spans (base and
-    decoded ones), n_added, n_layers (layers opened), n_closed (compressed layers over LAYER_BYTES).
+    decoded ones), n_added, n_layers (layers that read as text or hold a secret), n_closed (compressed layers over LAYER_BYTES).
     Reads `doc_id` and `text`; other columns are ignored. A null text counts as empty: no
     spans. Repeated rows are scanned once each; an empty table gives an empty result.
     """

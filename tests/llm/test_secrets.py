@@ -55,6 +55,26 @@ def test_layers_are_unwrapped_and_mapped(inner):
     assert len(spans) == 2 and first <= spans[0][0] < spans[0][1] <= first + len(inner) and second <= spans[1][0] < spans[1][1] <= len(text)
 
 
+LINES = "\n    ".join(re.findall(".{1,20}", b64("x" * 40 + KEY)))
+
+
+@pytest.mark.parametrize("inner", [
+    b64(KEY.encode("utf-16-le")), b64(KEY.encode("utf-16-be")), b64("é ".encode("latin-1") + KEY.encode()), b64(b"\xff\x00\x81" * 30 + KEY.encode()),
+    b64(gzip.compress(b"one ") + gzip.compress(KEY.encode())), b64(gzip.compress(b"pass") + gzip.compress(KEY[4:].encode())),
+    b64(bz2.compress(b"one ") + bz2.compress(KEY.encode())), b64(lzma.compress(b"one ") + b"\0" * 4 + lzma.compress(KEY.encode())),
+    b64(zstandard.compress(b"one ") + zstandard.compress(KEY.encode())), b64(gzip.compress(b"one ") + zlib.compress(KEY.encode())),
+    "https://h/example/" + b64(KEY), "a-" + b64(KEY), "ab_" + b64(KEY), "abc/" + b64(gzip.compress(KEY.encode())),
+    quote(gzip.compress(KEY.encode())), "".join(f"\\x{c:02x}" for c in zlib.compress(KEY.encode())), str(gzip.compress(KEY.encode()))[2:-1],
+    "".join(f"%{c:02x}" for c in b"\xe9 " + KEY.encode()), LINES,
+], ids=range(19))
+def test_every_layer_of_bytes_is_scanned(inner):
+    text = f"é before {inner} after"
+    base, more, layers, closed = scan(text)
+    assert base == [] and layers and not closed and {KINDS[s.kind] for s in more} == {"assign"}
+    at = text.index(inner)
+    assert all(at <= s.start < s.end <= at + len(inner) + len(" after") for s in more)
+
+
 def test_cycles_and_large_layers_end():
     assert scan("%25" * 50)[1] == []
     bomb = b64(zlib.compress(b"\0" * (65 << 20)))
