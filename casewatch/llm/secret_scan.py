@@ -16,7 +16,9 @@ import codecs
 import hashlib
 import html
 import lzma
+import mmap
 import re
+import tempfile
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -33,8 +35,10 @@ from casewatch.llm.spans import Mapped, Span, added, digest, joined
 KINDS = ("assign", "access", "hex")
 ASSIGN, ACCESS, HEX = range(3)
 
-#: Bytes that one compressed layer may open to; beyond, it is left closed and counted in n_closed.
+#: Bytes of one layer that are held in memory; a larger one goes to a temporary file, is scanned from there piece by piece, and counted in n_closed.
 LAYER_BYTES = 64 << 20
+#: Largest window of a zstd frame, which has to be held whole to open it.
+WINDOW_BYTES = 128 << 20
 
 _ASSIGN = re.compile(r"""(?ai)(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
@@ -97,37 +101,28 @@ def _raw(text: str) -> Iterator[tuple[int, int, bytes]]:
                 yield m.start(), m.end(), data
 
 
-def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+def _wrapped(text: str | mmap.mmap, sole: re.Pattern = _SOLE, run: str | bytes = _RUN, blanks: str | bytes = " \t\r", pad: str | bytes = "=") -> Iterator[tuple[int, int]]:
     """Runs wrapped over lines of one width, indented or not, and a last line that may be shorter; the first may have text before it."""
-    block: list[re.Match] = []
-
-    def of_width() -> Iterator[tuple[int, int]]:
-        first = end = block[0].start()
-        while end and text[end - 1] in " \t\r":
-            end -= 1
-        at = end
-        while at and text[at - 1] in _RUN:
-            at -= 1
-        width = len(block[0][1].rstrip("="))
-        if at < end and end - at >= width:
-            first = at
-        else:
-            first = block[0].start(1)
-        last = None
-        for m in block:
-            n = len(m[1].rstrip("="))
-            if last is not None and (n > width or last < width):
+    first = stop = width = last = 0
+    after = -1  # where the block of such lines goes on
+    for m in sole.finditer(text):
+        n = len(m[1].rstrip(pad))
+        if m.start() != after or n > width or last < width:
+            if after >= 0:
                 yield first, stop
-                first, width = m.start(1), n
-            last, stop = n, m.end(1)
+            first, width = m.start(1), n
+            if m.start() != after:
+                end = m.start()
+                while end and text[end - 1:end] in blanks:
+                    end -= 1
+                at = end
+                while at and text[at - 1:at] in run:
+                    at -= 1
+                if at < end and end - at >= width:
+                    first = at
+        last, stop, after = n, m.end(1), m.end()
+    if after >= 0:
         yield first, stop
-    for m in _SOLE.finditer(text):
-        if block and m.start() != block[-1].end():
-            yield from of_width()
-            block = []
-        block.append(m)
-    if block:
-        yield from of_width()
 
 
 def _coded(text: str) -> Iterator[tuple[int, int]]:
@@ -144,28 +139,33 @@ _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + _
 _MAKERS: dict[bytes, tuple[Callable, int]] = {
     b"\x1f\x8b": (lambda: zlib.decompressobj(31), 1 << 16), b"BZ": (bz2.BZ2Decompressor, 1 << 16), b"\xfd7": (lzma.LZMADecompressor, 1 << 16),
     # Has no limit of what one call gives, so it gets little at a time.
-    b"\x28\xb5": (lambda: zstandard.ZstdDecompressor(max_window_size=2 * LAYER_BYTES).decompressobj(), 1 << 9)}
+    b"\x28\xb5": (lambda: zstandard.ZstdDecompressor(max_window_size=WINDOW_BYTES).decompressobj(), 1 << 9)}
 _ERRORS = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError)
 _CHUNK = 1 << 20
 
 
-class _Large(Exception):
-    pass
-
-
 class _Layer:
-    """The bytes of one layer."""
+    """The bytes of one layer: in memory up to the limit, beyond it in a file that goes with the layer."""
 
     def __init__(self):
-        self.bytes = bytearray()
+        self.bytes, self.file = bytearray(), None
 
     def write(self, data: bytes) -> None:
-        self.bytes += data
-        if len(self.bytes) > LAYER_BYTES:
-            raise _Large
+        if self.file is None:
+            self.bytes += data
+            if len(self.bytes) > LAYER_BYTES:
+                self.file = tempfile.TemporaryFile()
+                self.file.write(self.bytes)
+                self.bytes = bytearray()
+        else:
+            self.file.write(data)
 
-    def done(self) -> bytes:
-        return bytes(self.bytes)
+    def done(self) -> bytes | mmap.mmap:
+        if self.file is None:
+            return bytes(self.bytes)
+        self.file.flush()
+        with self.file:
+            return mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ)
 
 
 def _pieces(d, step: int, view: memoryview, pos: int) -> Iterator[tuple[bytes, int]]:
@@ -181,8 +181,8 @@ def _pieces(d, step: int, view: memoryview, pos: int) -> Iterator[tuple[bytes, i
         yield d.flush(), pos
 
 
-def _opened(data: bytes) -> Iterator[bytes | None]:
-    """What `data` holds in compressed form, with all members or frames that follow one another; None for what is over the limit."""
+def _opened(data: bytes | mmap.mmap) -> Iterator[bytes | mmap.mmap | None]:
+    """What `data` holds in compressed form, with all members or frames that follow one another; None for a window over the limit."""
     view, at = memoryview(data), 0
     while m := _MAGIC.search(data, at):
         make, step = _MAKERS.get(m[0][:2], (zlib.decompressobj, 1 << 16))
@@ -199,12 +199,11 @@ def _opened(data: bytes) -> Iterator[bytes | None]:
                     pos += 4
                 if not (after := _MAGIC.match(data, pos)) or after[0][:2] != m[0][:2] and (after[0][:2] in _MAKERS or m[0][:2] in _MAKERS):
                     break
-        except _Large:
-            yield None
-            continue
-        except _ERRORS:  # what came out before it is kept
-            pass
-        if inner := out.done():
+        except _ERRORS as e:  # what came out before it is kept
+            if isinstance(e, zstandard.ZstdError) and "memory" in str(e):
+                yield None
+        inner = out.done()
+        if len(inner):
             yield inner
 
 
@@ -232,12 +231,98 @@ def _phases(run: str) -> Iterator[bytes]:
 
 
 _END = object()
+
+
+def _of_bytes(p: re.Pattern) -> re.Pattern:
+    return re.compile(p.pattern.encode(), p.flags & ~re.UNICODE)
+
+
+_BASE64_BYTES, _SOLE_BYTES, _ESCAPE_BYTES = map(_of_bytes, (_BASE64, _SOLE, _ESCAPE))
+_ENDS_LINE_BYTES = re.compile(rb"(?:[A-Za-z0-9+/]{60,76}\r?\n)++(?:[A-Za-z0-9+/]{2,76}={0,2})?")
+
+
+def _chunks(layer: mmap.mmap) -> Iterator[bytes]:
+    for at in range(0, len(layer), _CHUNK):
+        yield layer[at:at + _CHUNK]
+
+
+def _kinds_of_large(layer: mmap.mmap) -> set[int]:
+    """The kinds of secrets in a layer. Blanks in a row count as one and a find is sure after 24
+    characters, so the last 64 are all that a find over the cut between two pieces needs."""
+    kinds, kept = set(), b""
+    for chunk in _chunks(layer):
+        now = re.sub(rb"\x20{2,}", b" ", kept + chunk)
+        kinds |= {s.kind for s in secrets(now.decode("latin-1"))}
+        kept = now[-64:]
+    return kinds
+
+
+def _rewritten(layer: mmap.mmap, change: Callable[[bytes], bytes], codes: bytes, longest: int) -> Iterator[bytes | mmap.mmap]:
+    """The layer with its codes changed, if it has any; a code starts with one of `codes` and is not cut."""
+    out, kept, same = _Layer(), b"", True
+    for chunk in _chunks(layer):
+        now = kept + chunk
+        cut = next((i for i in range(max(len(now) - longest, 0), len(now)) if now[i] in codes), len(now))
+        new = change(now[:cut])
+        same = same and new == now[:cut]
+        out.write(new)
+        kept = now[cut:]
+    new = change(kept)
+    out.write(new)
+    if not (same and new == kept):
+        yield out.done()
+
+
+def _large_phases(layer: mmap.mmap, a: int, b: int) -> Iterator[bytes | mmap.mmap]:
+    """_phases of a run of any length."""
+    if b - a <= LAYER_BYTES:
+        yield from _phases(layer[a:b].decode())
+        return
+    for k in range(4):
+        out, kept, skip = _Layer(), "", k
+        for at in range(a, b, _CHUNK):
+            body = layer[at:min(at + _CHUNK, b)].decode().translate(_UNWRAP)
+            body, skip = kept + body[skip:], max(skip - len(body), 0)
+            n = len(body) // 4 * 4
+            out.write(base64.b64decode(body[:n]))
+            kept = body[n:]
+        if len(kept) > 1:
+            out.write(base64.b64decode(kept + "=" * (-len(kept) % 4)))
+        yield out.done()
+
+
+def _below_large(layer: mmap.mmap, above: frozenset[bytes]) -> tuple[set[int], int, int]:
+    """_below for one layer of any length, with memory for one piece or one run up to the limit at a time."""
+    kinds, layers, closed = _kinds_of_large(layer), 1, 1
+
+    def children() -> Iterator[Iterator[bytes | mmap.mmap | None]]:
+        if layer.find(b"\0") >= 0:  # UTF-16
+            yield _rewritten(layer, lambda x: x.replace(b"\0", b""), b"", 0)
+        if layer.find(b"%") >= 0:
+            yield _rewritten(layer, unquote_to_bytes, b"%", 2)
+        if layer.find(b"\\") >= 0 or layer.find(b"&") >= 0:
+            yield _rewritten(layer, lambda x: _ESCAPE_BYTES.sub(
+                lambda m: _latin(_escapes(_ESCAPE.fullmatch(m[0].decode()))).encode("latin-1"), x), b"\\&", 12)
+        yield _opened(layer)
+        for p in (_BASE64_BYTES, _ENDS_LINE_BYTES):
+            for m in p.finditer(layer):
+                yield _large_phases(layer, *m.span())
+        for a, b in _wrapped(layer, _SOLE_BYTES, _RUN.encode(), b" \t\r", b"="):
+            if b - a >= 16:
+                yield _large_phases(layer, a, b)
+    for inside in children():
+        found, n, shut = _below(inside, above)
+        kinds |= found
+        layers, closed = layers + n, closed + shut
+    return kinds, layers, closed
+
+
 #: A layer without any of these holds nothing.
 _HOPE = re.compile(r"(?ai)passw|secret|token|api|akia|[0-9a-f]{24}|[%\\&\0]|[a-z0-9+/_-]{16}|\n")
 
 
-def _below(inside: Iterator[bytes | None]) -> tuple[set[int], int, int]:
-    """Kinds of secrets in layers of bytes and all layers in them, layers opened, layers left closed."""
+def _below(inside: Iterator[bytes | mmap.mmap | None], above: frozenset[bytes] = frozenset()) -> tuple[set[int], int, int]:
+    """Kinds of secrets in layers of bytes and all layers in them, layers opened, layers over the limit. `above`: large layers they came out of."""
     kinds, layers, closed, seen = set(), 0, 0, set()
     work = deque([inside])
     while work:
@@ -247,6 +332,13 @@ def _below(inside: Iterator[bytes | None]) -> tuple[set[int], int, int]:
         if now is None:
             closed += 1
             continue
+        if isinstance(now, mmap.mmap):
+            if (h := hashlib.sha256(now).digest()) not in seen and h not in above:
+                seen.add(h)
+                found, n, shut = _below_large(now, above | {h})
+                kinds |= found
+                layers, closed = layers + n, closed + shut
+            continue
         text = now.decode("latin-1")  # the patterns are ASCII
         hope, readable = _HOPE.search(text), _readable(now)
         if not hope and not readable and not _MAGIC.search(now):
@@ -283,7 +375,7 @@ def _digest(text: str) -> bytes:
 
 
 def scan(text: str) -> tuple[list[Span], list[Span], int, int]:
-    """Base spans, spans of decoded layers (both in source code points), layers opened, layers left closed."""
+    """Base spans, spans of decoded layers (both in source code points), layers opened, layers over the limits."""
     base, more, layers, closed = secrets(text), [], 0, 0
     # Layer, the contents it came out of, and how a span of it maps to the source.
     work: deque[tuple[str, frozenset, Callable[[int, int], tuple[int, int]]]] = deque([(text, frozenset(), lambda a, b: (a, b))])
@@ -341,7 +433,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """Spans of secrets in every whole text and all its decoded layers, one row per document, in one pass without a shuffle.
 
     Columns: kf, kr, doc_id, n_assign, n_access, n_hex (base spans), base_sha256, spans (base and
-    decoded ones), n_added, n_layers (layers that read as text or hold a secret), n_closed (compressed layers over LAYER_BYTES).
+    decoded ones), n_added, n_layers (layers that read as text or hold a secret), n_closed (layers over LAYER_BYTES,
+    which are scanned from a temporary file, and zstd frames with a window over WINDOW_BYTES, which are not).
     Reads `doc_id` and `text`; other columns are ignored. A null text counts as empty: no
     spans. Repeated rows are scanned once each; an empty table gives an empty result.
     """

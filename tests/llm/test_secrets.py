@@ -11,6 +11,7 @@ import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from casewatch.llm import secret_scan
 from casewatch.llm.secret_scan import KINDS, find_secrets, scan, secrets
 from casewatch.llm.spans import Span, digest, joined
 
@@ -81,6 +82,31 @@ def test_cycles_and_large_layers_end():
     assert scan(f"x {bomb} y")[3] == 1
 
 
+BIG = 3 << 20
+
+
+@pytest.mark.parametrize("layer", [
+    KEY.encode() + b"\n" * BIG, b"\n" * BIG + KEY.encode(), b"\n" * (1 << 20) + b"password" + b" " * BIG + b"= hunter2hunter2",
+    b"\n" * ((1 << 20) - 5) + KEY.encode() + b"\n" * BIG, b"\n" * BIG + b64(b64(gzip.compress(KEY.encode()))).encode(), b"\n" * BIG + gzip.compress(KEY.encode()),
+    b"\n" * BIG + quote("\n" + KEY, safe="").replace("password", "%70assword").encode(), b"\n" * ((1 << 20) - 2) + b"%70assword=hunter2hunter2" + b"\n" * BIG,
+    b"\n" * BIG + "".join(f"\\u{ord(c):04x}" for c in KEY).encode(), b"\n" * BIG + KEY.encode("utf-16-le"), b"\n" * BIG + LINES.encode(), zlib.compress(b"\n" * BIG + KEY.encode()),
+], ids=range(12))
+def test_large_layers_are_scanned_whole(layer, monkeypatch):
+    monkeypatch.setattr(secret_scan, "LAYER_BYTES", 2 << 20)
+    code = b64(zlib.compress(layer))
+    base, more, _, large = scan(f"x {code} y")
+    assert base == [] and large and Span(2, KINDS.index("assign"), 2 + len(code)) in more
+
+
+def test_large_layers_are_scanned_as_small_ones(monkeypatch):
+    texts = [f"é before {p} after {quote(p)}" for m in test_every_layer_of_bytes_is_scanned.pytestmark for p in m.args[1]]
+    texts += [b64(zlib.compress((x + "\n").encode() * 3)) for x in texts] + [b64(zlib.compress(x.encode("utf-16"))) for x in texts]
+    want = [scan(x)[:2] for x in texts]
+    monkeypatch.setattr(secret_scan, "LAYER_BYTES", 20)
+    monkeypatch.setattr(secret_scan, "_CHUNK", 97)
+    assert [scan(x)[:2] for x in texts] == want and all(more for _, more in want)
+
+
 def test_clean_text_is_left_alone():
     text = "onerthedonreontiatth edes erat as on oransh of shat erre https://example.com/a%20b?c=d "
     assert scan(text)[:2] == ([], [])
