@@ -71,13 +71,13 @@ _SIGNS = {"\u2024": ".", "\u3002": ".", "\uff61": ".", "\u2010": "-", "\u2011":
 
 def _homoglyphs() -> dict[str, str]:
     """One ASCII character for each look-alike: the lists above, and all characters whose
-    compatibility form is one ASCII letter, digit or sign (full-width, mathematical, circled)."""
+    compatibility form is one ASCII letter, digit or sign (full-width, mathematical, circled), and the decimal digits of all scripts."""
     out = dict(_LOOKALIKES) | _SIGNS
-    for c in map(chr, range(0x2000, 0x1FC00)):
-        if not 0x3000 <= ord(c) < 0xFF00 and len(n := unicodedata.normalize("NFKC", c)) == 1 and n.isascii() and (n.isalnum() or n in "@.+-_"):
+    for c in map(chr, range(0x80, 0x1FC00)):
+        if len(n := unicodedata.normalize("NFKC", c)) == 1 and n.isascii() and (n.isalnum() or n in "@.+-_"):
             out.setdefault(c, n)
-        elif "DIGIT" in (name := unicodedata.name(c, "")) and name.startswith("ARABIC-INDIC"):
-            out.setdefault(c, str(unicodedata.digit(c)))
+        elif (d := unicodedata.decimal(c, None)) is not None:
+            out.setdefault(c, str(d))
     return out
 
 
@@ -91,12 +91,18 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _SPELLED = re.compile(rf"(?ai)(?:(?<![a-z0-9])plus[ \t,-]{{1,3}})?(?<![a-z0-9]){_WORD}(?:[ \t]{{0,3}}[,.;-]?[ \t]{{0,3}}{_WORD}|[ \t-]?[0-9](?=[ \t,-])){{3,}}(?![a-z])")
 _ONE_WORD, _TWO_WORDS = re.compile(rf"(?ai){_WORD}"), re.compile(rf"{_WORD}[ \t,.;-]*{_WORD}")
+# Digit words, digits and dots beside each other, over signs and line ends.
+_GAP = r"[ \t\r\n]*+(?:[,.;()\[\]-][ \t\r\n]*+)*+"
+_RUN = re.compile(rf"(?ai)(?<![a-z0-9])(?:plus(?![a-z]){_GAP})?(?:{_WORD}|[0-9]++)(?:{_GAP}(?:dot(?![a-z]){_GAP})*+(?:{_WORD}|[0-9]++))+(?![a-z0-9])")
+_IN_RUN = re.compile(rf"(?ai)(plus)|({_WORD})|(dot|\.)|([0-9]+)|[^a-z0-9]")
+_NEAR_WORD = re.compile(rf"{_WORD}{_GAP}(?:dot(?![a-z])|{_WORD}|[0-9])|[0-9]{_GAP}(?:dot{_GAP})?{_WORD}")
 
 _AT = r"(?:[ \t]{0,3}[\[({<][ \t]{0,3}(?:at|@)[ \t]{0,3}[\])}>][ \t]{0,3}|[ \t]{1,3}at[ \t]{1,3})"
 _DOT = r"(?:[ \t]{0,3}[\[({<][ \t]{0,3}(?:dot|punkt|\.)[ \t]{0,3}[\])}>][ \t]{0,3}|[ \t]{1,3}dot[ \t]{1,3})"
-# A disguised address: at is disguised or a sign, and so is each dot, one of them at least.
+# A disguised address: at is disguised or a sign, and so is each dot, one of them at least. Without
+# an at, the words before it are passed over as a whole.
 _DISGUISED = re.compile(
-    rf"(?ai)(?<![a-z0-9._%+-])[a-z0-9_%+-]++(?:(?:{_DOT}|\.)[a-z0-9_%+-]++){{0,8}}?(?P<at>{_AT}|@)[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++){{1,8}}")
+    rf"(?ai)(?<![a-z0-9._%+-])[a-z0-9_%+-]++(?:(?:{_DOT}|\.)[a-z0-9_%+-]++)*+(?:(?P<at>{_AT}|@)[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)++)?")
 _DISGUISED_AT, _DISGUISED_DOT = re.compile(f"(?ai){_AT}"), re.compile(f"(?ai){_DOT}")
 _BARE_AT = re.compile(r"(?ai)[ \t]+at[ \t]+\Z")
 _IP_DISGUISED = re.compile(rf"(?ai)(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])")
@@ -123,12 +129,36 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _runs(text: str, dots: bool) -> list[tuple[int, int, str]]:
+    """Runs of digit words with digits, dots, brackets or line ends among them become digits, and a
+    leading "plus" its sign. With `dots`, dots stay dots, and other signs and a
+    sentence's end become a blank; else they go."""
+    low = text.lower()
+    if not any(map(low.__contains__, DIGIT_WORDS)) or not _NEAR_WORD.search(low):
+        return []
+
+    def one(m: re.Match) -> str:
+        if m[1] or m[2]:
+            return "+" if m[1] else DIGIT_WORDS[m[2].lower()]
+        if m[4] or not dots or m[0].isspace():
+            return m[4] or ""
+        ends = m[0] == "." and m.string[m.end()].isspace() and not m.string[m.start() - 1].isspace()
+        return "." if m[3] and not ends else " "
+    edits = []
+    for m in _RUN.finditer(text):
+        if _ONE_WORD.search(m[0]) and sum(map(str.isdigit, new := _IN_RUN.sub(one, m[0]))) >= 4:
+            edits.append((m.start(), m.end(), new))
+    return edits
+
+
 def _undisguised(text: str) -> list[tuple[int, int, str]]:
     """The at and dot words of what reads as an address."""
     if not (any(c in text for c in "[({<") or "dot" in text.lower()) or not _NEAR_DOT.search(text):
         return []
     edits = {}
     for m in _DISGUISED.finditer(text):
+        if m["at"] is None:
+            continue
         a, b = m.span("at")
         if a > m.start() and _DISGUISED_AT.fullmatch(text, a, b):
             if _BARE_AT.match(text, a, b) and not _DISGUISED_DOT.search(text, b, m.end()):
@@ -149,23 +179,31 @@ def _undisguised(text: str) -> list[tuple[int, int, str]]:
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and the spans that only the normalised text shows, both in source code points."""
-    base = identifiers(text)
-    layers: list[Mapped] = []
-    now = text
-    for transducer in (_replaced, _spelled, _undisguised):
-        if edits := transducer(now):
+    base, more, first = identifiers(text), [], []
+    plain = text
+    if edits := _replaced(text):
+        first = [Mapped(text, edits)]
+        plain = first[0].text
+    # Each reading of the spelled digits; the first is that of words alone.
+    readings = [_spelled(plain)]
+    readings += [r for r in (_runs(plain, True), _runs(plain, False)) if r and r not in readings]
+    for reading in readings:
+        layers, now = list(first), plain
+        if reading:
+            layers.append(Mapped(now, reading))
+            now = layers[-1].text
+        if edits := _undisguised(now):
             layers.append(Mapped(now, edits))
             now = layers[-1].text
-    if not layers:
-        return base, []
-    more = []
-    for s in identifiers(now):
-        start, end, touched = s.start, s.end, False
-        for layer in reversed(layers):
-            touched = touched or layer.edited(start, end)
-            start, end = layer.source_span(start, end)
-        if touched:
-            more.append(Span(start, s.kind, end))
+        if not layers:
+            continue
+        for s in identifiers(now):
+            start, end, touched = s.start, s.end, False
+            for layer in reversed(layers):
+                touched = touched or layer.edited(start, end)
+                start, end = layer.source_span(start, end)
+            if touched:
+                more.append(Span(start, s.kind, end))
     return base, added(base, more)
 
 

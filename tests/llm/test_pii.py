@@ -58,6 +58,25 @@ def test_disguises_map_back(text, kind, source):
     assert base == [] and [(KINDS[s.kind], text[s.start:s.end]) for s in more] == [(kind, source)]
 
 
+@pytest.mark.parametrize(("kind", "source"), [
+    ("ip", "one nine two dot one six eight dot zero dot one"), ("ip", "one nine two . one six eight . zero . one"), ("ip", "192 dot one six eight dot 0 dot one"),
+    ("phone", "+1 415 five five five 0199"), ("phone", "plus one (four one five) five five five zero one nine nine"),
+    ("phone", "plus one four one five five five five\n  zero one nine nine"), ("card", "four one one one\n" + "one one one one\n" * 2 + "one one one one"),
+    ("card", "four. one. " + "one. " * 13 + "one"), ("card", "4111 one one one one 1111 one one one one"),
+    ("ip", "\u0661\u0669\u0662.168.1.1"), ("ip", "\u06f1\u06f9\u06f2.168.1.1"), ("ip", "\u0967\u096f\u0968.168.1.1"), ("ip", "\ua9d1.2.3.4"),
+    ("email", "jo" + " dot x" * 12 + " at mail" + " dot y" * 12 + " dot org"), ("email", "jo\ufe6bmail.org"),
+], ids=range(15))
+def test_more_disguises_map_back(kind, source):
+    text = f"é {source}, ok"
+    base, more = scan(text)
+    assert base == [] and [(KINDS[s.kind], text[s.start:s.end]) for s in more] == [(kind, source)]
+
+
+def test_long_chains_end():
+    for chain in ("a dot " * 40_000, "one. " * 40_000, "a.b" * 40_000 + " dot ", "1 two, " * 40_000):
+        assert scan(chain)[1] == []
+
+
 @pytest.mark.parametrize("text", ["see you at noon. dot the i", "we met at example.com yesterday", "one two three", "at the dot on the map", "five of six – seven"])
 def test_prose_is_left_alone(text):
     assert scan(text) == ([], [])
