@@ -93,12 +93,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     """The model of at most `max_labelled` labelled rows; None if they don't hold both classes.
 
     A row is good if its quality is 1 and it isn't toxic (a null label counts as 0); rows with a null id or
-    quality are left out; of repeated labels of an id the worst counts.
+    quality are left out; of repeated labels of an id the worst counts, and of rows that share an id the first by text. Labels of ids
+    that `docs` doesn't have are left out before the limit.
     """
     toxic = F.coalesce(labels["toxic"].cast("int"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     known = labels.filter(labels["quality"].isNotNull()).select(labels["doc_id"].cast("long").alias("doc_id"),
                           ((labels["quality"].cast("int") == 1) & (toxic == 0)).cast("int").alias("good"))
     known = known.dropna().groupBy("doc_id").agg(F.min("good").alias("good"))
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    known = known.join(text.select("doc_id").distinct(), "doc_id", "left_semi")
     sample = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,9 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
                 [b.column("doc_id"), b.column("good"), pa.array([shape(t) for t in texts], pa.list_(pa.float64())),
                  pa.array([sorted(terms(t)) for t in texts], pa.list_(pa.string()))], names=["doc_id", "good", "shape", "terms"])
 
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # At most `max_labelled` rows of 12 bytes: proven small.
-    rows = written(text.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "good").mapInArrow(
+    # At most `max_labelled` rows of 12 bytes: proven small. One row of each id, the first by its text.
+    one = text.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text")).alias("t"), F.min("good").alias("good"))
+    rows = written(one.select("doc_id", "t.text", "good").mapInArrow(
         describe, "doc_id long, good int, shape array<double>, terms array<string>"), "described")
     n, n_good = rows.agg(F.count("*"), F.coalesce(F.sum("good"), F.lit(0))).first()
     if not 0 < n_good < n:

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from casewatch.llm.quality_classifier import quality_posteriors, shape, terms
+from casewatch.llm import quality_classifier
+from casewatch.llm.quality_classifier import fit, quality_posteriors, shape, terms
 
 from .helpers import ODD, docs, words
 
@@ -39,6 +40,16 @@ def test_held_out_accuracy(spark):
     assert all(got[i].kept for i in held if kinds[i] == "good")
 
 
+def test_sample_is_bounded_in_rows(spark, monkeypatch):
+    rows, kinds = made(200)
+    sizes = []
+    real = quality_classifier._fit
+    monkeypatch.setattr(quality_classifier, "_fit", lambda good, *rest: sizes.append(len(good)) or real(good, *rest))
+    foreign = {1_000_000 + i: "good" for i in range(3000)}
+    assert fit(docs(spark, rows + [(0, f"{rows[0][1]} {i}", "en", "h0", 0) for i in range(300)]), labels(spark, kinds | foreign), max_labelled=200)
+    assert fit(docs(spark, rows), labels(spark, kinds | foreign), max_labelled=100) and sizes == [200, 100]
+
+
 def test_on_the_test_tables(spark):
     """Held-out labels of the driver's documents: at most 300 of about 400 are fitted to."""
     sf = "/root/testdata/sf0.01"
