@@ -15,20 +15,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import written
+from casewatch.llm.common import ranked, written
 
 MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
-#: Frequent words that are sent to every task as short ids; with more of them, words are named by 8-byte hashes.
+#: Frequent words that are sent to every task as ids of 3 bytes; with more of them, words are named by 8-byte hashes.
 VOCABULARY = 1 << 18
+ID_BYTES = 3
 #: Suffixes of one range partition, about.
 PARTITION = 1 << 20
 #: Positions whose suffixes a task holds at once.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _BREAK = b"."
 _TABLE = bytes(b" "[0] if c == 9 else b"\n"[0] if chr(c) in ".,;:!?\n\v\f\r" else c for c in range(256))
 
@@ -57,32 +58,32 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["lang", "word", "n"])
 
 
-def _suffixes(ids: dict[str, dict[bytes, int]] | None, max_words: int):
+def _suffixes(ids: dict[str, dict[bytes, int]] | None, width: int, max_words: int):
     """key (the suffix's word ids, big-endian, zeros after its end), n: equal suffixes of a batch as one row.
 
     A suffix ends with its piece and before a word that is known to be infrequent; single words are left out."""
-    kind = np.dtype(">u4") if ids is not None else np.dtype(">u8")
-
     def codes(lang: str, words: list[bytes]) -> np.ndarray:
         if ids is not None:
-            return np.fromiter(map(ids.get(lang, {}).get, words, [0] * len(words)), kind, len(words))
-        return np.fromiter((0 if w == _BREAK else word_code(lang, w) for w in words), kind, len(words))
+            return np.fromiter(map(ids.get(lang, {}).get, words, [0] * len(words)), np.uint64, len(words))
+        return np.fromiter((0 if w == _BREAK else word_code(lang, w) for w in words), np.uint64, len(words))
 
     def rows_of(a: np.ndarray) -> pa.RecordBatch:
         """The suffixes of the positions of `a` but for its last max_words."""
         n = len(a) - max_words
-        rows, alive = np.zeros((n, max_words), kind), np.ones(n, bool)
+        rows, alive = np.zeros((n, max_words), np.uint64), np.ones(n, bool)
         for j in range(max_words):
             alive &= a[j:j + n] != 0
             rows[alive, j] = a[j:j + n][alive]
-        rows = np.ascontiguousarray(rows[rows[:, 1] != 0])
-        keys = pa.Array.from_buffers(pa.binary(max_words * kind.itemsize), len(rows), [None, pa.py_buffer(rows.tobytes())])
-        table = pa.table({"key": keys}).group_by("key").aggregate([([], "count_all")]).combine_chunks()
+        rows = rows[rows[:, 1] != 0]
+        rows = rows[np.argsort((rows[:, 0] << np.uint64(24)) + rows[:, 1])]  # neighbours share bytes, which the shuffle's compression saves
+        data = np.ascontiguousarray(rows.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width:])
+        keys = pa.Array.from_buffers(pa.binary(max_words * width), len(rows), [None, pa.py_buffer(data.tobytes())])
+        table = pa.table({"key": keys}).group_by("key", use_threads=False).aggregate([([], "count_all")]).combine_chunks()
         return pa.RecordBatch.from_arrays([pa.concat_arrays(table["key"].chunks or [keys]).cast(pa.binary()),
                                            pa.concat_arrays(table["count_all"].chunks or [pa.array([], pa.int64())])], names=["key", "n"])
 
     def blocks(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        a = np.concatenate([*parts, np.zeros(max_words, kind)])
+        a = np.concatenate([*parts, np.zeros(max_words, np.uint64)])
         for at in range(0, len(a) - max_words, _BLOCK):
             yield rows_of(a[at:at + _BLOCK + max_words])
 
@@ -90,7 +91,7 @@ def _suffixes(ids: dict[str, dict[bytes, int]] | None, max_words: int):
         for b in batches:
             parts, total = [], 0
             for lang, words in _texts(b):
-                parts += [codes(lang, words), np.zeros(1, kind)]
+                parts += [codes(lang, words), np.zeros(1, np.uint64)]
                 total += len(words)
                 if total > _BLOCK:
                     yield from blocks(parts)
@@ -140,20 +141,24 @@ def multikey_quicksort(words: np.ndarray, weight: np.ndarray, least: int) -> Ite
 
 
 def _phrases(width: int, max_words: int, least: int):
-    kind = np.dtype(f">u{width}")
+    def decoded(column: pa.BinaryArray) -> np.ndarray:
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(-1, width)
+        whole = np.zeros((len(data), 8), np.uint8)
+        whole[:, 8 - width:] = data
+        return whole.view(">u8").astype(np.uint64 if width > 4 else np.uint32).reshape(-1, max_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, weights = [], []
         for b in batches:
             if len(b):
-                parts.append(np.frombuffer(b"".join(b.column("key").to_pylist()), kind).astype(f"u{width}").reshape(-1, max_words))
-                weights.append(b.column("n").to_numpy(zero_copy_only=False))
+                parts.append(decoded(b.column("key")))
+                weights.append(b.column("n").to_numpy(zero_copy_only=False).copy())
         if not parts:
             return
-        found = multikey_quicksort(np.concatenate(parts), np.concatenate(weights), least)
         keys, counts = [], []
-        for phrase, n in found:
-            keys.append(np.array(phrase, kind).tobytes())
+        for phrase, n in multikey_quicksort(np.concatenate(parts), np.concatenate(weights), least):
+            keys.append(b"".join(x.to_bytes(width, "big") for x in phrase))
             counts.append(n)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], names=["key", "f"])
     return run
@@ -172,10 +177,10 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_
     listed = frequent.orderBy(F.desc("f"), "lang", "word").limit(vocabulary + 1).toArrow().to_pylist()  # bounded by the parameter
     spark, ids, width = docs.sparkSession, None, 8
     if len(listed) <= vocabulary:
-        ids, width = {}, 4
+        ids, width = {}, ID_BYTES
         for i, r in enumerate(listed, 1):
             ids.setdefault(r["lang"], {})[r["word"].encode()] = i
-        named = spark.createDataFrame([(r["lang"], r["word"], r["f"], i.to_bytes(4, "big")) for i, r in enumerate(listed, 1)],
+        named = spark.createDataFrame([(r["lang"], r["word"], r["f"], i.to_bytes(width, "big")) for i, r in enumerate(listed, 1)],
                                       "lang string, word string, f long, key binary")
     else:
         def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +193,7 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_
     n = counted.agg(F.sum("f")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // partition))
     # Equal suffixes are one row per batch, so a hot one is few rows; the range split cuts hot leading words.
-    phrases = (rows.mapInArrow(_suffixes(ids, max_words), "key binary, n long").repartitionByRange(parts, "key")
+    phrases = (rows.mapInArrow(_suffixes(ids, width, max_words), "key binary, n long").repartitionByRange(parts, "key")
                .mapInArrow(_phrases(width, max_words, least), "key binary, f long")
                .groupBy("key").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
     return words, written(phrases, "phrases"), width
@@ -229,6 +234,9 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_W
     spelled = (kept.select("key", F.posexplode(F.transform(F.sequence(F.lit(0), size - 1), lambda i: part(F.col("key"), i, F.lit(1)))).alias("at", "word_key"))
                .join(words.select(F.col("key").alias("word_key"), "word"), "word_key")
                .groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase")))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("f"), "phrase")
-    return (kept.join(spelled, "key").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
-            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), "l", "r", "n", "score"))
+    # Ranks come from the place among all phrases, so no language is sorted in one task.
+    order = ranked(kept.join(spelled, "key").select("lang", "phrase", F.col("f").alias("a"), "l", "r", "n", "score", (-F.col("score")).alias("by_score"), (-F.col("f")).alias("by_f")),
+                   ["lang", "by_score", "by_f", "phrase"], "ranked-phrases")
+    begin = order.groupBy("lang").agg(F.min("rank").alias("begin"))
+    return (order.join(begin, "lang").withColumn("rank", F.col("rank") - F.col("begin") + 1).filter(F.col("rank") <= top)
+            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
