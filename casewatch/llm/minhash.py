@@ -37,8 +37,11 @@ GROUP = 1024
 #: A larger group is divided by each of the next so many bands, at most LEVELS times.
 NEXT_BANDS = 8
 LEVELS = 3
-#: Rounds that look for a spanning forest before all remaining candidates are confirmed.
-FORESTS = 3
+#: Sets, and bytes of them, that are compared with each other in one task when candidates are left after the forests.
+BLOCK = 4096
+BLOCK_BYTES = 32 << 20
+#: Shingles that a larger share of a block's sets holds are counted by matrix products, the others pair by pair.
+DENSE = 1 / 64
 _CHUNK = 1 << 20
 
 
@@ -172,6 +175,8 @@ def _confirmed(similar: int):
 
 
 class _Forest:
+    """Disjoint sets of numbers; the smallest names its set."""
+
     def __init__(self) -> None:
         self.root: dict[int, int] = {}
 
@@ -187,45 +192,101 @@ class _Forest:
         return a != b
 
 
-def _candidates(limit: int, similar: int, every: bool):
-    """Pairs of different components in a group whose sizes and sketches allow a link: `every` one, or a
-    spanning forest of them. Rows come sorted by group; a group that goes on in the next batch is carried over."""
-    def pairs(cols: list[np.ndarray], forest: _Forest) -> pa.RecordBatch:
-        g, e, root, n = cols[:4]
-        sketch, us, vs = cols[4], [], []
-        starts = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, np.int64)
-        last = np.repeat(np.append(starts[1:], len(g)), np.diff(np.append(starts, len(g)))) if len(g) else starts
-        i, step = np.arange(len(g)), 0
-        while True:
-            step += 1
-            i = i[i + step < last[i]] if len(i) else i
-            if not len(i):
-                break
-            j = i + step
-            ok = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= similar * np.maximum(n[i], n[j]))
-            a, b = i[ok], j[ok]
-            near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64) <= limit
-            for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
-                if every or forest.join(int(root[x]), int(root[y])):
-                    us.append(max(e[x], e[y]))
-                    vs.append(min(e[x], e[y]))
-        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that come sorted by column g, cut so that no group goes on in the next batch."""
+    rest = None
+    for b in batches:
+        if not len(b):
+            continue
+        whole = pa.Table.from_batches([b] if rest is None else [rest, b]).combine_chunks().to_batches()[0]
+        g = whole.column("g").to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(g != g[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield whole.slice(0, cut)
+        rest = whole.slice(cut)
+    if rest is not None:
+        yield rest
+
+
+def _candidates(limit: int, similar: int, by_element: bool):
+    """Pairs of different components in a group whose sizes and sketches allow a link, thinned to a spanning
+    forest: of components, or of the elements themselves (which then names every element that has a candidate)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest()
+        for b in _sorted_groups(batches):
+            g, e, root, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("g", "e", "root", "n"))
+            sketch = b.column("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(b), -1)
+            starts = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            last = np.repeat(np.append(starts[1:], len(g)), np.diff(np.append(starts, len(g))))
+            ends, us, vs, i, step = e if by_element else root, [], [], np.arange(len(g)), 0
+            while True:
+                step += 1
+                i = i[i + step < last[i]]
+                if not len(i):
+                    break
+                j = i + step
+                ok = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= similar * np.maximum(n[i], n[j]))
+                a, c = i[ok], j[ok]
+                near = np.bitwise_count(sketch[a] ^ sketch[c]).sum(axis=1, dtype=np.int64) <= limit
+                for x, y in zip(a[near].tolist(), c[near].tolist(), strict=True):
+                    if forest.join(int(ends[x]), int(ends[y])):
+                        us.append(max(e[x], e[y]))
+                        vs.append(min(e[x], e[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+    return run
 
+
+def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, sets) how many shingles each two sets share."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, shingle, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(shingle, kind="stable")
+    owner, times = owner[order], times[shingle[order]]
+    out = np.zeros((m, m), np.float32)
+    many = times > max(2, m * DENSE)
+    column = np.cumsum(np.append(0, np.diff(shingle[order][many]) != 0)) if many.any() else np.zeros(0, np.int64)
+    rows = owner[many]
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, m):  # as many columns as rows at once
+        a, b = np.searchsorted(column, [first, first + m])
+        block = np.zeros((m, m), np.float32)
+        block[rows[a:b], column[a:b] - first] = 1
+        out += block @ block.T
+    few = ~many & (times > 1)
+    owner, name, flat = owner[few], shingle[order][few], out.ravel()
+    step = 0
+    while True:
+        step += 1
+        same = np.flatnonzero(name[step:] == name[:-step]) if step < len(name) else np.zeros(0, np.int64)
+        if not len(same):
+            return out
+        x, y = owner[same].astype(np.int64), owner[same + step].astype(np.int64)
+        np.add.at(flat, x * m + y, 1)
+        np.add.at(flat, y * m + x, 1)
+
+
+def _links_in_blocks(similar: int):
+    """One confirmed link for each two components that a block or two blocks of sets connect."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, forest = None, _Forest()
-        for b in batches:
-            if not len(b):
-                continue
-            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("g", "e", "root", "n")]
-            cols.append(b.column("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(b), -1))
-            if rest is not None:
-                cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-            other = np.flatnonzero(cols[0] != cols[0][-1])
-            cut = other[-1] + 1 if len(other) else 0
-            rest = [c[cut:] for c in cols]
-            yield pairs([c[:cut] for c in cols], forest)
-        if rest is not None:
-            yield pairs(rest, forest)
+        forest = _Forest()
+        for b in _sorted_groups(batches):
+            g = b.column("g").to_numpy(zero_copy_only=False)
+            starts = [*np.flatnonzero(np.append(True, g[1:] != g[:-1])).tolist(), len(g)]
+            us, vs = [], []
+            for first, end in itertools.pairwise(starts):
+                part = b.slice(first, end - first)
+                e, root = (part.column(c).to_numpy(zero_copy_only=False) for c in ("e", "root"))
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("full")]
+                n = np.array([len(s) for s in sets], np.float64)
+                both = common_shingles(sets).astype(np.float64)
+                x, y = np.nonzero((100 * both >= similar * (n[:, None] + n[None, :] - both)) & (root[:, None] < root[None, :]))
+                _, once = np.unique(np.stack([root[x], root[y]], axis=1), axis=0, return_index=True)
+                for i, j in zip(x[once].tolist(), y[once].tolist(), strict=True):
+                    if forest.join(int(root[i]), int(root[j])):
+                        us.append(max(e[i], e[j]))
+                        vs.append(min(e[i], e[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
     return run
 
 
@@ -296,22 +357,37 @@ class NearLinks:
         return here.select("g", "i", "j", "e", "root").union(there.select("g", "i", "j", "e", "root")).distinct().select(
             F.xxhash64("g", "i", "j").alias("g"), "e", "root")
 
+    def open_pairs(self, roots: DataFrame, by_element: bool) -> DataFrame:
+        groups = self.open_groups(roots).repartition("g").sortWithinPartitions("g", "e").select("g", "e", "root", "n", "sketch")
+        return written(groups.mapInArrow(_candidates(self.limit, self.similar, by_element), "u long, v long").distinct(), "pairs")
+
+    def links_left(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """Links between the sets that `pairs` (u, v) connect, all of them compared: each set meets those it is
+        connected with in blocks, so it is sent to a task as often as there are blocks of them."""
+        linked = components(pairs).withColumnRenamed("node", "e")
+        near = linked.withColumnRenamed("root", "near").union(linked.select(F.col("root").alias("e"), F.col("root").alias("near")).distinct())
+        near = written(near.join(self.full.select("e", F.length("full").cast("long").alias("bytes")), "e"), "near")
+        blocks = near.groupBy("near").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
+        own, other = F.pmod(F.xxhash64("e"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        placed = near.join(blocks, "near").withColumn("own", own.cast("int")).withColumn("other", other)
+        # Each two blocks are one group; a single block, or one of two blocks with itself, is a group within that of two.
+        placed = placed.filter((F.col("own") != F.col("other")) | (F.col("blocks") == 1)).select(
+            F.xxhash64("near", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "e")
+        rows = placed.join(roots, "e", "left").withColumn("root", F.coalesce("root", "e")).join(self.full, "e")
+        return written(rows.repartition("g").sortWithinPartitions("g", "e").select("g", "e", "root", "full")
+                       .mapInArrow(_links_in_blocks(self.similar), "u long, v long"), "links")
+
     def find(self) -> DataFrame:
         """Links (u, v), all confirmed, that connect the sets as all links do."""
-        tested = written(self.possible(self.stars()), "tested")
-        links = self.confirm(tested)
-        for forest in range(FORESTS + 1):
-            every = forest == FORESTS
-            roots = components(links).withColumnRenamed("node", "e")
-            order = F.xxhash64("e", F.lit(forest))  # another forest each time
-            pairs = written(self.open_groups(roots).withColumn("order", order).repartition("g").sortWithinPartitions("g", "order")
-                            .select("g", "e", "root", "n", "sketch").mapInArrow(_candidates(self.limit, self.similar, every), "u long, v long").distinct(), "pairs")
-            new = written(pairs.join(tested, ["u", "v"], "left_anti"), "tested")
-            found = self.confirm(new)
-            links, tested = links.union(found), tested.union(new)
-            if every or pairs.count() == found.count():  # a forest of confirmed links hides no other
-                return links
-        raise AssertionError
+        links = self.confirm(written(self.possible(self.stars()), "tested"))
+        roots = components(links).withColumnRenamed("node", "e")
+        pairs = self.open_pairs(roots, by_element=False)
+        found = self.confirm(pairs)
+        links = links.union(found)
+        if pairs.count() == found.count():  # a forest of confirmed links hides no other
+            return links
+        roots = components(links).withColumnRenamed("node", "e")
+        return links.union(self.links_left(self.open_pairs(roots, by_element=True), roots))
 
 
 def near_links(sets: DataFrame, full_sets: Callable[[DataFrame], DataFrame], limit: int, similar: int = SIMILAR, group: int = GROUP) -> DataFrame:

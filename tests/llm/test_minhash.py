@@ -66,8 +66,9 @@ def test_groups_as_brute_force(spark, seed):
 
 
 def test_large_groups_as_brute_force(spark, monkeypatch):
-    """With tiny groups, they are divided by further bands and cut into blocks."""
+    """With tiny groups, they are divided by further bands and cut into blocks; what is left is compared block by block."""
     monkeypatch.setattr(minhash, "LEVELS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 9)
     rng = random.Random(9)
     base = words(rng, 80, 3000).split()
     rows = []
@@ -79,6 +80,15 @@ def test_large_groups_as_brute_force(spark, monkeypatch):
     check(minhash_groups(docs(spark, rows), group=4).collect(), rows)
 
 
+@pytest.mark.parametrize("n", [1, 5, 300])
+def test_common_shingles(n):
+    """Shingles of many sets (by products) and of few (pair by pair)."""
+    rng = random.Random(n)
+    sets = [{rng.randrange(40) for _ in range(20)} | {rng.randrange(100, 3000) for _ in range(30)} for _ in range(n)]
+    got = minhash.common_shingles([np.array(sorted(s), np.uint64) for s in sets])
+    assert all(got[i, j] == len(sets[i] & sets[j]) for i in range(n) for j in range(n) if i != j)
+
+
 def test_sketches_tell_similarity():
     rng = np.random.default_rng(2)
     limit = most_odd_bits(192, 512, 0.8, 1e-11)
