@@ -7,9 +7,9 @@ after a failure at any point:
     spark-submit -m casewatch weekly   --landing L --raw R --watermark W --store S
     spark-submit -m casewatch backfill --landing L --raw R --watermark W --store S --years 2022 2026
 
-A load records its years in the store before it appends; the build and the
-tests work on what is recorded there, not on what this run loaded, and only
-a run whose tests passed clears it.
+A load records its years in the store before it appends, a stream in its log
+beside the raw table; the build and the tests work on what is recorded there,
+not on what this run loaded, and only a run whose tests passed clears it.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from casewatch.plans import quality
 from casewatch.plans.ingest import IngestResult, ingest_batch
 from casewatch.plans.refresh import read_manifest, refresh_models
 from casewatch.session import apply_scale_conf
-from casewatch.sources import pending
+from casewatch.sources import loads, pending
 from casewatch.sources.seeds import load_seeds
 from casewatch.sources.tables import table_exists
 
@@ -53,17 +53,20 @@ def weekly_run(spark: SparkSession, landing: str, raw_path: str, wm_path: str, s
     result = ingest_batch(spark, landing, raw_path, wm_path, loaded_at, land_base, multi_line, rejects_path,
                           on_years=lambda years: pending.record(spark, store, years), backfill=backfill)
     marks = pending.marks(spark, store)
+    streamed = loads.unbuilt(spark, raw_path, store)
     complete = read_manifest(spark, store) is not None
-    if complete and not marks or not table_exists(spark, raw_path):
+    if complete and not marks and not streamed or not table_exists(spark, raw_path):
         return WeeklyResult(result, None, None)
     seeds = load_seeds(spark, disease_path, holidays_path)
     raw = spark.read.schema(schemas.RAW).parquet(raw_path)
-    models = refresh_models(raw, store, years=pending.years(spark, marks) if complete else None,
+    years = sorted({*pending.years(spark, marks), *loads.years(spark, raw_path, streamed)})
+    models = refresh_models(raw, store, years=years if complete else None,
                             holidays=seeds["us_holidays"] if holidays_path else None, season_years=season_years)
     report = test_report(models, seeds["disease_list"], raw, as_of or dt.datetime.now(dt.timezone.utc).date())
     if raise_on_error:
         quality.raise_on_errors(report)
     pending.clear(spark, marks)
+    loads.mark_built(spark, store, streamed)
     return WeeklyResult(result, models, report)
 
 
@@ -93,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
         w.add_argument("--store", required=True)
         w.add_argument("--rejects", default=None, help="table of records that cannot be loaded (default: RAW-rejects)")
         w.add_argument("--land-copy", default=None, help="folder for the dated JSON copy of each load")
-        w.add_argument("--json-lines", action="store_true", help="landed files hold JSON lines (default: look at the first line)")
+        w.add_argument("--json-lines", action="store_true", help="landed files hold JSON lines (default: decided for each file)")
         w.add_argument("--disease-list", default=None, help="CSV in place of the built-in disease names")
         w.add_argument("--holidays", default=None, help="CSV in place of the built-in holiday weeks")
         w.add_argument("--season-years", type=int, nargs=2, default=None, metavar=("FIRST", "LAST"))

@@ -11,7 +11,7 @@ healed on the next run, because the anti-join skips the rows already stored,
 and the years recorded before the append (`on_years`) tell the caller what
 its models still miss. Records that cannot be parsed or compared are stored
 as rejects, with their reason and file, before anything else.
-The driver only ever handles the one-row watermark, counts, and the years and weeks of a batch.
+The driver only ever handles the one-row watermark, counts, and the years of a batch.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch import schemas
-from casewatch.functions import week_stamp
 from casewatch.operators import (
     advance_watermark, anti_join_new, dedup_first, has_newer, latest_watermark, watermark_from_raw,
 )
@@ -80,42 +79,19 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
     return dedup_first(df, keys, batch_order(df))
 
 
-# Above this many distinct weeks in one batch, fall back to a year range.
-MAX_BATCH_WEEKS = 10_000
-
-
 def restrict_to_batch_weeks(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Existing rows that can share a key with the batch: only its (year, week) pairs.
 
-    Year and week are both part of the natural key, so rows of other weeks can
-    never match. On a raw table partitioned by year and week this is partition
-    pruning: a weekly load reads one or two weeks of existing keys, not a
-    year. The distinct stamps of the batch are bounded by the calendar (53 a
-    year); only they reach the driver. Null year or week parts are kept
-    null-safe.
+    Year and week are both part of the natural key, so rows of other weeks can never match. On a raw
+    table partitioned by year and week the join prunes partitions at run time (the batch's distinct
+    weeks are broadcast, and the scan lists only theirs): a weekly load reads one or two weeks of
+    existing keys, not a year, and nothing comes to the driver. Years of four digits and weeks of
+    one or two bound the broadcast; existing rows with any other year or week, nulls too, are kept.
     """
-    stamps = batch.select(week_stamp("year", "week").alias("s")).distinct().limit(MAX_BATCH_WEEKS + 1).collect()
-    values = [r["s"] for r in stamps]
-    if len(values) > MAX_BATCH_WEEKS:
-        return restrict_to_batch_years(existing, batch)
-    known = [v for v in values if v is not None]
-    cond = week_stamp("year", "week").isin(known) if known else F.lit(False)
-    if len(known) < len(values):
-        cond = cond | F.col("year").isNull() | F.col("week").isNull()
-    return existing.where(cond)
-
-
-def restrict_to_batch_years(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Existing rows of the batch's year range (the coarse form of restrict_to_batch_weeks)."""
-    r = batch.agg(F.min(_int("year")).alias("lo"), F.max(_int("year")).alias("hi"),
-                  F.max(F.col("year").isNull().cast("int")).alias("nulls")).first()
-    if r is None or (r["lo"] is None and not r["nulls"]):
-        return existing.limit(0)
-    y = _int("year")
-    cond = y.between(r["lo"], r["hi"]) if r["lo"] is not None else F.lit(False)
-    if r["nulls"]:
-        cond = cond | F.col("year").isNull()
-    return existing.where(cond)
+    calendar = F.col("year").rlike("^[0-9]{4}$") & F.col("week").rlike("^[0-9]{1,2}$")
+    weeks = batch.select("year", "week").where(calendar).distinct()
+    same = existing.where(calendar).join(F.broadcast(weeks), ["year", "week"], "left_semi").select(*existing.columns)
+    return same.union(existing.where(~F.coalesce(calendar, F.lit(False))))
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str] = NATURAL_KEY,
@@ -223,6 +199,23 @@ def append_new_rows(rows: DataFrame, raw_path: str, on_years: Callable[[list[int
     return n, years
 
 
+def append_loadable(tagged: DataFrame, raw_path: str, rejects_path: str | None, loaded_at: dt.datetime | None = None,
+                    on_years: Callable[[list[int]], None] | None = None) -> tuple[int, int, list[int]]:
+    """Store the rejects of flattened landed rows that carry `load_reason`, and append those of the rest that are
+    not stored yet; return the numbers of new rows and new rejects, and the new rows' years. Doing it again adds nothing."""
+    spark = tagged.sparkSession
+    existing = spark.read.schema(schemas.RAW).parquet(raw_path) if table_exists(spark, raw_path) else None
+    rejected = store_rejects(tagged.where(F.col("load_reason").isNotNull()), rejects_path or f"{raw_path.rstrip('/')}-rejects", loaded_at)
+    good = tagged.where(F.col("load_reason").isNull()).drop("load_reason", CORRUPT_COLUMN)
+    n, years = append_new_rows(new_rows(good, existing), raw_path, on_years)
+    return n, rejected, years
+
+
+def tagged_rows(landed: DataFrame) -> DataFrame:
+    """Flattened landed rows with the reason why a row cannot be loaded."""
+    return flatten(landed).withColumn("load_reason", load_reason())
+
+
 def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
                  loaded_at: dt.datetime | None = None, land_base: str | None = None,
                  multi_line: bool | None = None, rejects_path: str | None = None,
@@ -245,19 +238,18 @@ def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
     existing = spark.read.schema(schemas.RAW).parquet(raw_path) if table_exists(spark, raw_path) else None
     before = current_watermark(wm, existing)
     landed = read_landed(spark, landing, multi_line=multi_line, with_position=True, malformed="column")
-    tagged = flatten(landed).withColumn("load_reason", load_reason())
+    tagged = tagged_rows(landed)
     wanted = rows_between_years(tagged, *backfill) if backfill else rows_after(tagged, *before)
     path = scratch_path(spark, "ingest-fetched")
     kept = write_table(wanted.where(F.col("load_reason").isNull()).union(tagged.where(F.col("load_reason").isNotNull())), path)
-    rejected = store_rejects(kept.where(F.col("load_reason").isNotNull()), rejects_path or f"{raw_path.rstrip('/')}-rejects", loaded_at)
     fetched = kept.where(F.col("load_reason").isNull()).drop("load_reason", CORRUPT_COLUMN)
     adv = advance_watermark(fetched, loaded_at).first()
+    if adv is not None and land_base:
+        day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
+        land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
+    n_new, rejected, years = append_loadable(kept, raw_path, rejects_path, loaded_at, on_years)
     result = IngestResult(False, before, 0, 0, None, rejected_rows=rejected)
     if adv is not None:
-        if land_base:
-            day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
-            land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
-        n_new, years = append_new_rows(new_rows(fetched, existing), raw_path, on_years)
         if (adv["year"], adv["week"]) > before:
             write_watermark(spark, adv, wm_path)
         result = IngestResult(True, before, fetched.count(), n_new, max((adv["year"], adv["week"]), before), years, rejected)

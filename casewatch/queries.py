@@ -27,7 +27,8 @@ from casewatch.reference_data import (
 )
 from casewatch.session import checkpoint_root, scratch_path
 from casewatch.sources.adapter import ADAPTER_STATES, input_key, pick, raw_from_lineitem
-from casewatch.sources.landing import flatten
+from casewatch.sources.files import exists
+from casewatch.sources.landing import flatten, read_landed, unflatten
 from casewatch.sources.seeds import disease_list, us_holidays
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -312,6 +313,27 @@ def q_ingest_flatten(spark, sf):
     return flatten(nested_raw(spark, sf))
 
 
+def landed_files(spark, sf):
+    """The raw rows as a landing folder of three layouts: JSON lines, arrays, pretty-printed records."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/casewatch/landed-{input_key(spark, sf)}"
+    with _STORE_LOCK:
+        if not exists(spark, f"{path}/_SUCCESS"):
+            rows = unflatten(raw(spark, sf).withColumn("geocode_type", F.when(F.col("geocode_coordinates").isNotNull(), "Point")))
+            record = F.struct(*rows.columns)
+            part = F.pmod(F.xxhash64("sort_order"), F.lit(3))
+            arrays = rows.where(part == 1).groupBy("year", "week", "states").agg(  # one array a line
+                F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(record)), ", "), F.lit("]")).alias("value"))
+            rows.where(part == 0).select(F.to_json(record).alias("value")).write.mode("overwrite").text(path)
+            arrays.select("value").coalesce(2).write.mode("append").text(path)
+            rows.where(part == 2).select(F.to_json(record, {"pretty": "true"}).alias("value")).write.mode("append").text(path)
+    return path
+
+
+@query("ingest_landed_files")
+def q_ingest_landed_files(spark, sf):
+    return flatten(read_landed(spark, landed_files(spark, sf)))
+
+
 @query("ingest_batch_dedup")
 def q_ingest_dedup(spark, sf):
     return ingest.dedup_batch(raw(spark, sf))

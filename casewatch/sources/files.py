@@ -26,6 +26,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at `path`; one that is there stays."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    fs.createNewFile(p)
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Paths, sizes and modification times of the files below `path`, as one string."""
     fs, p = _fs(spark, path)

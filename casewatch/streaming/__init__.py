@@ -1,5 +1,5 @@
 """Structured Streaming entry points."""
 
-from casewatch.streaming.landing_stream import append_new, start_landing_stream
+from casewatch.streaming.landing_stream import load_files, start_landing_stream
 
-__all__ = ["append_new", "start_landing_stream"]
+__all__ = ["load_files", "start_landing_stream"]

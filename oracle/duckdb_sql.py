@@ -437,6 +437,9 @@ SELECTS.update({
     "ingest_flatten": ((), """SELECT states, "year", week, label, m1, m2, m3, m4, m1_flag, m2_flag, m3_flag,
         m4_flag, sort_order, CASE WHEN geocode_coordinates IS NULL THEN NULL ELSE 'Point' END AS geocode_type,
         geocode_coordinates FROM raw"""),
+    "ingest_landed_files": ((), """SELECT states, "year", week, label, m1, m2, m3, m4, m1_flag, m2_flag, m3_flag,
+        m4_flag, sort_order, CASE WHEN geocode_coordinates IS NULL THEN NULL ELSE 'Point' END AS geocode_type,
+        geocode_coordinates FROM raw"""),
     "ingest_batch_dedup": ((), dedup_sql("raw")),
     "ingest_new_rows": (INGEST_CTES, anti_sql(dedup_sql("incoming"))),
     "watermark_latest": (INGEST_CTES, "SELECT * FROM wm_top"),

@@ -5,13 +5,14 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from casewatch import schemas
 from casewatch.operators import advance_watermark, anti_join_new, has_newer, latest_watermark, watermark_from_raw
 from casewatch.plans import ingest
-from casewatch.sources import flatten, land_raw, read_landed
-from casewatch.streaming import start_landing_stream
+from casewatch.sources import flatten, land_raw, loads, read_landed
+from casewatch.streaming import load_files, start_landing_stream
 
 
 def fresh_dir(prefix):
@@ -111,3 +112,47 @@ def test_streaming_ingest_replays_add_nothing(spark):
     q = start_landing_stream(spark, landing, raw_path, checkpoint=f"{root}/ckpt2")  # replays a.json too
     q.awaitTermination(120)
     assert spark.read.schema(schemas.RAW).parquet(raw_path).count() == 2
+
+
+def test_stream_equals_batch_load(spark):
+    """Lines, a truncated array, a bad year and a bad m1: the same rows and rejects, however they are loaded."""
+    root = fresh_dir("stream-batch")
+    os.makedirs(f"{root}/landing")
+    good = [rec("Ohio", "2024", str(w), "Mumps") for w in range(1, 9)]
+    texts = {
+        "a.json": "".join(json.dumps(x) + "\n" for x in good[:3]),
+        "b.json": json.dumps(good[3:6])[:-40],
+        "c.json": json.dumps([rec("Ohio", "20x4", "1", "Mumps"), rec("Ohio", "2024", "7", "Mumps", m1="n/a"), good[7], good[0]]),
+        "d [1].json": json.dumps(rec("Utah", "2023", "5", "Mumps"), indent=2),
+    }
+    for name, text in texts.items():
+        with open(f"{root}/landing/{name}", "w") as fh:
+            fh.write(text)
+    start_landing_stream(spark, f"{root}/landing", f"{root}/streamed", checkpoint=f"{root}/ckpt", wm_path=f"{root}/stream-wm").awaitTermination(300)
+    ingest.ingest_batch(spark, f"{root}/landing", f"{root}/raw", f"{root}/wm", dt.datetime(2024, 3, 1))
+    streamed, batch = (spark.read.schema(schemas.RAW).parquet(f"{root}/{p}") for p in ("streamed", "raw"))
+    assert sorted(streamed.collect(), key=str) == sorted(batch.collect(), key=str) and batch.count() == 7
+    rejects = [spark.read.parquet(f"{root}/{p}-rejects").select("reason", "record").collect() for p in ("streamed", "raw")]
+    assert sorted(rejects[0]) == sorted(rejects[1]) and sorted(r.reason for r in rejects[0]) == ["bad_m1", "bad_year", "malformed_json"]
+    assert [tuple(r)[:2] for r in spark.read.parquet(f"{root}/stream-wm").collect()] == [(2024, 8)]
+    result = loads.results(spark, f"{root}/streamed").first()
+    assert (result.rows, result.rejects, result.years, len(result.files)) == (7, 3, [2023, 2024], 4)
+
+
+def test_a_micro_batch_that_died_is_loaded_once(spark, monkeypatch):
+    from casewatch.plans import ingest as module
+    root = fresh_dir("stream-dies")
+    land(f"{root}/landing", "a.json", [rec("Ohio", "2024", "1", "Mumps"), rec("Utah", "2025", "2", "Mumps")])
+    path, raw_path = f"{root}/landing/a.json", f"{root}/raw"
+
+    def die(*args):
+        raise RuntimeError("died")
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(module, "append_raw", die)  # before the append
+        load_files(spark, [path], raw_path, "s-0")
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(loads, "finish", die)  # after it
+        load_files(spark, [path], raw_path, "s-0")
+    assert loads.unbuilt(spark, raw_path, f"{root}/store") == ["s-0"] and loads.years(spark, raw_path, ["s-0"]) == [2024, 2025]
+    assert load_files(spark, [path], raw_path, "s-0") and not load_files(spark, [path], raw_path, "s-0")
+    assert spark.read.schema(schemas.RAW).parquet(raw_path).count() == 2

@@ -15,6 +15,7 @@ from casewatch.plans.refresh import MART_TOP5, MART_WOW, read_manifest
 from casewatch.sources import land_raw, pending, read_landed
 from casewatch.sources.landing import flatten
 from casewatch.sources.tables import append_raw
+from casewatch.streaming import start_landing_stream
 
 AS_OF = dt.date(2026, 6, 1)
 
@@ -140,6 +141,17 @@ def test_backfill_loads_old_weeks(flow, quick):
     flow.assert_whole()
 
 
+def test_the_weekly_run_builds_what_the_stream_loaded(flow, quick, spark):
+    """A stream fills another year while no weekly run sees the rows as new."""
+    flow.run()
+    flow.land("b.json", [rec("Ohio", "2023", "7", m1="5")])  # before the watermark: only the stream loads it
+    start_landing_stream(spark, f"{flow.root}/landing", f"{flow.root}/raw", checkpoint=f"{flow.root}/ckpt").awaitTermination(300)
+    out = flow.run()
+    assert out.ingest.appended_rows == 0 and out.models is not None and flow.raw().count() == 3
+    flow.assert_whole()
+    assert flow.run().models is None
+
+
 def test_an_append_writes_few_files(spark):
     root = tempfile.mkdtemp(prefix="casewatch-append-")
     rows = spark.range(4000, numPartitions=16).select(
