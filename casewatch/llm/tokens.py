@@ -5,6 +5,7 @@ The tokenizer's file is named by a path that the executors can open; it is never
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -12,14 +13,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewatch.llm.common import keyed, ranked
 
 #: Pieces of text whose ids a worker keeps at once.
-CACHED_PIECES = 500_000
-GROUP_BYTES = 1 << 20
+CACHED_PIECES = 1_500_000
+GROUP_BYTES = 8 << 20
 _WORDS_AT_ONCE = 200
 #: A word and signs after it (no apostrophe, which may be part of a word, and no start of a special token).
 _WORD_AND_SIGNS = re.compile(rb"([a-zA-Z\x80-\xff]+)([!-&(-/:;=-@\[-`{-~]*)")
@@ -56,10 +58,11 @@ class PieceEncoder:
         """Words of Latin letters only: many at once, told apart by the tokens that end a word."""
         groups = [words[i:i + _WORDS_AT_ONCE] for i in range(0, len(words), _WORDS_AT_ONCE)]
         for group, ids in zip(groups, self._ids([b" ".join(g).decode() for g in groups]), strict=True):
-            parts = np.split(ids, np.flatnonzero(self.ends_word[ids]) + 1)[:-1]
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
+            parts = [raw[a:b] for a, b in itertools.pairwise([0, *ends])]
             if len(parts) != len(group):
-                parts = self._ids([w.decode() for w in group])
-            self.known.update(zip(group, (x.tobytes() for x in parts), strict=True))
+                parts = [x.tobytes() for x in self._ids([w.decode() for w in group])]
+            self.known.update(zip(group, parts, strict=True))
 
     def _learn(self, pieces: set[bytes]) -> None:
         if len(self.known) > CACHED_PIECES:
@@ -77,18 +80,29 @@ class PieceEncoder:
             self.known[p] = self.known[word] + self.known[signs]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text, in order; unknown pieces of about GROUP_BYTES of text are learnt at once."""
+        """The ids of each text, in order. About GROUP_BYTES of text at once: its distinct pieces are looked up or
+        learnt, and the ids of all its pieces copied together by their places."""
         at = 0
         while at < len(texts):
-            split, total = [], 0
+            group, total = [], 0
             while at < len(texts) and total < GROUP_BYTES:
-                text = texts[at]
-                split.append((text if b"<|" in text else text.lower()).split())
-                total += len(text)
+                group.append(texts[at] if b"<|" in texts[at] else texts[at].lower())
+                total += len(texts[at])
                 at += 1
-            self._learn(set().union(*split))
-            for x in split:
-                yield b"".join(map(self.known.__getitem__, x))
+            split = pc.ascii_split_whitespace(pa.array(group, pa.large_binary()).cast(pa.large_string()))
+            pieces = split.flatten().dictionary_encode()
+            distinct = pieces.dictionary.cast(pa.large_binary()).to_pylist()
+            self._learn(set(distinct))
+            parts = [self.known[p] for p in distinct]
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            ids, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
+            code = pieces.indices.to_numpy(zero_copy_only=False)
+            size = sizes[code]
+            end = np.append(0, np.cumsum(size))  # of every piece among the ids of the group
+            ids = ids[np.repeat(begin[code] - end[:-1], size) + np.arange(end[-1])]
+            bounds = end[split.offsets.to_numpy()].tolist()
+            for a, b in itertools.pairwise(bounds):
+                yield ids[a:b].tobytes()
 
 
 def _latin(word: str) -> bool:
@@ -156,17 +170,21 @@ def _pieces(path: str, size: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").fill_null("").cast(pa.binary()).to_pylist()
-            rows = []
-            for kf, kr, doc, ids in zip(b.column("kf").to_pylist(), b.column("kr").to_pylist(), b.column("doc_id").to_pylist(),
-                                        encoder(path).encode(texts), strict=True):
+            counts, starts, lengths, sums = [], [], [], []
+            for ids in encoder(path).encode(texts):
                 ids += tail
-                for i, at in enumerate(range(0, len(ids), 4 * size)):
+                counts.append(-(-len(ids) // (4 * size)))
+                for at in range(0, len(ids), 4 * size):
                     part = ids[at:at + 4 * size]
-                    rows.append((kf, kr, doc, i, at // 4, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                             names=["kf", "kr", "doc_id", "piece", "start", "length", "ids_crc32"])
+                    starts.append(at // 4)
+                    lengths.append(len(part) // 4)
+                    sums.append(zlib.crc32(part))
+            of = pa.array(np.repeat(np.arange(len(counts)), counts))
+            starts = np.array(starts, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c).take(of) for c in ("kf", "kr", "doc_id")), pa.array((starts // size).astype(np.int32)), pa.array(starts),
+                 pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
+                names=["kf", "kr", "doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
 
