@@ -20,8 +20,12 @@ def period_change(df: DataFrame, value: str, partition: Sequence[str | Column],
     """
     w = Window.partitionBy(*partition).orderBy(*order)
     prev = F.coalesce(F.lag(value, 1).over(w), F.lit(0.0))
-    out = df.withColumn(previous, prev)
-    out = out.withColumn(change, F.coalesce(F.col(value) - F.col(previous), F.lit(0.0)))
+    return with_change(df.withColumn(previous, prev), value, previous, change, pct)
+
+
+def with_change(df: DataFrame, value: str, previous: str, change: str = "change", pct: str = "pct_change") -> DataFrame:
+    """The change from the column `previous` to `value`, and the change in percent."""
+    out = df.withColumn(change, F.coalesce(F.col(value) - F.col(previous), F.lit(0.0)))
     ratio = F.try_divide(F.col(change), F.nullif(F.col(previous), F.lit(0.0)))
     return out.withColumn(pct, F.coalesce(F.round(ratio * 100, 2), F.lit(0.0)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewatch.operators import bounded_broadcast, period_change, running_total
+from casewatch.operators import bounded_broadcast, period_change, running_total, with_change
 from casewatch.reference_data import (
     NOT_COUNTED_FLAG, SEASON_FIRST_YEAR, SEASON_FLAGS, SEASON_LAST_YEAR, TOP_N,
 )
@@ -175,14 +175,48 @@ def week_over_week(s: DataFrame, by: str = "reference") -> DataFrame:
 
 def wow_finish(pre: DataFrame, by: str = "reference") -> DataFrame:
     """The week-over-week mart from its pre-aggregate (LAG, change, running total)."""
-    out = wow_running(wow_lag(pre, by), by)
+    return _wow_columns(wow_running(wow_lag(pre, by), by))
+
+
+def wow_year_rows(pre: DataFrame, by: str = "reference") -> DataFrame:
+    """The mart's rows as far as one year tells: the first row of a series in a year (`first_of_year`) has no previous
+    week yet. `exact_cases` are the cases that a change is computed from."""
+    keys, order = [*wow_partition(by), "year"], _asc(["week", *WOW_TIE_BREAK])
+    out = period_change(pre, "current_week_cases", keys, order, previous="actual_previous_week_cases", change="wow_change", pct="wow_pct_change")
+    out = wow_running(out, by).withColumn("first_of_year", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1)
+    return _wow_columns(out, "first_of_year", F.col("current_week_cases").alias("exact_cases"))
+
+
+def wow_last_rows(pre: DataFrame, by: str = "reference") -> DataFrame:
+    """The cases of each series' last row in each year: what the series' next row compares with."""
+    last = F.max_by("current_week_cases", F.struct("week", *WOW_TIE_BREAK))  # in a struct, too, nulls come first
+    return pre.groupBy(*wow_partition(by), "year").agg(last.alias("last_cases"))
+
+
+def wow_over_year_ends(rows: DataFrame, last: DataFrame, by: str = "reference") -> DataFrame:
+    """The mart from `wow_year_rows` and `wow_last_rows` of all years: the first row of a series in a year takes
+    its previous value from the last row of the latest earlier year that has one. Only these rows are joined, one a
+    series and year, so years can be written one by one."""
+    series = wow_partition(by)
+    before = last.select(*[F.col(c).alias(f"__{c}") for c in series], F.col("year").alias("__year"),
+                         F.coalesce(F.lag("last_cases").over(Window.partitionBy(*series).orderBy("year")), F.lit(0.0)).alias("__before"))
+    same = F.col("year") == F.col("__year")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    firsts = rows.where("first_of_year").join(before, same).withColumn("actual_previous_week_cases", F.col("__before"))
+    firsts = with_change(firsts, "exact_cases", "actual_previous_week_cases", "wow_change", "wow_pct_change")
+    firsts = firsts.withColumn("actual_previous_week_cases", _rounded_long("actual_previous_week_cases"))
+    return rows.where(~F.col("first_of_year")).select(*WOW_COLUMNS).union(firsts.select(*WOW_COLUMNS))
+
+
+def _wow_columns(out: DataFrame, *more: Column | str) -> DataFrame:
     return out.select(
         "census_division", "region_name", "year", "quarter", "season", "week", "week_label", "mmwr_period",
         "is_holiday_week", "holiday_name", "disease_name_short", "disease_status", "disease_group",
         "disease_category", "severity_or_stage",
         _rounded_long("current_week_cases"), _rounded_long("actual_previous_week_cases"),
         "wow_change", "wow_pct_change", "flagged_current_week_count",
-        F.round("running_cumulative_cases", 0).cast("long").alias("running_cumulative_cases_year"),
+        F.round("running_cumulative_cases", 0).cast("long").alias("running_cumulative_cases_year"), *more,
     )
 
 

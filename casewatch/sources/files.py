@@ -33,6 +33,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.createNewFile(p)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several callers one succeeds."""
+    from py4j.protocol import Py4JJavaError
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Since the file was written, by this machine's clock."""
+    import time
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Paths, sizes and modification times of the files below `path`, as one string."""
     fs, p = _fs(spark, path)

@@ -1,4 +1,4 @@
-"""DuckDB text of every oracle query (independent re-statement in SQL).
+"""DuckDB text of every oracle query: a re-statement in SQL that shares the library's fixed values.
 
 The prefix `WITH ...` chain derives raw rows from `lineitem` the same way the
 Spark adapter does, then staging, the dimensions, the fact and the star. Each

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from casewatch.functions import week_stamp
 from casewatch.plans.build import build_models
-from casewatch.plans.refresh import MART_SEASON, MART_TOP5, MART_WOW, refresh_models
+from casewatch.plans import refresh
+from casewatch.plans.refresh import MART_SEASON, MART_TOP5, MART_WOW, read_manifest, refresh_models
 from casewatch.session import scratch_path
+from casewatch.sources import files
 from casewatch.sources.adapter import raw_from_lineitem
 
 
@@ -86,3 +88,68 @@ def test_season_years_are_an_argument(spark):
     raw = spark.createDataFrame([("Ohio", "2031", "5", "Mumps", "4", "3", "9", "1", None, None, None, None, "a", None)], schemas.RAW)
     assert refresh_models(raw, scratch_path(spark, "test-season"))[MART_SEASON].count() == 0
     assert refresh_models(raw, scratch_path(spark, "test-season"), season_years=(2022, 2031))[MART_SEASON].count() == 1
+
+
+def ohio(spark, *found):
+    from casewatch import schemas
+    return spark.createDataFrame(
+        [(st, str(y), str(w), "Mumps", str(n), "3", "9", "1", None, None, None, None, f"{st}-{y}-{w}", None) for st, y, w, n in found], schemas.RAW)
+
+
+def stored_versions(spark, store, table):
+    return {part: v for (t, part), (v, _, _) in read_manifest(spark, store).items() if t == table}
+
+
+def test_a_touched_year_is_the_only_one_written(spark):
+    """Late rows of a middle year change what later years compare with, though their files stay."""
+    rows = [("Ohio", 2023, 50, 9), ("Ohio", 2024, 10, 4), ("Iowa", 2022, 3, 8), ("Iowa", 2026, 4, 2), ("Ohio", 2026, 1, 7)]
+    store = scratch_path(spark, "test-delta")
+    refresh_models(ohio(spark, *rows), store)
+    before = stored_versions(spark, store, refresh.WOW_ROWS)
+    late = [*rows, ("Ohio", 2024, 30, 50), ("Iowa", 2024, 2, 5)]
+    got = refresh_models(ohio(spark, *late), store, years=[2024])
+    after = stored_versions(spark, store, refresh.WOW_ROWS)
+    assert {p for p in after if after[p] != before.get(p)} == {"year=2024"}
+    want = build_models(ohio(spark, *late))[MART_WOW]
+    assert same(got[MART_WOW].select(*want.columns), want)
+
+
+def test_a_changed_season_range_rebuilds_all_its_years(spark):
+    rows = [("Ohio", y, 5, 4) for y in (2021, 2024, 2025)]
+    store = scratch_path(spark, "test-ranges")
+    refresh_models(ohio(spark, *rows), store)
+    got = refresh_models(ohio(spark, *rows), store, years=[2025], season_years=(2020, 2030))
+    assert sorted(r.year for r in got[MART_SEASON].collect()) == [2021, 2024, 2025]
+    got = refresh_models(ohio(spark, *rows), store, years=[2025], season_years=(2024, 2024))
+    assert sorted(r.year for r in got[MART_SEASON].collect()) == [2024]
+
+
+def test_two_refreshes_at_a_time_both_land(spark, monkeypatch):
+    """The second publishes while the first is at work: the first begins again, and nothing of either is lost."""
+    rows = [("Ohio", 2023, 50, 9), ("Ohio", 2024, 10, 4), ("Ohio", 2025, 2, 7)]
+    store = scratch_path(spark, "test-two")
+    refresh_models(ohio(spark, *rows), store)
+    first = [*rows, ("Iowa", 2023, 4, 1)]
+    both = [*first, ("Utah", 2025, 6, 3)]
+    publish, calls = refresh._publish, []
+
+    def meanwhile(*args):
+        calls.append(args[3])
+        if len(calls) == 1:
+            refresh_models(ohio(spark, *both), store, years=[2025])  # the other run, from the same manifest
+        return publish(*args)
+    monkeypatch.setattr(refresh, "_publish", meanwhile)
+    got = refresh_models(ohio(spark, *first), store, years=[2023])
+    assert calls == [1, 1, 2]  # the first one's try, the second one, the first one again
+    want = build_models(ohio(spark, *both))
+    for k in ("stg_nndss_weekly", "dim_location", MART_TOP5, MART_SEASON, MART_WOW):
+        assert same(got[k].select(*want[k].columns), want[k]), k
+
+
+def test_a_claim_of_a_run_that_died_does_not_stop_the_next(spark, monkeypatch):
+    rows, store = [("Ohio", 2024, 10, 4)], scratch_path(spark, "test-claim")
+    files.claim(spark, f"{store}/claims/00000001")
+    assert not files.claim(spark, f"{store}/claims/00000001")
+    monkeypatch.setattr(refresh, "CLAIM_SECONDS", 0.01)
+    assert refresh_models(ohio(spark, *rows), store)[MART_TOP5].count() == 1
+    assert refresh_models(ohio(spark, *rows), store, years=[2024])[MART_TOP5].count() == 1
