@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from casewatch.llm.common import keyed, ranked
 
 #: Pieces of text whose ids a worker keeps at once.
-CACHED_PIECES = 1_500_000
-GROUP_BYTES = 8 << 20
+CACHED_PIECES = 1_000_000
+GROUP_BYTES = 3 << 20
 _WORDS_AT_ONCE = 200
 #: A word and signs after it (no apostrophe, which may be part of a word, and no start of a special token).
 _WORD_AND_SIGNS = re.compile(rb"([a-zA-Z\x80-\xff]+)([!-&(-/:;=-@\[-`{-~]*)")
@@ -94,12 +94,14 @@ class PieceEncoder:
             distinct = pieces.dictionary.cast(pa.large_binary()).to_pylist()
             self._learn(set(distinct))
             parts = [self.known[p] for p in distinct]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
             ids, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
             code = pieces.indices.to_numpy(zero_copy_only=False)
             size = sizes[code]
             end = np.append(0, np.cumsum(size))  # of every piece among the ids of the group
-            ids = ids[np.repeat(begin[code] - end[:-1], size) + np.arange(end[-1])]
+            place = np.arange(end[-1])
+            place += np.repeat(begin[code] - end[:-1], size)
+            ids = ids[place]
             bounds = end[split.offsets.to_numpy()].tolist()
             for a, b in itertools.pairwise(bounds):
                 yield ids[a:b].tobytes()
