@@ -30,6 +30,11 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def _place(docs: DataFrame) -> Column:
+    """The files' own metadata, which a column named _metadata doesn't hide."""
+    return docs.metadataColumn("_metadata")
+
+
 def keyed(docs: DataFrame, *cols: Column) -> DataFrame:
     """The given columns of `docs` after a key (kf, kr) that names one row of its files.
 
@@ -37,17 +42,15 @@ def keyed(docs: DataFrame, *cols: Column) -> DataFrame:
     files finds the same key however the files are split; repeated rows and null ids
     stay apart. A DataFrame that is not read from files is written first.
     """
-    file_key = [F.xxhash64(F.col("_metadata.file_path")).alias("kf"), F.col("_metadata.row_index").alias("kr")]
-    try:
-        return docs.select(*file_key, *cols)
-    except AnalysisException:
-        return written(docs, "rows").select(*file_key, *cols)
+    docs = file_backed(docs)
+    place = _place(docs)
+    return docs.select(F.xxhash64(place["file_path"]).alias("kf"), place["row_index"].alias("kr"), *cols)
 
 
 def file_backed(docs: DataFrame) -> DataFrame:
     """`docs` itself if `keyed` can name its rows, else a written copy of it."""
     try:
-        docs.select("_metadata.row_index")
+        docs.select(_place(docs)["row_index"])
         return docs
     except AnalysisException:
         return written(docs, "rows")

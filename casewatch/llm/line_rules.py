@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from casewatch.llm.common import KEY, file_backed, keyed, written
 
-#: A line is common on a host if more than this share of its documents, and this many of them, have it.
-MAX_SHARE, MIN_DOCS = 0.1, 20
+#: A line is common on a host if more than this share of its documents, and MIN_DOCS of them, have it; or if
+#: more than MAX_DOCS have it, however many documents the host has.
+MAX_SHARE, MIN_DOCS, MAX_DOCS = 0.05, 20, 100
 #: A document is depleted if fewer words, or a smaller share of its words, are left without its common lines.
 MIN_WORDS, MIN_LEFT = 10, 0.5
 
@@ -90,17 +91,19 @@ def _measured(docs: DataFrame, host: str) -> DataFrame:
     return written(rows.mapInArrow(_measure, f"{schema}, hashes array<long>, sizes array<long>"), "measured")
 
 
-def common_lines(measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def common_lines(measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, h): hashes of lines in more documents of the host than the limits allow. A document
     counts once a line; each task counts its own documents first."""
     docs = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
     lines = measured.select("host", F.explode("hashes").alias("h")).groupBy("host", "h").agg(F.count("*").alias("line_docs"))
-    frequent = lines.filter(F.col("line_docs") > min_docs)
-    return frequent.join(docs, "host").filter(F.col("line_docs") > max_share * F.col("host_docs")).select("host", "h")
+    frequent = lines.filter(F.col("line_docs") > min(min_docs, max_docs))
+    n = F.col("line_docs")
+    over = (n > max_docs) | ((n > min_docs) & (n > max_share * F.col("host_docs")))
+    return frequent.join(docs, "host").filter(over).select("host", "h")
 
 
 def quality_rules(docs: DataFrame, host: str = "source", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                  min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+                  max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
     """Per row of `docs`: kf, kr, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, words_left (without the host's common lines), n_common_lines, kept.
 
@@ -110,7 +113,7 @@ def quality_rules(docs: DataFrame, host: str = "source", max_share: float = MAX_
     rows count as documents each; an empty table gives an empty result.
     """
     measured = _measured(docs, host)
-    common = written(common_lines(measured, max_share, min_docs), "common-lines")
+    common = written(common_lines(measured, max_share, min_docs, max_docs), "common-lines")
     lines = measured.select(*KEY, "host", F.explode(F.arrays_zip("hashes", "sizes")).alias("x")).select(
         *KEY, "host", F.col("x.hashes").alias("h"), F.col("x.sizes").alias("size"))
     # No hint: both sides are written tables, so a small `common` is broadcast by its measured
@@ -124,11 +127,12 @@ def quality_rules(docs: DataFrame, host: str = "source", max_share: float = MAX_
         F.coalesce("n_common_lines", F.lit(0)).alias("n_common_lines"), (~failed & ~depleted).alias("kept"))
 
 
-def without_common_lines(docs: DataFrame, host: str = "source", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def without_common_lines(docs: DataFrame, host: str = "source", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+                         max_docs: int = MAX_DOCS) -> DataFrame:
     """kf, kr, doc_id, text of every row, without the lines that are common on its host (null stays null)."""
     docs = file_backed(docs)
     measured = _measured(docs, host)
-    common = written(common_lines(measured, max_share, min_docs), "common-lines")
+    common = written(common_lines(measured, max_share, min_docs, max_docs), "common-lines")
     cut = measured.select(*KEY, "host", F.explode("hashes").alias("h")).join(common, ["host", "h"]).groupBy(*KEY).agg(
         F.collect_list("h").alias("cut"))  # at most the lines of one text
 

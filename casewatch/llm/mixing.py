@@ -85,15 +85,29 @@ def _fold(state: Column, e: Column) -> Column:
         F.struct(still.alias("open"), F.concat(state["done"], F.array(done)).alias("done")))
 
 
+def spread(units: DataFrame) -> DataFrame:
+    """source, unit, h for `units` (source, unit, text_hash): h is a hash by which no group gets more than its share.
+
+    An id that one unit has is hashed alone. Units that share an id, or have none, are hashed with their rank among
+    all such units, by id, text, size and source; those equal in all of these are alike, so reruns agree on any layout.
+    """
+    id = F.col("unit.doc_id")
+    repeated = written(units.groupBy(id.alias("id")).agg(F.count("*").alias("n")).filter("n > 1 OR id IS NULL").select("id"), "repeated-ids")
+    marked = written(units.alias("u").join(repeated.alias("r"), F.expr("u.unit.doc_id <=> r.id"), "left_semi").select(
+        "source", "unit", "text_hash", id.alias("id"), F.col("unit.size").alias("size"), F.col("unit.kf").alias("kf"), F.col("unit.kr").alias("kr")), "repeats")
+    order = ["id", "text_hash", "size", "source", *KEY]
+    again = ranked(marked, order, "ranked-repeats").select("source", "unit", F.xxhash64(F.lit(SEED), F.coalesce("id", F.lit(0)), "rank").alias("h"))
+    single = units.alias("u").join(repeated.alias("r"), F.expr("u.unit.doc_id <=> r.id"), "left_anti")
+    return single.select("source", "unit", F.xxhash64(F.lit(SEED), id).alias("h")).union(again)
+
+
 def pivotal(units: DataFrame, n: int, group: int = GROUP) -> DataFrame:
-    """kf, kr, pick (0 or 1) for `units` (source, unit), of which no source has more than n.
+    """kf, kr, pick (0 or 1) for `units` (source, unit, text_hash), of which no source has more than n.
 
-    Each level of the tree puts the units of a source in groups of about `group`, by a hash of their ids
+    Each level of the tree puts the units of a source in groups of about `group`, by their `spread`
     (so a source with a third of all rows is spread like all others), and folds each group.
     """
-    # Null ids are told apart by their place, all others by the id alone: reruns agree on any layout.
-    spread = F.xxhash64(F.lit(SEED), F.col("unit.doc_id"), F.when(F.col("unit.doc_id").isNull(), F.struct("unit.kf", "unit.kr")))
-    groups, level, decided = max(1, -(-n // group)), units.withColumn("h", spread), []
+    groups, level, decided = max(1, -(-n // group)), spread(units), []
     while True:
         empty = F.struct(F.lit(None).cast(_UNIT).alias("open"), F.array().cast(f"array<{_UNIT}>").alias("done"))
         folded = written(
@@ -124,17 +138,18 @@ def mix(docs: DataFrame, source: str = "source", weights: tuple[float, ...] = WE
     that repeat an id are separate documents; an empty table gives an empty result.
     """
     rows = written(keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-                         n_words(F.col("text").cast("string")).alias("size")), "sizes")
+                         n_words(F.col("text").cast("string")).alias("size"),
+                         F.xxhash64(F.col("text").cast("string")).alias("text_hash")), "sizes")
     sizes = written(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "source-sizes")
     goals = written(targets(sizes, weights, share, max_copies), "targets")
     most = goals.agg(F.max("n")).first()[0] or 0
     # Written tables, no hint: a few sources are broadcast by their measured size, a hot one among many is split.
     with_goal = rows.alias("d").join(goals.alias("t"), F.expr("d.source <=> t.source")).select(
-        *[F.col(f"d.{c}") for c in (*KEY, "doc_id", "source", "size")], "source_size", "target",
+        *[F.col(f"d.{c}") for c in (*KEY, "doc_id", "source", "size", "text_hash")], "source_size", "target",
         F.coalesce(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size")), F.lit(0.0)).alias("rate"))
     x = F.col("rate") - F.floor("rate")
     units = with_goal.filter((F.col("size") > 0) & (x > 0)).select(
-        "source", F.struct("kf", "kr", "doc_id", "size", x.alias("x")).alias("unit"))
+        "source", F.struct("kf", "kr", "doc_id", "size", x.alias("x")).alias("unit"), "text_hash")
     picks = pivotal(units, most, group)
     copies = (F.floor("rate") + F.coalesce("pick", F.lit(0))).cast("long")
     return with_goal.join(picks, KEY, "left").select(

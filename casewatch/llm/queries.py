@@ -112,7 +112,7 @@ WITH doc AS (
 ), common AS (
   SELECT l.source, norm FROM full_line l JOIN host h ON l.source IS NOT DISTINCT FROM h.source
   GROUP BY l.source, norm, host_docs
-  HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.1 * host_docs
+  HAVING count(DISTINCT doc_id) > 100 OR count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.05 * host_docs
 ), lost AS (
   SELECT doc_id, sum(size) AS lost, count(DISTINCT l.norm) AS n
   FROM full_line l JOIN common c ON l.norm = c.norm AND l.source IS NOT DISTINCT FROM c.source GROUP BY doc_id

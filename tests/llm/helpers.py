@@ -6,7 +6,7 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names the operators use inside.
-CLASHING = ["kf", "kr", "row", "kept", "size", "h", "name", "rank", "copies", "length", "host", "unit", "z", "fp"]
+CLASHING = ["kf", "kr", "row", "kept", "size", "h", "name", "rank", "copies", "length", "host", "unit", "z", "fp", "_metadata"]
 
 #: Nulls in any column, empty and blank texts, repeated rows and ids, a very long text.
 ODD = [

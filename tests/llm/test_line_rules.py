@@ -18,7 +18,7 @@ def test_repeated_words():
             assert repeated_words(w) == slow_repeats(w), (n, v)
 
 
-def brute(rows, share, least):
+def brute(rows, share, least, most=100):
     hosts, of_line = {}, {}
     norm = lambda x: " ".join(x.encode().split() and [w.decode() for w in x.encode().lower().split()])
     for i, r in enumerate(rows):
@@ -26,7 +26,7 @@ def brute(rows, share, least):
         for x in (r[1] or "").split("\n"):
             if x.encode().split():
                 of_line.setdefault((r[3], norm(x)), set()).add(i)
-    common = {k for k, v in of_line.items() if len(v) > least and len(v) > share * hosts[k[0]]}
+    common = {k for k, v in of_line.items() if len(v) > most or len(v) > least and len(v) > share * hosts[k[0]]}
     out = []
     for r in rows:
         t = r[1] or ""
@@ -65,6 +65,13 @@ def test_as_brute_force(spark):
     assert any(r[8] and not r[6] and not r[9] for r in got) and any(r[8] and r[9] for r in got)  # depleted ones, and others
 
 
+def test_a_limit_that_does_not_grow_with_the_host(spark):
+    """A line in 9 % of a host is common by the number of its documents alone."""
+    got = collected(quality_rules(docs(spark, made()), max_share=0.9, min_docs=5, max_docs=60))
+    assert got == brute(made(), 0.9, 5, 60) and any(r[8] for r in got)
+    assert not any(r[8] for r in collected(quality_rules(docs(spark, made()), max_share=0.9, min_docs=5, max_docs=400)))
+
+
 def test_odd_rows(spark):
     assert collected(quality_rules(docs(spark, ODD, clashing=True), max_share=0.1, min_docs=1)) == brute(ODD, 0.1, 1)
     assert quality_rules(docs(spark, [])).collect() == []

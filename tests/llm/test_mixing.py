@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from casewatch.llm.mixing import mix
+from casewatch.llm.mixing import mix, spread
 
 from .helpers import ODD, docs, words
 
@@ -62,6 +62,20 @@ def test_rounding_is_unbiased(spark):
         assert abs(sum(own) / len(own) - 0.3) < 0.06
 
 
+def test_rows_of_one_id_are_spread(spark):
+    """One id, or none, on most rows, equal texts among them: no two units share a place, and reruns agree."""
+    rng = random.Random(5)
+    rows = [(rng.choice([7, 7, None, i]), words(rng, rng.choice([1, 2, 30]), 3), "en", rng.choice(["a", "b"]), 0) for i in range(1500)]
+    got, again = (mix(docs(spark, rows).repartition(n), group=8) for n in (1, 5))
+    named = lambda df: sorted(map(str, df.select("doc_id", "source", "size", "taken").collect()))
+    assert named(got) == named(again)
+    sums = {r.source: r for r in got.groupBy("source").agg({"taken": "sum", "target": "max"}).collect()}
+    assert all(abs(r["sum(taken)"] - r["max(target)"]) <= 30 for r in sums.values())
+    unit = "named_struct('kf', 0L, 'kr', id, 'doc_id', if(id % 3 = 0, 7L, if(id % 3 = 1, null, id)), 'size', 5L, 'x', 0.5D)"
+    h = spread(spark.range(3000).selectExpr("'s' source", f"{unit} unit", "id % 2 text_hash"))
+    assert h.select("h").distinct().count() == h.count() == 3000
+
+
 def test_no_python_on_the_main_path(mixed):
     plan = mixed._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
