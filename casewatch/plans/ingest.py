@@ -10,7 +10,9 @@ Rows are written before the watermark; a crash between the two writes is
 healed on the next run, because the anti-join skips the rows already stored,
 and the years recorded before the append (`on_years`) tell the caller what
 its models still miss. Records that cannot be parsed or compared are stored
-as rejects, with their reason and file, before anything else.
+as rejects, with their reason and file, before anything else. A file with open
+rejects is read whole again: what was repaired in it is loaded although the
+watermark may have passed its week, and its rejects are closed.
 The driver only ever handles the one-row watermark, counts, and the years of a batch.
 """
 
@@ -45,14 +47,22 @@ def rows_after(raw: DataFrame, year: int, week: int) -> DataFrame:
     The extra `year >= year` conjunct is implied by the other two; it is there
     so a raw table partitioned by year skips older partitions at the scan.
     """
+    return raw.where(_is_after(year, week))
+
+
+def _is_after(year: int, week: int) -> Column:
     y, w = _int("year"), _int("week")
-    return raw.where((y >= year) & ((y > year) | ((y == year) & (w > week))))
+    return (y >= year) & ((y > year) | ((y == year) & (w > week)))
 
 
 def rows_between_years(raw: DataFrame, start_year: int = BACKFILL_YEARS[0],
                        end_year: int = BACKFILL_YEARS[1]) -> DataFrame:
     """Backfill range: weeks 1-53 of every year of the inclusive range, in one pass."""
-    return raw.where(_int("year").between(start_year, end_year) & _int("week").between(*BACKFILL_WEEKS))
+    return raw.where(_is_between(start_year, end_year))
+
+
+def _is_between(start_year: int, end_year: int) -> Column:
+    return _int("year").between(start_year, end_year) & _int("week").between(*BACKFILL_WEEKS)
 
 
 BACKFILL_WEEKS = (1, 53)
@@ -155,6 +165,7 @@ class IngestResult:
     watermark_after: tuple[int, int] | None
     touched_years: list[int] = field(default_factory=list)  # feed to refresh_models(years=...)
     rejected_rows: int = 0                                  # new rejects stored by this call
+    repaired_rejects: int = 0                               # rejects that their file no longer holds
 
 
 REJECT_COLUMNS = ["reject_id", "reason", "landed_file", "record", "rejected_at"]
@@ -166,15 +177,73 @@ def load_reason() -> Column:
     return F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed_json").otherwise(checks)
 
 
+CLOSED = "reject_id string, version long, closed_at timestamp"
+
+
+def _record() -> Column:
+    return F.coalesce(F.col(CORRUPT_COLUMN), F.to_json(F.struct(*schemas.RAW_COLUMNS)))
+
+
+def _reject_id() -> Column:
+    """A reject is its record in its file."""
+    return F.md5(F.concat_ws("|", "_landed_file", _record())).alias("reject_id")
+
+
+def _closed_path(path: str) -> str:
+    return f"{path.rstrip('/')}-closed"
+
+
+def open_rejects(spark: SparkSession, path: str) -> DataFrame | None:
+    """(reject_id, landed_file, version): stored rejects that no load has found repaired; None without a rejects table.
+
+    A reject is open if it was stored more often than its last closure says (`version`), so a record that
+    is broken again is open again, and closing twice, or after a crash, changes nothing.
+    """
+    if not table_exists(spark, path):
+        return None
+    stored = spark.read.parquet(path).groupBy("reject_id").agg(F.first("landed_file").alias("landed_file"), F.count("*").alias("version"))
+    if not table_exists(spark, _closed_path(path)):
+        return stored
+    closed = spark.read.schema(CLOSED).parquet(_closed_path(path)).groupBy("reject_id").agg(F.max("version").alias("closed"))
+    return stored.join(closed, "reject_id", "left").where(F.coalesce("closed", F.lit(0)) < F.col("version")).drop("closed")
+
+
+def close_rejects(kept: DataFrame, path: str, at: dt.datetime | None) -> int:
+    """Close the open rejects of files that this load has read (`kept`, stored rows with `load_reason`) and that no
+    longer hold them. Rejects of files that are gone, or have no record left, stay open. Returns their number."""
+    spark = kept.sparkSession
+    still = open_rejects(spark, path)
+    if still is None:
+        return 0
+    read = kept.select(F.col("_landed_file").alias("landed_file")).distinct()
+    bad = kept.where(F.col("load_reason").isNotNull()).select(_reject_id()).distinct()
+    gone = still.join(read, "landed_file", "left_semi").join(bad, "reject_id", "left_anti").select(
+        "reject_id", "version", (F.lit(at).cast("timestamp") if at else F.current_timestamp()).alias("closed_at"))
+    new = write_table(gone, scratch_path(spark, "ingest-closed"))
+    n = new.count()
+    if n:
+        new.write.mode("append").parquet(_closed_path(path))
+    return n
+
+
+def with_reopened(tagged: DataFrame, rejects_path: str) -> DataFrame:
+    """`tagged` with `_reopened`: whether the row's file has open rejects. A record repaired there may be of a week that
+    the watermark has passed, so its rows are loaded whatever their week; those stored already fall to the anti-join."""
+    still = open_rejects(tagged.sparkSession, rejects_path)
+    if still is None:
+        return tagged.withColumn("_reopened", F.lit(False))
+    files = still.select(F.col("landed_file").alias("_landed_file")).distinct().withColumn("_reopened", F.lit(True))
+    return tagged.join(files, "_landed_file", "left").select(*tagged.columns, F.coalesce("_reopened", F.lit(False)).alias("_reopened"))
+
+
 def store_rejects(bad: DataFrame, path: str, at: dt.datetime | None) -> int:
-    """Append the rejects not stored yet (a landing folder is read again every week); return their number."""
+    """Append the rejects that are not open yet (a landing folder is read again every week); return their number."""
     spark = bad.sparkSession
-    record = F.coalesce(F.col(CORRUPT_COLUMN), F.to_json(F.struct(*schemas.RAW_COLUMNS)))
-    rows = bad.select(F.md5(F.concat_ws("|", "_landed_file", record)).alias("reject_id"), F.col("load_reason").alias("reason"),
-                      F.col("_landed_file").alias("landed_file"), record.alias("record"),
+    rows = bad.select(_reject_id(), F.col("load_reason").alias("reason"), F.col("_landed_file").alias("landed_file"), _record().alias("record"),
                       (F.lit(at).cast("timestamp") if at else F.current_timestamp()).alias("rejected_at")).dropDuplicates(["reject_id"])
-    if table_exists(spark, path):
-        rows = rows.join(spark.read.parquet(path).select("reject_id"), "reject_id", "left_anti")
+    known = open_rejects(spark, path)
+    if known is not None:
+        rows = rows.join(known.select("reject_id"), "reject_id", "left_anti")
     new = write_table(rows.select(*REJECT_COLUMNS), scratch_path(spark, "ingest-rejects"))
     n = new.count()
     if n:
@@ -223,9 +292,9 @@ def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
                  backfill: tuple[int, int] | None = None) -> IngestResult:
     """Run one load from landed files into the raw table.
 
-    The landed files are parsed once: the rejects and the rows after the
-    watermark (with `backfill`, the rows of those years, weeks 1-53) are
-    written to a fresh folder under the shared checkpoint dir, and the gate,
+    The landed files are parsed once: the rejects, the rows after the
+    watermark (with `backfill`, the rows of those years, weeks 1-53) and all
+    rows of files with open rejects (`with_reopened`) are written to a fresh folder under the shared checkpoint dir, and the gate,
     the landing copy, the dedup + anti-join and the watermark advance all read
     that stored copy. The gate ("newest stamp available > watermark") is the
     same as "some row is after the watermark". The new rows are written once
@@ -239,19 +308,23 @@ def ingest_batch(spark: SparkSession, landing: str, raw_path: str, wm_path: str,
     before = current_watermark(wm, existing)
     landed = read_landed(spark, landing, multi_line=multi_line, with_position=True, malformed="column")
     tagged = tagged_rows(landed)
-    wanted = rows_between_years(tagged, *backfill) if backfill else rows_after(tagged, *before)
-    path = scratch_path(spark, "ingest-fetched")
-    kept = write_table(wanted.where(F.col("load_reason").isNull()).union(tagged.where(F.col("load_reason").isNotNull())), path)
-    fetched = kept.where(F.col("load_reason").isNull()).drop("load_reason", CORRUPT_COLUMN)
+    rejects = rejects_path or f"{raw_path.rstrip('/')}-rejects"
+    good, wanted = F.col("load_reason").isNull(), _is_between(*backfill) if backfill else _is_after(*before)
+    rows = with_reopened(tagged, rejects).where(~good | F.col("_reopened") | F.coalesce(wanted, F.lit(False))).drop("_reopened")
+    kept = write_table(rows, scratch_path(spark, "ingest-fetched"))
+    fetched = kept.where(good & wanted).drop("load_reason", CORRUPT_COLUMN)
     adv = advance_watermark(fetched, loaded_at).first()
     if adv is not None and land_base:
         day = (loaded_at or dt.datetime.now(dt.timezone.utc)).date()
         land_raw(fetched.drop(*POSITION_COLUMNS), land_base, day)
-    n_new, rejected, years = append_loadable(kept, raw_path, rejects_path, loaded_at, on_years)
-    result = IngestResult(False, before, 0, 0, None, rejected_rows=rejected)
+    n_new, rejected, years = append_loadable(kept, raw_path, rejects, loaded_at, on_years)
+    repaired = close_rejects(kept, rejects, loaded_at)  # after the append: a load that dies before tries them again
+    after = None
     if adv is not None:
         if (adv["year"], adv["week"]) > before:
             write_watermark(spark, adv, wm_path)
-        result = IngestResult(True, before, fetched.count(), n_new, max((adv["year"], adv["week"]), before), years, rejected)
-    drop_scratch(spark, "ingest-fetched", "ingest-new", "ingest-rejects")
+        after = max((adv["year"], adv["week"]), before)
+    ran = adv is not None or n_new > 0
+    result = IngestResult(ran, before, fetched.count() if adv is not None else 0, n_new, after, years, rejected, repaired)
+    drop_scratch(spark, "ingest-fetched", "ingest-new", "ingest-rejects", "ingest-closed")
     return result

@@ -123,6 +123,45 @@ def test_no_landed_record_is_lost_in_silence(flow, quick):
     flow.assert_whole()
 
 
+def open_reasons(flow):
+    path = f"{flow.root}/raw-rejects"
+    return sorted(r.reason for r in flow.spark.read.parquet(path).join(ingest.open_rejects(flow.spark, path), "reject_id", "left_semi")
+                  .dropDuplicates(["reject_id"]).collect())
+
+
+def test_a_repaired_record_is_loaded_behind_the_watermark(flow, quick, monkeypatch):
+    rows = [rec("Ohio", "2024", "3"), rec("Utah", "2024", "4"), rec("Utah", "2024", "5", m1="n/a")]
+    whole = json.dumps(rows[:2])
+    flow.land("b.json", whole[:-40])
+    flow.land("c.json", rows[2:])
+    flow.land("d.json", [rec("Ohio", "2024", "9")])
+    flow.run()
+    n_bad = len(open_reasons(flow))
+    assert {"bad_m1", "malformed_json"} == set(open_reasons(flow))
+    flow.land("b.json", whole)  # its weeks are behind the watermark now
+
+    def died(*_):
+        raise Died
+    with monkeypatch.context() as m:  # between the append and the closing
+        m.setattr(ingest, "close_rejects", died)
+        with pytest.raises(Died):
+            flow.run()
+    assert len(open_reasons(flow)) == n_bad
+    out = flow.run()
+    assert (out.ingest.appended_rows, out.ingest.repaired_rejects, out.ingest.rejected_rows) == (0, n_bad - 1, 0)
+    assert open_reasons(flow) == ["bad_m1"] and flow.raw().where("week in ('3', '4')").count() == 2
+    flow.assert_whole()
+    flow.land("c.json", [rec("Utah", "2024", "5", m1="7")])
+    out = flow.run().ingest
+    assert (out.ran, out.fetched_rows, out.appended_rows, out.touched_years, out.repaired_rejects) == (True, 0, 1, [2024], 1)
+    assert open_reasons(flow) == []
+    assert sorted(r.week for r in flow.raw().collect()) == ["1", "2", "3", "4", "5", "9"]
+    assert not flow.run().ingest.ran  # nothing is open: the files are not looked at again
+    flow.land("c.json", rows[2:])  # broken again
+    assert flow.run().ingest.rejected_rows == 1 and open_reasons(flow) == ["bad_m1"]
+    flow.assert_whole()
+
+
 def test_landing_round_trip(flow, spark):
     fetched = flatten(read_landed(spark, f"{flow.root}/landing"))
     path = land_raw(fetched, f"{flow.root}/copy", dt.date(2024, 5, 1))
