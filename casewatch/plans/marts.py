@@ -54,6 +54,59 @@ def counted_flag(flag: str = "current_week_cases_flag") -> Column:
     return F.count_if(F.col(flag) != NOT_COUNTED_FLAG)
 
 
+# ---- cells: the finest grain that all marts and measures add up from ------------
+
+CELL_KEYS = [*STAR_LOCATION, *STAR_DATE, *STAR_DISEASE]
+CELL_MEASURES = ["current_week_cases", "previous_52_weeks_max", "largest_week_cases", "outbreak_rows",
+                 "counted_flag_rows", "season_flag_rows", "fact_rows"]
+CELL_COLUMNS = [*CELL_KEYS, *CELL_MEASURES]
+
+
+def star_cells(s: DataFrame) -> DataFrame:
+    """One row per distinct (location, week, disease attributes) of the star, with measures that merge.
+
+    Sums, counts and one maximum only, so any coarser aggregate of the star is an aggregate of its
+    cells; a cell belongs to one year, so cells are stored and replaced by year.
+    """
+    return s.groupBy(*CELL_KEYS).agg(
+        F.sum("current_week_cases").alias("current_week_cases"),
+        F.sum("previous_52_weeks_max").alias("previous_52_weeks_max"),
+        F.max("current_week_cases").alias("largest_week_cases"),
+        F.sum(is_outbreak()).alias("outbreak_rows"),
+        counted_flag().alias("counted_flag_rows"),
+        F.count_if(F.col("current_week_cases_flag").isin(SEASON_FLAGS)).alias("season_flag_rows"),
+        F.count(F.lit(1)).alias("fact_rows"),
+    )
+
+
+def top5_of_cells(cells: DataFrame) -> DataFrame:
+    """`top5_aggregate` of the star the cells were made of."""
+    return cells.groupBy(*TOP5_KEYS).agg(
+        F.sum("current_week_cases").alias("total_cases"),
+        F.sum("counted_flag_rows").alias("flagged_week_count"),
+        F.sum("fact_rows").alias("weeks_reported"),
+    )
+
+
+def season_of_cells(cells: DataFrame, first_year: int = SEASON_FIRST_YEAR, last_year: int = SEASON_LAST_YEAR) -> DataFrame:
+    """`season_aggregate` of the star the cells were made of."""
+    return cells.where(F.col("year").between(first_year, last_year)).groupBy(*SEASON_KEYS).agg(
+        F.sum("current_week_cases").alias("total_cases"),
+        F.sum("previous_52_weeks_max").alias("previous_52_weeks_max"),
+        F.sum("outbreak_rows").alias("outbreak_week_count"),
+        F.sum("fact_rows").alias("total_week_observations"),
+        F.sum("season_flag_rows").alias("flagged_week_count"),
+    )
+
+
+def wow_of_cells(cells: DataFrame) -> DataFrame:
+    """`wow_preagg` of the star the cells were made of."""
+    return cells.groupBy(*WOW_KEYS).agg(
+        F.sum("counted_flag_rows").alias("flagged_current_week_count"),
+        F.sum("current_week_cases").alias("current_week_cases"),
+    )
+
+
 # ---- top diseases per state, year, quarter --------------------------------
 
 TOP5_KEYS = ["state_name", "state_abbreviation", "region_name", "census_division", "year", "season",
@@ -70,12 +123,14 @@ def top5_aggregate(s: DataFrame) -> DataFrame:
 
 
 def top_diseases(s: DataFrame, n: int = TOP_N) -> DataFrame:
-    """Dense rank by cases within (state, year, quarter); ranks <= n (ties kept).
+    """Dense rank by cases within (state, year, quarter); ranks <= n (ties kept)."""
+    return top5_ranked(top5_aggregate(s), n)
 
-    The rank filter lets Spark cut each group early (WindowGroupLimit).
-    """
+
+def top5_ranked(agg: DataFrame, n: int = TOP_N) -> DataFrame:
+    """The top-5 mart from its aggregate. The rank filter lets Spark cut each group early (WindowGroupLimit)."""
     w = Window.partitionBy("state_name", "year", "quarter").orderBy(F.col("total_cases").desc())
-    ranked = (top5_aggregate(s).withColumn("disease_rank_in_state", F.dense_rank().over(w))
+    ranked = (agg.withColumn("disease_rank_in_state", F.dense_rank().over(w))
               .where(F.col("disease_rank_in_state") <= n))
     return ranked.select(*TOP5_KEYS, _rounded_long("total_cases"), "flagged_week_count", "weeks_reported",
                          F.col("disease_rank_in_state").cast("long").alias("disease_rank_in_state"))
@@ -111,8 +166,13 @@ def season_aggregate(s: DataFrame, first_year: int = SEASON_FIRST_YEAR,
 def season_ranking(s: DataFrame, first_year: int = SEASON_FIRST_YEAR,
                    last_year: int = SEASON_LAST_YEAR) -> DataFrame:
     """Every (state, year, week, disease...) row with its RANK by cases within (state, year)."""
+    return season_ranked(season_aggregate(s, first_year, last_year))
+
+
+def season_ranked(agg: DataFrame) -> DataFrame:
+    """The season mart from its aggregate."""
     w = Window.partitionBy("state_name", "year").orderBy(F.col("total_cases").desc())
-    ranked = season_aggregate(s, first_year, last_year).withColumn("disease_rank_in_state", F.rank().over(w))
+    ranked = agg.withColumn("disease_rank_in_state", F.rank().over(w))
     return ranked.select(
         *SEASON_KEYS, _rounded_long("total_cases"), _rounded_long("previous_52_weeks_max"),
         "outbreak_week_count", "total_week_observations", "flagged_week_count",

@@ -5,9 +5,11 @@ rows of a year depend only on the raw rows of that year: a refresh stages
 the touched years (raw read with year-partition pruning) and overwrites just
 those year partitions (dynamic partition overwrite). The dimensions are
 re-derived from the stored staging (a scan of 2-4 columns). The fact is a
-projection of staging and is computed on read, never stored twice. The top-5
-and season marts rank within a state and year, so they are rebuilt for the
-touched years only. The week-over-week LAG crosses year ends (the previous
+projection of staging and is computed on read, never stored twice. The star of
+the touched years is joined and read once, for its cells (`star_cells`), which
+are stored by year; the three marts and the dashboard measures add up from
+them. The top-5 and season marts rank within a state and year, so they are
+rebuilt for the touched years only. The week-over-week LAG crosses year ends (the previous
 row may lie in any earlier year): each year is stored as far as it tells by
 itself, beside the last value of each of its series, and a reader joins the
 first row of a series in a year, and no other, with the last value before
@@ -38,7 +40,8 @@ from pyspark.sql import types as T
 from casewatch.plans.dims import dim_date, dim_diseases, dim_location
 from casewatch.plans.facts import fact_disease_cases
 from casewatch.plans.marts import (
-    SEASON_COLUMNS, TOP5_COLUMNS, season_ranking, star, top_diseases, wow_last_rows, wow_over_year_ends, wow_preagg, wow_year_rows,
+    CELL_COLUMNS, SEASON_COLUMNS, TOP5_COLUMNS, season_of_cells, season_ranked, star, star_cells, top5_of_cells, top5_ranked,
+    wow_last_rows, wow_of_cells, wow_over_year_ends, wow_year_rows,
 )
 from casewatch.plans.staging import stage_weekly
 from casewatch.reference_data import SEASON_FIRST_YEAR, SEASON_LAST_YEAR, US_HOLIDAYS
@@ -55,7 +58,9 @@ MART_WOW = "agg_week_over_week_change_by_region_week_year"
 
 #: The week-over-week mart by year, and the last row of each series and year.
 WOW_ROWS, WOW_LAST = f"marts/{MART_WOW}-by-year", "work/wow_last"
-YEAR_TABLES = ("staging", f"marts/{MART_TOP5}", f"marts/{MART_SEASON}", WOW_ROWS, WOW_LAST)
+#: The star's cells by year, which the marts and the dashboard measures add up from.
+CELLS = "work/star_cells"
+YEAR_TABLES = ("staging", CELLS, f"marts/{MART_TOP5}", f"marts/{MART_SEASON}", WOW_ROWS, WOW_LAST)
 
 MANIFEST = "table string, part string, version string, schema string, params string"
 #: (table, partition folder or "") -> (version, schema of the table, its parameters)
@@ -171,12 +176,20 @@ def _in_years(years: Sequence[int] | None) -> "F.Column":
     return F.lit(True) if years is None else F.col("year").try_cast("long").isin([int(y) for y in years])
 
 
+def _holiday_mark(holidays: DataFrame) -> str:
+    """What tells one list of holidays from another, whatever its order."""
+    rows = holidays.select(F.xxhash64(*sorted(holidays.columns)).cast("decimal(38,0)").alias("h"))
+    n, total = rows.agg(F.count(F.lit(1)), F.sum("h")).first()
+    return json.dumps({"holidays": [n, str(total)]})
+
+
 def refresh_models(raw: DataFrame, store: str, years: Sequence[int] | None = None,
                    holidays: DataFrame | None = None, season_years: tuple[int, int] | None = None) -> dict[str, DataFrame]:
     """Rebuild the stored models under `store` for `years` (None, or a store not built yet: all years).
 
     `season_years` bounds the season mart (default: the source's 2022-2026); where it differs from the
-    stored mart's, that mart is rebuilt for all years. If another refresh publishes meanwhile, this one begins
+    stored mart's, that mart is rebuilt for all years, from the stored cells; other `holidays` than the store's
+    rebuild the cells and marts of all years. If another refresh publishes meanwhile, this one begins
     again from what it published. Returns DataFrames reading the stored models (the fact as a projection of the
     stored staging).
     """
@@ -206,14 +219,19 @@ def _refresh(raw: DataFrame, store: str, years: Sequence[int] | None, holidays:
     dis = new.whole(dim_diseases(stg), "dims/dim_diseases")
     bounds = {"dim_location": loc.count(), "dim_date": date.count(), "dim_diseases": dis.count()}
 
-    stars = star(fact_disease_cases(stg), loc, dis, date, bounds)
-    touched = stars.where(_in_years(scope))
-    new.years(top_diseases(touched), f"marts/{MART_TOP5}", touches)
+    # Cells carry the holidays; with other holidays than the stored ones, all years are made anew.
+    made_with = _holiday_mark(holidays)
+    if previous is not None and not {par for (t, _), (_, _, par) in previous.items() if t == CELLS} <= {made_with}:
+        scope = touches = None
+    fact = fact_disease_cases(stg.where(_in_years(scope)))
+    cells = new.years(star_cells(star(fact, loc, dis, date, bounds).where(_in_years(scope))), CELLS, touches, made_with)
+    now = cells.where(_in_years(scope))
+    new.years(top5_ranked(top5_of_cells(now)), f"marts/{MART_TOP5}", touches)
     season, params = f"marts/{MART_SEASON}", json.dumps({"season_years": list(season_years)})
     same = previous is not None and {par for (t, _), (_, _, par) in previous.items() if t == season} <= {params}
-    new.years(season_ranking(touched if same else stars, *season_years), season, touches if same else None, params)
+    new.years(season_ranked(season_of_cells(now if same else cells, *season_years)), season, touches if same else None, params)
 
-    pre = write_table(wow_preagg(touched), scratch_path(spark, f"wow-preagg-{new.version}"))
+    pre = write_table(wow_of_cells(now), scratch_path(spark, f"wow-preagg-{new.version}"))
     new.years(wow_year_rows(pre), WOW_ROWS, touches)
     new.years(wow_last_rows(pre), WOW_LAST, touches)
     drop_scratch(spark, f"wow-preagg-{new.version}")
@@ -244,6 +262,7 @@ def open_models(spark, store: str) -> dict[str, DataFrame]:
         "dim_date": whole("dims/dim_date"),
         "dim_diseases": whole("dims/dim_diseases"),
         "fact_disease_cases": fact_disease_cases(stg),
+        "star_cells": _read_years(spark, root, manifest, CELLS, CELL_COLUMNS),
         MART_TOP5: _read_years(spark, root, manifest, f"marts/{MART_TOP5}", TOP5_COLUMNS),
         MART_SEASON: _read_years(spark, root, manifest, f"marts/{MART_SEASON}", SEASON_COLUMNS),
         MART_WOW: wow_over_year_ends(by_year(WOW_ROWS), by_year(WOW_LAST)),

@@ -19,7 +19,7 @@ from casewatch.plans import dims, ingest, kpis, marts, quality, staging
 from casewatch.plans.dims import dim_date, dim_diseases, dim_location
 from casewatch.plans.facts import fact_disease_cases
 from casewatch.plans.marts import star
-from casewatch.plans.refresh import MART_WOW, open_models, read_manifest, refresh_models
+from casewatch.plans.refresh import MART_SEASON, MART_TOP5, MART_WOW, open_models, read_manifest, refresh_models
 from casewatch.reference_data import (
     ACCEPTED_FLAGS, DISEASE_CATEGORY_RULES, DISEASE_LIST, DISEASE_DEMOGRAPHIC_RULES, DISEASE_DETECTION_RULES,
     DISEASE_GROUP_PREFIX_RULES, DISEASE_SEVERITY_RULES, DISEASE_STATUS_RULES, DISEASE_SUBTYPE_RULES,
@@ -374,14 +374,43 @@ def q_ingest_batch(spark, sf):
 REGISTRY["ingest_pipeline"] = REGISTRY["ingest_batch"]
 
 
+_REFRESHED: dict[str, dict] = {}
+
+
+def late_refresh(spark, sf):
+    """A store built without a third of the weeks of a middle year, then refreshed for that year."""
+    key = input_key(spark, sf)
+    with _STORE_LOCK:
+        if key not in _REFRESHED:
+            rows, store = raw(spark, sf), scratch_path(spark, "refresh-late")
+            late = (F.col("year") == "2024") & (F.col("week").cast("long") % 3 == 0)
+            refresh_models(rows.where(~late), store)
+            _REFRESHED[key] = refresh_models(rows, store, years=[2024])
+        return _REFRESHED[key]
+
+
 @query("refresh_wow")
 def q_refresh_wow(spark, sf):
-    """A store built without a third of the weeks of a middle year, then refreshed for that year:
-    the mart must equal a full build, with previous weeks of later years taken anew."""
-    rows, store = raw(spark, sf), scratch_path(spark, "refresh-wow")
-    late = (F.col("year") == "2024") & (F.col("week").cast("long") % 3 == 0)
-    refresh_models(rows.where(~late), store)
-    return refresh_models(rows, store, years=[2024])[MART_WOW]
+    """The refreshed mart must equal a full build, with previous weeks of later years taken anew."""
+    return late_refresh(spark, sf)[MART_WOW]
+
+
+@query("refresh_top5")
+def q_refresh_top5(spark, sf):
+    """The top-5 mart added up from the stored cells of the touched year."""
+    return late_refresh(spark, sf)[MART_TOP5]
+
+
+@query("refresh_season")
+def q_refresh_season(spark, sf):
+    """The season mart added up from the stored cells of the touched year."""
+    return late_refresh(spark, sf)[MART_SEASON]
+
+
+@query("refresh_cells")
+def q_refresh_cells(spark, sf):
+    """The stored cells after a refresh of one year."""
+    return late_refresh(spark, sf)["star_cells"]
 
 
 @query("seed_disease_list")
@@ -527,3 +556,29 @@ def q_kpi_per_100k(spark, sf):
 @query("kpi_pop")
 def q_kpi_pop(spark, sf):
     return kpis.period_over_period(star_of(spark, sf), ["region_name", "disease_group"], ["year", "quarter"])
+
+
+# ---- the same measures from the stored cells, without the star -------------------
+
+def cells_of(spark, sf):
+    return stored_models(spark, sf)["models"]["star_cells"]
+
+
+@query("kpi_overview_cells")
+def q_kpi_overview_cells(spark, sf):
+    return kpis.overview_of_cells(cells_of(spark, sf))
+
+
+@query("kpi_category_cells")
+def q_kpi_category_cells(spark, sf):
+    return kpis.share_by(cells_of(spark, sf), "disease_category")
+
+
+@query("kpi_yoy_cells")
+def q_kpi_yoy_cells(spark, sf):
+    return kpis.year_over_year(cells_of(spark, sf))
+
+
+@query("kpi_volatility_cells")
+def q_kpi_volatility_cells(spark, sf):
+    return kpis.volatility(cells_of(spark, sf))

@@ -543,4 +543,16 @@ SELECTS.update({
 
 # The surveyed name of the whole ingest; a refreshed mart equals the mart of a full build.
 SELECTS["ingest_pipeline"] = SELECTS["ingest_batch"]
-SELECTS["refresh_wow"] = SELECTS["mart_wow_region"]
+SELECTS.update({
+    "refresh_wow": SELECTS["mart_wow_region"],
+    "refresh_top5": SELECTS["mart_top5_state_quarter"],
+    "refresh_season": SELECTS["mart_top_disease_season"],
+    "refresh_cells": ((), f"""SELECT state_name, state_abbreviation, region_name, census_division, "year", week, mmwr_period, week_label,
+        season, quarter, is_holiday_week, holiday_name, disease_name_short, disease_status, disease_group, disease_category,
+        severity_or_stage, SUM(current_week_cases) AS current_week_cases, SUM(previous_52_weeks_max) AS previous_52_weeks_max,
+        MAX(current_week_cases) AS largest_week_cases, CAST(SUM({STAR_WEEKLY_OUTBREAK}) AS BIGINT) AS outbreak_rows,
+        COUNT(*) FILTER (WHERE current_week_cases_flag <> '-') AS counted_flag_rows,
+        COUNT(*) FILTER (WHERE current_week_cases_flag IN ('U', 'N', 'NN', 'NP', 'NC')) AS season_flag_rows, COUNT(*) AS fact_rows
+      FROM star GROUP BY ALL"""),
+    **{f"{k}_cells": SELECTS[k] for k in ("kpi_overview", "kpi_category", "kpi_yoy", "kpi_volatility")},
+})

@@ -153,3 +153,36 @@ def test_a_claim_of_a_run_that_died_does_not_stop_the_next(spark, monkeypatch):
     monkeypatch.setattr(refresh, "CLAIM_SECONDS", 0.01)
     assert refresh_models(ohio(spark, *rows), store)[MART_TOP5].count() == 1
     assert refresh_models(ohio(spark, *rows), store, years=[2024])[MART_TOP5].count() == 1
+
+
+def test_marts_add_up_from_cells(spark, sf_small):
+    """The aggregates of all three marts and the measures are the same from cells as from the star."""
+    from casewatch.plans import kpis, marts
+
+    m = build_models(raw_from_lineitem(spark, sf_small))
+    s = marts.star(m["fact_disease_cases"], m["dim_location"], m["dim_diseases"], m["dim_date"])
+    cells = marts.star_cells(s)
+    for of_cells, of_star in ((marts.top5_of_cells, marts.top5_aggregate), (marts.season_of_cells, marts.season_aggregate),
+                              (marts.wow_of_cells, marts.wow_preagg), (kpis.overview_of_cells, kpis.kpi_overview),
+                              (kpis.volatility, kpis.volatility), (kpis.year_over_year, kpis.year_over_year)):
+        a, b = of_cells(cells), of_star(s)
+        assert a.schema.simpleString() == b.schema.simpleString() and same(a, b), of_cells
+    nothing = cells.limit(0)
+    assert kpis.overview_of_cells(nothing).first() == kpis.kpi_overview(s.limit(0)).first()
+
+
+def test_other_holidays_rebuild_all_years(spark, sf_small):
+    """Cells and the week-over-week mart carry holidays, so years the load has not touched change too."""
+    from casewatch.sources.seeds import us_holidays
+
+    raw, store = raw_from_lineitem(spark, sf_small), scratch_path(spark, "test-holidays")
+    refresh_models(raw, store)
+    other = us_holidays(spark).withColumn("holiday_name", F.concat("holiday_name", F.lit(" (observed)")))
+    got = refresh_models(raw, store, years=[2024], holidays=other)
+    want = build_models(raw, other)
+    assert same(got[MART_WOW].select(*want[MART_WOW].columns), want[MART_WOW])
+    assert got["star_cells"].where("is_holiday_week AND NOT holiday_name LIKE '%observed)'").count() == 0
+    versions = {v for (t, _), (v, _, _) in read_manifest(spark, store).items() if t == refresh.CELLS}
+    assert len(versions) == 1
+    refresh_models(raw, store, years=[2025], holidays=other)  # the same list: one year
+    assert len({v for (t, _), (v, _, _) in read_manifest(spark, store).items() if t == refresh.CELLS}) == 2
