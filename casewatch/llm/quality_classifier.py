@@ -134,10 +134,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     # The sample as numbers, at most max_labelled rows of 11 + max_terms: bounded by the parameters.
     data = rows.mapInArrow(indexed, "doc_id long, good int, shape array<double>, found array<int>").toArrow().sort_by(
         [("doc_id", "ascending"), ("good", "ascending")])
-    found = data["found"].to_pylist()
-    lengths = np.array([len(x) for x in found])
-    return _fit(data["good"].to_numpy().astype(float), np.array(data["shape"].to_pylist()),
-                np.repeat(np.arange(len(found)), lengths), np.array([i for x in found for i in x], np.int64), vocabulary)
+    found, dense = data["found"].combine_chunks(), data["shape"].combine_chunks()
+    lengths = found.value_lengths().to_numpy()
+    return _fit(data["good"].to_numpy().astype(float), dense.flatten().to_numpy().reshape(len(dense), -1),
+                np.repeat(np.arange(len(found)), lengths), found.flatten().to_numpy().astype(np.int64), vocabulary)
 
 
 def _scores(model: Model):
@@ -152,15 +152,17 @@ def _scores(model: Model):
 def _strength(sites: DataFrame, mean: float | Column, spread: float) -> float:
     """How many documents the parent's rate is worth to a site: moments of a beta-binomial.
 
-    `sites` has n and s (documents, and sum of their chances); the more the sites differ from
+    `sites` has n and s (documents, and sum of their chances in millionths); the more the sites differ from
     `mean` beyond what chance explains, the less their parent counts. 1 to 1e6.
     """
-    dev = F.col("n") * (F.col("s") / F.col("n") - mean) ** 2
-    r = sites.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.sum(dev).alias("s")).first()
+    n, whole = F.col("n").cast("decimal(19,0)"), "decimal(38,0)"
+    dev = F.col("n") * (F.col("s") / 1e6 / F.col("n") - mean) ** 2
+    r = sites.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum((n * n).cast(whole)).alias("nn"),
+                  F.sum(F.round(1e6 * dev).cast(whole)).alias("s")).first()
     if not r["n"] or r["k"] < 2 or spread <= 0:
         return 1e6
-    room = spread * (r["n"] - r["nn"] / r["n"] - (r["k"] - 1))
-    rho = (r["s"] - spread * (r["k"] - 1)) / room if room > 0 else 0.0
+    room = spread * (r["n"] - float(r["nn"]) / r["n"] - (r["k"] - 1))
+    rho = (float(r["s"]) / 1e6 - spread * (r["k"] - 1)) / room if room > 0 else 0.0
     return min(max(1 / rho - 1, 1.0), 1e6) if rho > 1e-6 else 1e6
 
 
@@ -180,23 +182,22 @@ def quality_posteriors(docs: DataFrame, labels: DataFrame, host: str = "source",
     model = fit(docs, labels, max_labelled)
     scored = written(rows.mapInArrow(
         _scores(model or Model()), "kf long, kr long, doc_id long, host string, path string, z double"), "scores")
-    # Sums of whole millionths don't depend on the order of adding, so reruns agree.
+    # Chances are added as whole millionths and divided last: sums don't depend on the order of adding, so reruns agree.
     scored = scored.withColumn("u", F.round(1e6 / (1 + F.exp(-F.col("z")))).cast("long"))
-    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), (F.sum("u") / 1e6).alias("s")), "paths")
+    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("u").alias("s")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     n, s = hosts.agg(F.sum("n"), F.sum("s")).first()
-    mean = min(max(s / n, 1e-6), 1 - 1e-6) if n else 0.5
+    mean = min(max(s / 1e6 / n, 1e-6), 1 - 1e-6) if n else 0.5
     of_host = _strength(hosts, mean, mean * (1 - mean))
-    theta = (F.col("host_s") + of_host * mean) / (F.col("host_n") + of_host)
+    theta = (F.col("host_s") / 1e6 + of_host * mean) / (F.col("host_n") + of_host)
     sites = written(paths.alias("p").join(hosts.alias("h"), F.expr("p.host <=> h.host")).select(
         "p.host", "p.path", "p.n", "p.s", F.col("h.n").alias("host_n"), F.col("h.s").alias("host_s")), "sites")
     of_path = _strength(sites, theta, mean * (1 - mean))
 
     # Written tables and no hint: few sites are broadcast by their measured size, many are joined and a hot one split.
     at = scored.alias("d").join(sites.alias("t"), F.expr("d.host <=> t.host and d.path <=> t.path"))
-    own = F.col("u") / 1e6
-    host_rate = (F.col("host_s") - own + of_host * mean) / (F.col("host_n") - 1 + of_host)
-    path_rate = (F.col("s") - own + of_path * F.col("host_rate")) / (F.col("n") - 1 + of_path)
+    host_rate = ((F.col("host_s") - F.col("u")) / 1e6 + of_host * mean) / (F.col("host_n") - 1 + of_host)
+    path_rate = ((F.col("s") - F.col("u")) / 1e6 + of_path * F.col("host_rate")) / (F.col("n") - 1 + of_path)
     prior = model.prior if model else 0.5
     rated = at.select(*[F.col(f"d.{c}") for c in (*KEY, "doc_id", "host", "path", "z", "u")], "n", "s", "host_n", "host_s") \
         .withColumn("host_rate", F.least(F.greatest(host_rate, F.lit(1e-6)), F.lit(1 - 1e-6))) \

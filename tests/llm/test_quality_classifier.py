@@ -1,4 +1,7 @@
+import math
 import random
+from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -75,6 +78,52 @@ def test_sparse_sites_are_shrunk_and_dense_ones_are_not(spark):
     assert got[2000].posterior < got[2001].posterior
 
 
+def strength(sites, parent, spread):
+    """Moments of a beta-binomial, site by site: (documents, sum of chances), and the parent's rate of each."""
+    n, k = sum(d for d, _ in sites), len(sites)
+    if k < 2:
+        return 1e6
+    between = sum(d * (float(s) / d - p) ** 2 for (d, s), p in zip(sites, parent, strict=True))
+    room = spread * (n - sum(d * d for d, _ in sites) / n - (k - 1))
+    rho = (between - spread * (k - 1)) / room if room > 0 else 0
+    return min(max(1 / rho - 1, 1), 1e6) if rho > 1e-6 else 1e6
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_posteriors_by_brute_force(spark, seed):
+    """Every rate and posterior from loops over all rows, sums as fractions; sites without a name, repeated rows and ids."""
+    rng = random.Random(seed)
+    rows, kinds = made(400, seed)
+    rows = [(i, t, lang if rng.random() < 0.9 else None, rng.choices([h, "hot", None, f"one{i}"], [4, 4, 1, 1])[0], n) for i, t, lang, h, n in rows]
+    rows += rows[:20] + [(7, None, None, None, 0)]
+    lab = labels(spark, {i: k for i, k in kinds.items() if i % 3})
+    model = fit(docs(spark, rows), lab)
+    z = [model.log_odds(t or "") for _, t, *_ in rows]
+    u = [Fraction(int(1e6 / (1 + math.exp(-x)) + 0.5), 10**6) for x in z]
+    host, path = defaultdict(list), defaultdict(list)
+    for (_, _, lang, src, _), x in zip(rows, u, strict=True):
+        host[src].append(x)
+        path[src, lang].append(x)
+    mean = float(sum(u) / len(u))
+    spread = mean * (1 - mean)
+    size = {h: (len(x), sum(x)) for h, x in host.items()}
+    a = strength(list(size.values()), [mean] * len(size), spread)
+    theta = {h: (float(s) + a * mean) / (n + a) for h, (n, s) in size.items()}
+    b = strength([(len(x), sum(x)) for x in path.values()], [theta[h] for h, _ in path], spread)
+    want = []
+    for (i, _, lang, src, _), x, own in zip(rows, z, u, strict=True):
+        n, s = size[src]
+        of_host = (float(s - own) + a * mean) / (n - 1 + a)
+        p = path[src, lang]
+        of_path = (float(sum(p) - own) + b * of_host) / (len(p) - 1 + b)
+        odds = x - math.log(model.prior / (1 - model.prior)) + math.log(of_path / (1 - of_path))
+        want.append((i, round(of_host, 6), round(of_path, 6), 1 / (1 + math.exp(-odds))))
+    got = sorted((r.doc_id, round(r.host_rate, 6), round(r.path_rate, 6), r.posterior, r.kept) for r in
+                 quality_posteriors(docs(spark, rows), lab).collect())
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[0] == w[0] and g[1:4] == pytest.approx(w[1:], abs=2e-5) and g[4] == (g[3] >= 0.5)
+
+
 def test_without_labels_everything_stays(spark):
     none = spark.createDataFrame([], LABELS)
     got = quality_posteriors(docs(spark, ODD, clashing=True), none).collect()
