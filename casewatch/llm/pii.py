@@ -71,10 +71,13 @@ _SIGNS = {"\u2024": ".", "\u3002": ".", "\uff61": ".", "\u2010": "-", "\u2011":
 
 def _homoglyphs() -> dict[str, str]:
     """One ASCII character for each look-alike: the lists above, and all characters whose
-    compatibility form is one ASCII letter, digit or sign (full-width, mathematical, circled), and the decimal digits of all scripts."""
+    compatibility form is one ASCII letter, digit or sign (full-width, mathematical, circled), the decimal digits of all scripts,
+    and all blanks."""
     out = dict(_LOOKALIKES) | _SIGNS
     for c in map(chr, range(0x80, 0x1FC00)):
-        if len(n := unicodedata.normalize("NFKC", c)) == 1 and n.isascii() and (n.isalnum() or n in "@.+-_"):
+        if unicodedata.category(c) == "Zs":
+            out.setdefault(c, " ")
+        elif len(n := unicodedata.normalize("NFKC", c)) == 1 and n.isascii() and (n.isalnum() or n in "@.+-_"):
             out.setdefault(c, n)
         elif (d := unicodedata.decimal(c, None)) is not None:
             out.setdefault(c, str(d))
@@ -89,7 +92,7 @@ _PLAIN = HOMOGLYPHS | _INVISIBLE
 #: The words of the digits.
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_SPELLED = re.compile(rf"(?ai)(?:(?<![a-z0-9])plus[ \t,-]{{1,3}})?(?<![a-z0-9]){_WORD}(?:[ \t]{{0,3}}[,.;-]?[ \t]{{0,3}}{_WORD}|[ \t-]?[0-9](?=[ \t,-])){{3,}}(?![a-z])")
+_SPELLED = re.compile(rf"(?ai)(?:(?<![a-z0-9])plus[ \t,-]++)?(?<![a-z0-9]){_WORD}(?:[ \t]*+[,.;-]?[ \t]*+{_WORD}|[ \t-]?[0-9](?=[ \t,-])){{3,}}(?![a-z])")
 _ONE_WORD, _TWO_WORDS = re.compile(rf"(?ai){_WORD}"), re.compile(rf"{_WORD}[ \t,.;-]*{_WORD}")
 # Digit words, digits and dots beside each other, over signs and line ends.
 _GAP = r"[ \t\r\n]*+(?:[,.;()\[\]-][ \t\r\n]*+)*+"
@@ -97,8 +100,9 @@ _RUN = re.compile(rf"(?ai)(?<![a-z0-9])(?:plus(?![a-z]){_GAP})?(?:{_WORD}|[0-9]+
 _IN_RUN = re.compile(rf"(?ai)(plus)|({_WORD})|(dot|\.)|([0-9]+)|[^a-z0-9]")
 _NEAR_WORD = re.compile(rf"{_WORD}{_GAP}(?:dot(?![a-z])|{_WORD}|[0-9])|[0-9]{_GAP}(?:dot{_GAP})?{_WORD}")
 
-_AT = r"(?:[ \t]{0,3}[\[({<][ \t]{0,3}(?:at|@)[ \t]{0,3}[\])}>][ \t]{0,3}|[ \t]{1,3}at[ \t]{1,3})"
-_DOT = r"(?:[ \t]{0,3}[\[({<][ \t]{0,3}(?:dot|punkt|\.)[ \t]{0,3}[\])}>][ \t]{0,3}|[ \t]{1,3}dot[ \t]{1,3})"
+# Blanks are taken from their first one on, so a long run of them is read once.
+_AT = r"(?<![ \t])(?:[ \t]*+[\[({<][ \t]*+(?:at|@)[ \t]*+[\])}>][ \t]*+|[ \t]++at[ \t]++)"
+_DOT = r"(?<![ \t])(?:[ \t]*+[\[({<][ \t]*+(?:dot|punkt|\.)[ \t]*+[\])}>][ \t]*+|[ \t]++dot[ \t]++)"
 # A disguised address: at is disguised or a sign, and so is each dot, one of them at least. Without
 # an at, the words before it are passed over as a whole.
 _DISGUISED = re.compile(
@@ -178,8 +182,12 @@ def _undisguised(text: str) -> list[tuple[int, int, str]]:
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and the spans that only the normalised text shows, both in source code points."""
-    base, more, first = identifiers(text), [], []
+    """Base spans, and the spans that only the normalised text shows, both in source code points.
+
+    Of what the normalised text shows, a fuller span stands beside the base span it holds: an address, or
+    digits that look-alike or invisible characters cut short. (Digit words after a whole number don't make it fuller.)
+    """
+    base, more, first, fuller = identifiers(text), [], [], set()
     plain = text
     if edits := _replaced(text):
         first = [Mapped(text, edits)]
@@ -188,9 +196,9 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
     readings = [_spelled(plain)]
     readings += [r for r in (_runs(plain, True), _runs(plain, False)) if r and r not in readings]
     for reading in readings:
-        layers, now = list(first), plain
+        layers, now, spelled = list(first), plain, None
         if reading:
-            layers.append(Mapped(now, reading))
+            layers.append(spelled := Mapped(now, reading))
             now = layers[-1].text
         if edits := _undisguised(now):
             layers.append(Mapped(now, edits))
@@ -198,13 +206,16 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
         if not layers:
             continue
         for s in identifiers(now):
-            start, end, touched = s.start, s.end, False
+            start, end, touched, words = s.start, s.end, False, False
             for layer in reversed(layers):
-                touched = touched or layer.edited(start, end)
+                here = layer.edited(start, end)
+                touched, words = touched or here, words or here and layer is spelled
                 start, end = layer.source_span(start, end)
             if touched:
-                more.append(Span(start, s.kind, end))
-    return base, added(base, more)
+                more.append(found := Span(start, s.kind, end))
+                if s.kind == EMAIL or not words:
+                    fuller.add(found)
+    return base, added(base, more, frozenset(fuller))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +249,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, mask: str = "[{}]") -> DataFrame:
-    """kf, kr, doc_id, text with every found span replaced by its kind; of overlapping spans the first."""
+    """kf, kr, doc_id, text with every found span replaced by its kind; overlapping spans become one, of the first one's kind."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -248,7 +259,9 @@ def masked(docs: DataFrame, mask: str = "[{}]") -> DataFrame:
                 for s in sorted(base + more):
                     if s.start >= at:
                         edits.append((s.start, s.end, mask.format(KINDS[s.kind])))
-                        at = s.end
+                    elif s.end > at:
+                        edits[-1] = (edits[-1][0], s.end, edits[-1][2])
+                    at = max(at, s.end)
                 out.append(None if text is None else Mapped(text, edits).text)
             yield pa.RecordBatch.from_arrays([b.column("kf"), b.column("kr"), b.column("doc_id"), pa.array(out, pa.string())],
                                              names=["kf", "kr", "doc_id", "text"])

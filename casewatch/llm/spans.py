@@ -22,17 +22,29 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def added(base: list[Span], more: list[Span]) -> list[Span]:
-    """The spans of `more`, in order, that overlap no span of their kind in `base` or taken before."""
+def added(base: list[Span], more: list[Span], fuller: frozenset[Span] = frozenset()) -> list[Span]:
+    """The spans of `more`, in order, that overlap no span of their kind in `base` or taken before.
+
+    A span that is also in `fuller` may overlap base spans of its kind if it holds each of them whole and more.
+    """
+    own: dict[int, list[tuple[int, int]]] = {}
     taken: dict[int, list[tuple[int, int]]] = {}
     for s in sorted(base):
-        taken.setdefault(s.kind, []).append((s.start, s.end))
+        own.setdefault(s.kind, []).append((s.start, s.end))
+
+    def over(spans: list[tuple[int, int]], s: Span) -> list[tuple[int, int]]:
+        i = bisect.bisect_left(spans, (s.start, s.start))
+        i -= i > 0 and spans[i - 1][1] > s.start
+        j = i
+        while j < len(spans) and spans[j][0] < s.end:
+            j += 1
+        return spans[i:j]
     out = []
     for s in sorted(set(more)):
-        own = taken.setdefault(s.kind, [])
-        i = bisect.bisect_left(own, (s.start, s.end))
-        if (i == len(own) or own[i][0] >= s.end) and (i == 0 or own[i - 1][1] <= s.start):
-            own.insert(i, (s.start, s.end))
+        before = over(own.get(s.kind, []), s)
+        holds = s in fuller and all(s.start <= a and b <= s.end and (a, b) != (s.start, s.end) for a, b in before)
+        if (holds or not before) and not over(mine := taken.setdefault(s.kind, []), s):
+            bisect.insort(mine, (s.start, s.end))
             out.append(s)
     return out
 

@@ -109,6 +109,38 @@ def test_added_spans_do_not_overlap():
     assert added([Span(5, 0, 9)], [Span(0, 0, 6), Span(0, 1, 6), Span(9, 0, 12), Span(10, 0, 11)]) == [Span(0, 1, 6), Span(9, 0, 12)]
 
 
+@pytest.mark.parametrize(("text", "base_source", "source"), [
+    ("mail jo\u200bhn@example.com now", "hn@example.com", "jo\u200bhn@example.com"),
+    ("jane dot doe@example.com", "doe@example.com", "jane dot doe@example.com"),
+    ("x@exam.pl\u0435.org", "x@exam.pl", "x@exam.pl\u0435.org"),
+    ("+1 415 555 019\u200b9 12", "+1 415 555 019", "+1 415 555 019\u200b9 12"),
+])
+def test_a_fuller_span_stands_beside_the_base_one(text, base_source, source):
+    base, more = scan(text)
+    assert base == plain(text) and [text[s.start:s.end] for s in base] == [base_source]
+    assert [text[s.start:s.end] for s in more] == [source]
+
+
+@pytest.mark.parametrize("text", ["call +14155550199 one more time", "call +1 415 555 0199 one two three four five"])
+def test_words_after_a_number_do_not_make_it_fuller(text):
+    base, more = scan(text)
+    assert base == plain(text) and len(base) == 1 and more == []
+
+
+@pytest.mark.parametrize(("kind", "source"), [
+    ("email", "john     (at)     example     (dot)     com"), ("email", "jo" + " " * 40 + "at" + " " * 40 + "mail" + "\t" * 9 + "dot" + " " * 9 + "org"),
+    ("card", "\uff14\uff11\uff11\uff11" + "\u3000\uff11\uff11\uff11\uff11" * 3), ("card", "4111\u20021111\u20051111\u205f1111"),
+    ("phone", "plus     one" + "     five" * 10), ("ip", "192     dot     168  dot     1     dot     20")])
+def test_blanks_of_any_kind_and_number(kind, source):
+    base, more = scan(f"é {source}, ok")
+    assert base == [] and [(KINDS[s.kind], f"é {source}, ok"[s.start:s.end]) for s in more] == [(kind, source)]
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 300_000 + "at b dot c", "a at" + " " * 300_000 + "b dot c.", "one" + " " * 300_000 + "two", "( " * 100_000 + " dot "])
+def test_long_runs_of_blanks_end(text):
+    assert len(scan(text)[1]) <= 1
+
+
 def test_table(spark):
     rows = [*ODD, (20, "mail a@b.co, 1.2.3.4 and c [at] d [dot] org", "en", "s", 1)]
     got = find_pii(docs(spark, rows, clashing=True)).collect()
@@ -122,4 +154,5 @@ def test_table(spark):
 
 def test_mask(spark):
     rows = [(1, "to a@b.co or c [at] d [dot] org", "en", "s", 1), (2, None, "en", "s", 1)]
-    assert {r.doc_id: r.text for r in masked(docs(spark, rows)).collect()} == {1: "to [email] or [email]", 2: None}
+    rows += [(3, "jo\u200bhn@example.com, x@exam.pl\u0435.org.", "en", "s", 1)]
+    assert {r.doc_id: r.text for r in masked(docs(spark, rows)).collect()} == {1: "to [email] or [email]", 2: None, 3: "[email], [email]."}
