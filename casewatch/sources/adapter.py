@@ -21,6 +21,7 @@ from casewatch.reference_data import DISEASE_LIST, STATE_DIVISION
 from casewatch.schemas import RAW, RAW_COLUMNS
 from casewatch.session import application_id, checkpoint_root, default_parallelism
 from casewatch.sources.files import exists, fingerprint
+from casewatch.sources.tables import open_writers
 
 # 50 states + DC in alphabetical order, title case, then four jurisdictions
 # that have no division and must be dropped by staging.
@@ -77,19 +78,23 @@ def raw_records(li: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of one task of a dealt scan.
+ROWS_PER_TASK = 1_000_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the session has cores.
+    """Hash-spread a scan whose rows lie in too few of its splits.
 
-    The shared test tables are single-row-group files, so their scan is one
-    task. A table stored as many files already has enough splits and is left
-    alone (no shuffle).
+    The shared test tables are single-row-group files: however many splits
+    their bytes make, all rows are read by one task. The rows of each split are
+    counted (a count reads no column) and the scan is dealt to as many tasks as
+    its rows need, one per core at least, when one split has more than twice a
+    core's share. Rows that lie evenly already are left alone (no shuffle).
     """
     cores = default_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): spread unconditionally
-        splits = 0
-    return df.repartition(cores, key) if splits < cores else df
+    split = df.groupBy(F.spark_partition_id().alias("split")).count()
+    rows, largest = split.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    return df.repartition(max(cores, -(-rows // ROWS_PER_TASK)), key) if largest * cores > 2 * rows else df
 
 
 # Bump when the derivation changes, so stored copies are rebuilt.
@@ -124,7 +129,8 @@ def raw_from_lineitem(spark: SparkSession, sf_dir: str, keep_shipdate: bool = Fa
     with _WRITE_LOCK:
         if not exists(spark, f"{path}/_SUCCESS"):
             li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
-            raw_records(li).write.mode("overwrite").partitionBy("year").parquet(path)
+            with open_writers(spark):
+                raw_records(li).write.mode("overwrite").partitionBy("year").parquet(path)
     cols = RAW_COLUMNS + (["l_shipdate"] if keep_shipdate else [])
     schema = T.StructType(list(RAW.fields) + [T.StructField("l_shipdate", T.TimestampNTZType(), True)])
     return spark.read.schema(schema).parquet(path).select(*cols)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +49,25 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 16) -> Iterator[None]:
+    """Partitioned writes inside keep a file open per partition value instead of sorting each task's rows by it.
+
+    A task that meets more than `most` values sorts what is left of its rows, as without this. Meant for few
+    values (years): every open file holds its own buffers.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def append_raw(df: DataFrame, path: str, files_per_week: int = 4) -> None:
     """Insert-only append to the raw table, partitioned by year and week.
 
