@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from casewatch.operators import dedup_first
 from casewatch.sources import adapter, tables
 
 from .test_plans import plan
@@ -38,3 +39,18 @@ def test_open_writers_write_every_value_and_restore_the_setting(spark, tmp_path)
         assert spark.conf.get(name, None) == before
         back = spark.read.parquet(str(tmp_path / str(most)))
         assert sorted((r.id, str(r.year)) for r in back.collect()) == [(i, str(i % 5)) for i in range(100)]
+
+
+def test_dedup_deals_the_rows_before_it_sorts_them(spark):
+    rows = [(None if i % 3 else "a", i % 2, (i * 7919) % 1000) for i in range(600)] + [("b", None, 5), ("b", None, None), (None, None, 1)]
+    df = spark.createDataFrame(rows, "k string, l long, v long")
+    out = dedup_first(df, ["k", "l"], [F.col("v").asc_nulls_first()])
+    p = plan(out)
+    limits = [i for i, x in enumerate(p.split("\n")) if "WindowGroupLimit" in x]
+    exchanges = [i for i, x in enumerate(p.split("\n")) if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 2 and exchanges[0] < max(limits) < exchanges[1]  # from the top: final, shuffle, partial, deal
+    want = {}
+    for k, l, v in rows:
+        want[k, l] = min(want.get((k, l), (2, 0)), (v is not None, v or 0))
+    got = {(r.k, r.l): (r.v is not None, r.v or 0) for r in out.collect()}
+    assert out.columns == ["k", "l", "v"] and got == want and out.count() == len(want)
