@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from casewatch.operators import dedup_first
 from casewatch.sources import adapter, tables
+from casewatch.sources.json_records import json_records
 
 from .test_plans import plan
 
@@ -54,3 +55,12 @@ def test_dedup_deals_the_rows_before_it_sorts_them(spark):
         want[k, l] = min(want.get((k, l), (2, 0)), (v is not None, v or 0))
     got = {(r.k, r.l): (r.v is not None, r.v or 0) for r in out.collect()}
     assert out.columns == ["k", "l", "v"] and got == want and out.count() == len(want)
+
+
+def test_landed_pieces_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
+    (tmp_path / "b.json").write_text('{"a": 3}\n{"a": 4}\n')
+    found = json_records(spark, str(tmp_path)).where(~F.col("junk")).select("record")
+    p = plan(found)
+    assert "SortMergeJoin" not in p and "Sort [seq" not in p and "BroadcastHashJoin" in p
+    assert sorted(r.record for r in found.collect()) == [f'{{"a": {i}}}' for i in (1, 2, 3, 4)]
