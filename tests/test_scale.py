@@ -1,5 +1,7 @@
 """Shared steps keep a task's memory and the bytes written bounded as the tables grow."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from casewatch.operators import dedup_first
@@ -57,6 +59,23 @@ def test_dedup_deals_the_rows_before_it_sorts_them(spark):
     assert out.columns == ["k", "l", "v"] and got == want and out.count() == len(want)
 
 
+def test_dedup_cuts_what_a_task_sorts_to_the_advisory_size(spark):
+    """One key holding many copies of one row, which no salt can part, is sorted by several tasks."""
+    same = spark.range(0, 40_000, 1, 8).select(F.lit("a").alias("k"), F.lit(7).alias("v"), F.lit("x").alias("t"))
+    other = spark.range(0, 1_000, 1, 2).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.lit("y").alias("t"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size, None)
+    spark.conf.set(size, "2000")
+    try:
+        out = dedup_first(same.union(other), ["k"], [F.col("v").asc_nulls_first(), F.col("t").asc_nulls_first()])
+        rows = out.collect()
+        p = plan(out)
+    finally:
+        spark.conf.set(size, before) if before is not None else spark.conf.unset(size)
+    assert sorted((r.k, r.v, r.t) for r in rows) == sorted([("a", 7, "x")] + [(str(i), 1, "y") for i in range(1_000)])
+    assert re.search(r"AQEShuffleRead.*skewed", p[:p.index("Initial Plan")])
+
+
 def test_landed_pieces_are_neither_shuffled_nor_sorted(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
     (tmp_path / "b.json").write_text('{"a": 3}\n{"a": 4}\n')
