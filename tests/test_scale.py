@@ -76,6 +76,16 @@ def test_dedup_cuts_what_a_task_sorts_to_the_advisory_size(spark):
     assert re.search(r"AQEShuffleRead.*skewed", p[:p.index("Initial Plan")])
 
 
+def test_dedup_deals_the_rows_without_adaptive_execution_too(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = dedup_first(spark.range(100).select((F.col("id") % 7).alias("k"), "id"), ["k"], [F.col("id")])
+        assert plan(out).count("Exchange hashpartitioning") == 2
+        assert sorted((r.k, r.id) for r in out.collect()) == [(i, i) for i in range(7)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_landed_pieces_are_neither_shuffled_nor_sorted(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
     (tmp_path / "b.json").write_text('{"a": 3}\n{"a": 4}\n')
