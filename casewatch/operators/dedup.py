@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 _RN, _KEY, _SALT = "__rn", "__key_hash", "__salt"
 #: Tasks that the rows of one key are dealt to before the last shuffle.
 SALTS = 8
+#: Partitions of the first deal, before adaptive execution cuts them. Up to this many (Spark's default
+#: spark.shuffle.sort.bypassMergeThreshold) a task writes its rows straight to the partitions' files;
+#: for more it gathers them in memory first, a whole scan split.
+DEALT = 200
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -21,7 +25,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     adaptive execution cuts a partition above its advisory size into several
     tasks, so what a task sorts is bounded by that size, however many rows
     there are for how few shuffle partitions, and however many copies of one
-    row there are (the salt can't part these). Spark plans row_number()==1 as a partial WindowGroupLimit
+    row there are (the salt can't part these). It starts from DEALT partitions
+    whatever the session's number, so the tasks that read the scan hold none of
+    its rows. Spark plans row_number()==1 as a partial WindowGroupLimit
     there, before the shuffle by key: a key holding a third of all rows is
     sorted by several tasks and sends one row from each. Both sorts begin
     with a hash of the key, a number, and compare the key's texts only within
@@ -31,7 +37,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     w = Window.partitionBy(_KEY, *keys).orderBy(*order)
     hashed = df.withColumn(_KEY, F.hash(*keys)).withColumn(_SALT, salt)
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"  # else Spark drops the hint
-    dealt = hashed.hint("rebalance", _KEY, _SALT) if adaptive else hashed.repartition(_KEY, _SALT)
+    dealt = hashed.hint("rebalance", DEALT, _KEY, _SALT) if adaptive else hashed.repartition(_KEY, _SALT)
     return dealt.drop(_SALT).withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN, _KEY)
 
 

@@ -76,6 +76,22 @@ def test_dedup_cuts_what_a_task_sorts_to_the_advisory_size(spark):
     assert re.search(r"AQEShuffleRead.*skewed", p[:p.index("Initial Plan")])
 
 
+def test_dedup_deals_to_few_enough_partitions_to_write_them_straight(spark):
+    """However many shuffle partitions the session has: above 200 the tasks that read the scan gather its rows in memory."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "500")
+    try:
+        df = spark.range(0, 3_000, 1, 3).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"), F.lit("x").alias("t"))
+        out = dedup_first(df, ["k"], [F.col("v").desc()])
+        last, deal = re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), (\w+)", plan(out))
+        rows = out.collect()
+    finally:
+        spark.conf.set(name, before)
+    assert deal[1].startswith("REBALANCE") and int(deal[0]) <= 200 and last[0] == "500"
+    assert sorted((r.k, r.v, r.t) for r in rows) == [(k, max(range(k, 3_000, 700)), "x") for k in range(700)]
+
+
 def test_dedup_deals_the_rows_without_adaptive_execution_too(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
