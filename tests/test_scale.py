@@ -31,6 +31,13 @@ def test_a_file_of_one_row_group_is_dealt(spark, tmp_path):
     assert adapter.spread(spark.range(0), "id").count() == 0
 
 
+def test_a_long_file_is_dealt_to_few_enough_partitions_to_write_them_straight(spark, tmp_path, monkeypatch):
+    spark.range(3_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(adapter, "ROWS_PER_TASK", 5)
+    dealt = adapter.spread(spark.read.parquet(str(tmp_path / "t")), "id")
+    assert dealt.rdd.getNumPartitions() == max(200, spark.sparkContext.defaultParallelism) and dealt.distinct().count() == 3_000
+
+
 def test_open_writers_write_every_value_and_restore_the_setting(spark, tmp_path):
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name, None)
