@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN, _KEY, _SALT = "__rn", "__key_hash", "__salt"
-#: Tasks that the rows of one key are dealt to before the last shuffle.
-SALTS = 8
+#: Partitions that the rows of one key are dealt to before the last shuffle, which gets one row of each. More
+#: would part a frequent key further, but send up to that many rows of every key to the last sort.
+SALTS = 2
+#: The same without adaptive execution, where nothing else parts a frequent key.
+UNCUT_SALTS = 8
 #: Partitions of the first deal, before adaptive execution cuts them. Up to this many (Spark's default
 #: spark.shuffle.sort.bypassMergeThreshold) a task writes its rows straight to the partitions' files;
 #: for more it gathers them in memory first, a whole scan split.
@@ -21,7 +24,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     """One row per key: the first by `order` (give a total order to be deterministic).
 
     Nulls in keys group together. The rows are dealt by key and a salt, so a
-    task does not sort a whole scan split. They are dealt as a rebalance:
+    task does not sort a whole scan split, and a key's rows meet there: the
+    last sort gets one row per key, salt and cut. They are dealt as a rebalance:
     adaptive execution cuts a partition above its advisory size into several
     tasks, so what a task sorts is bounded by that size, however many rows
     there are for how few shuffle partitions, and however many copies of one
@@ -33,10 +37,11 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     with a hash of the key, a number, and compare the key's texts only within
     one hash.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in keys]), F.lit(SALTS))
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"  # else Spark drops the hint
+    salts = SALTS if adaptive else UNCUT_SALTS
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in keys]), F.lit(salts))
     w = Window.partitionBy(_KEY, *keys).orderBy(*order)
     hashed = df.withColumn(_KEY, F.hash(*keys)).withColumn(_SALT, salt)
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"  # else Spark drops the hint
     dealt = hashed.hint("rebalance", DEALT, _KEY, _SALT) if adaptive else hashed.repartition(_KEY, _SALT)
     return dealt.drop(_SALT).withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN, _KEY)
 

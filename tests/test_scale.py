@@ -99,6 +99,27 @@ def test_dedup_deals_to_few_enough_partitions_to_write_them_straight(spark):
     assert sorted((r.k, r.v, r.t) for r in rows) == [(k, max(range(k, 3_000, 700)), "x") for k in range(700)]
 
 
+def test_dedup_sends_few_rows_of_a_key_to_the_last_sort(spark):
+    """However many distinct rows a key has: the last sort holds them per shuffle partition, and nothing cuts it."""
+    df = spark.range(0, 6_000, 1, 4).select((F.col("id") % 60).alias("k"), F.col("id").alias("v"))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # on large tables there is nothing to join
+    spark.conf.set(name, "false")
+    try:
+        out = dedup_first(df, ["k"], [F.col("v").desc()])
+        rows = out.collect()
+    finally:
+        spark.conf.set(name, "true")
+    assert sorted((r.k, r.v) for r in rows) == [(k, 5_940 + k) for k in range(60)]
+    node, written = out._jdf.queryExecution().executedPlan().executedPlan(), []
+    while node is not None:
+        node = node.plan() if node.nodeName().endswith("QueryStage") else node
+        if node.nodeName() == "Exchange":
+            written.append(node.metrics().apply("shuffleRecordsWritten").value())
+        node = node.children().apply(0) if node.children().size() else None
+    last, deal = written  # from the top
+    assert deal == 6_000 and 60 <= last <= 120
+
+
 def test_dedup_deals_the_rows_without_adaptive_execution_too(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
