@@ -3,6 +3,7 @@
 import json
 import random
 import tempfile
+from pathlib import Path
 
 import pytest
 
@@ -120,3 +121,44 @@ def test_compressed_files(spark):
         with gzip.open(f"{root}/{name}.json.gz", "wt") as fh:
             fh.write(LAYOUTS[name](records(rng, 9)))
     assert flatten(read_landed(spark, root)).count() == 18
+
+
+def test_a_compressed_file_may_be_as_long_as_its_text(spark):
+    """Its size then tells nothing about where the last record ends."""
+    import gzip
+    rng, root, want = random.Random(2), tempfile.mkdtemp(prefix="casewatch-gz-size-"), set()
+    for end in ("", "\n"):
+        for longer in (-1, 0, 1, 2, 3):  # a byte less or more, a mark of three bytes
+            for n in range(5000):  # a text whose compressed form has that size
+                state = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n % 500))
+                text = json.dumps({"states": state}) + end
+                if len(gzip.compress(text.encode(), mtime=0)) == len(text) + longer:
+                    break
+            else:
+                raise AssertionError((end, longer))
+            want.add(state)
+            with open(f"{root}/{len(want)}.json.gz", "wb") as fh:
+                fh.write(gzip.compress(text.encode(), mtime=0))
+    assert {r.states for r in read_landed(spark, root).collect()} == want and len(want) == 10
+
+
+def test_landed_files_take_less_disk_than_their_text(spark, tmp_path, monkeypatch):
+    """Three layouts, the two of short lines compressed in files of few records; every record comes back."""
+    import gzip
+    from casewatch import queries
+    spark.range(3000).selectExpr(
+        "id AS l_orderkey", "id * 7 AS l_partkey", "id % 11 AS l_suppkey", "id % 7 + 1 AS l_linenumber", "id % 50 + 0.5D AS l_quantity",
+        "id * 1.25D AS l_extendedprice", "CASE id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'R' END AS l_returnflag", "IF(id % 2 = 0, 'F', 'O') AS l_linestatus",
+        "TIMESTAMP_NTZ '1995-01-01' + make_dt_interval(CAST(id % 900 AS INT)) AS l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "LANDED_PAGE", 50, raising=False)
+    path = queries.landed_files(spark, str(tmp_path))
+    texts = {f: (gzip.open(f) if f.suffix == ".gz" else f.open("rb")).read().decode() for f in Path(path.removeprefix("file:")).glob("part-*")}
+    begins = {("[", False), ("{", True)}
+    assert {(t[0], f.suffix == ".gz") for f, t in texts.items() if t} == begins
+    packed = [(f, t) for f, t in texts.items() if f.suffix == ".gz" and t]
+    assert {t.startswith("{\n") for _, t in packed} == {True, False} and all(t.count('"sort_order"') <= 50 for _, t in packed)
+    assert sum(t.count('"sort_order"') for t in texts.values()) == 3000
+    assert sum(f.stat().st_size for f in texts) < 0.7 * sum(len(t.encode()) for t in texts.values())
+    got = queries.q_ingest_landed_files(spark, str(tmp_path)).drop("geocode_type")
+    want = queries.raw(spark, str(tmp_path)).select(got.columns)
+    assert got.count() == 3000 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
